@@ -15,3 +15,26 @@ job("route_profitability_annual")(A.route_profitability_annual)
 job("delay_causes_monthly")(A.delay_causes_monthly)
 job("cargo_performance")(A.cargo_performance)
 job("capacity_trends")(A.capacity_trends)
+
+from aerostar.plans import marts as M  # noqa: E402
+
+job("monthly_flight_summary")(M.monthly_flight_summary)
+job("route_performance")(M.route_performance)
+job("customer_ltv")(M.customer_ltv)
+job("aircraft_utilization_mart")(M.aircraft_utilization_mart)
+job("daily_operations")(M.daily_operations)
+
+from aerostar.plans import dashboard as V  # noqa: E402
+
+job("daily_otp")(V.daily_otp)
+job("delay_causes")(V.delay_causes)
+job("aircraft_utilization")(V.aircraft_utilization)
+job("monthly_revenue")(V.monthly_revenue)
+job("route_matrix")(V.route_matrix)
+job("fare_class_mix")(V.fare_class_mix)
+job("route_profitability")(V.route_profitability)
+job("cost_breakdown")(V.cost_breakdown)
+job("maintenance_impact")(V.maintenance_impact)
+job("loyalty_performance")(V.loyalty_performance)
+job("customer_retention")(V.customer_retention)
+job("executive_kpis")(V.executive_kpis)
