@@ -38,3 +38,19 @@ job("maintenance_impact")(V.maintenance_impact)
 job("loyalty_performance")(V.loyalty_performance)
 job("customer_retention")(V.customer_retention)
 job("executive_kpis")(V.executive_kpis)
+
+from aerostar.plans import reports as R  # noqa: E402
+
+for _fn in (R.current_counts, R.airport_directory, R.airports_by_region, R.fleet_directory,
+            R.fleet_by_manufacturer, R.fleet_age_histogram, R.top_customers,
+            R.tier_distribution_top, R.top10_customers, R.carrier_directory,
+            R.carriers_by_alliance, R.otp_top_routes, R.top_routes_by_revenue,
+            R.loyalty_tier_summary, R.fleet_summary, R.table_counts, R.kpi_overview):
+    job(_fn.__name__)(_fn)
+
+from aerostar.operators import quality as Q  # noqa: E402
+
+job("dq_orphaned_flights")(lambda wh: Q.dq_orphans(wh.fact_flight, wh.flight, "FlightKey"))
+job("dq_invalid_load_factors")(lambda wh: Q.dq_range(wh.fact_flight, "LoadFactor", 0, 100))
+job("dq_future_dates")(lambda wh: Q.dq_future(wh.fact_flight, wh.date))
+job("dq_report")(Q.dq_report)
