@@ -54,3 +54,7 @@ job("dq_orphaned_flights")(lambda wh: Q.dq_orphans(wh.fact_flight, wh.flight, "F
 job("dq_invalid_load_factors")(lambda wh: Q.dq_range(wh.fact_flight, "LoadFactor", 0, 100))
 job("dq_future_dates")(lambda wh: Q.dq_future(wh.fact_flight, wh.date))
 job("dq_report")(Q.dq_report)
+
+job("dq_referential")(Q.dq_referential)
+job("dq_ranges")(Q.dq_ranges)
+job("dq_dates")(Q.dq_dates)

@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerostar.sources.star import Warehouse, derive_star
 
+# Jobs over the warehouse: fn(wh) -> DataFrame.
 JOBS: dict[str, Callable[[Warehouse], DataFrame]] = {}
+# ETL jobs that also read raw source tables: fn(spark, sf_dir) -> DataFrame.
+RAW_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def job(name: str):
@@ -22,9 +25,16 @@ def job(name: str):
     return register
 
 
+def raw_job(name: str):
+    def register(fn: Callable[[SparkSession, str], DataFrame]):
+        RAW_JOBS[name] = fn
+        return fn
+    return register
+
+
 def _load_all() -> None:
     # Importing the modules registers their jobs.
-    from aerostar.plans import jobs  # noqa: F401
+    from aerostar.plans import etl_jobs, jobs  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -33,10 +43,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(derive_star(spark, sf_dir))
 
-    return {name: bind(fn) for name, fn in JOBS.items()}
+    out = {name: bind(fn) for name, fn in JOBS.items()}
+    out.update(RAW_JOBS)
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     _load_all()
+    from aerostar.oracle.etl_texts import ETL_TEXTS
     from aerostar.oracle.texts import TEXTS
-    return {name: TEXTS[name] for name in JOBS if name in TEXTS}
+    texts = {**TEXTS, **ETL_TEXTS}
+    return {name: texts[name] for name in [*JOBS, *RAW_JOBS] if name in texts}
