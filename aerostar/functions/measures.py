@@ -44,14 +44,53 @@ def exact_avg(col: Column | str) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
-def ratio(num: Column, den: Column, digits: int | None = None) -> Column:
-    value = F.try_divide(num.cast("double"), den.cast("double"))
-    return F.round(value, digits) if digits is not None else value
-
-
-def pct(num: Column, den: Column, digits: int = 2) -> Column:
-    """``ROUND(100.0 * num / NULLIF(den, 0), digits)``."""
-    return F.round(F.try_divide(F.lit(100.0) * num.cast("double"), den.cast("double")), digits)
+# Extra decimal digits kept before the final rounding (see ``exact_round``).
+GUARD_DIGITS = 3
+
+
+def exact_round(num: Column, den: Column, digits: int) -> Column:
+    """``ROUND(num / den, digits)`` of two integral values, computed exactly.
+
+    The quotient is truncated (integer division) at ``digits`` + 3 places and
+    then rounded HALF_UP (away from zero) as a DECIMAL, which equals rounding
+    the exact rational -- the original's NUMERIC semantics.  Rounding a
+    DOUBLE instead would depend on the binary representation of ties such as
+    91.165.  NULL when ``den`` is 0 or NULL.  Returns DOUBLE.
+    """
+    g = digits + GUARD_DIGITS
+    n = num.cast("decimal(38,0)")
+    d = den.cast("decimal(38,0)")
+    ad = F.when(d != 0, F.abs(d))
+    big = F.abs(n) * F.lit(10 ** g).cast("decimal(20,0)")
+    q = ((big - F.pmod(big, ad)) / ad).cast("decimal(38,0)")
+    sign = (F.signum(n) * F.signum(d)).cast("decimal(1,0)")
+    unit = F.lit(f"{10 ** -g:.{g}f}").cast(f"decimal({g + 1},{g})")
+    scaled = (q * sign).cast("decimal(26,0)") * unit
+    return F.round(scaled, digits).cast("double")
+
+
+def ratio(num: Column, den: Column, digits: int | None = None, scale: int = 0) -> Column:
+    """``num / NULLIF(den, 0)``; with ``digits``, rounded exactly.
+
+    For rounding, ``num`` and ``den`` must become integers when multiplied
+    by ``10**scale`` (e.g. ``scale=2`` for sums of money).
+    """
+    if digits is None:
+        return F.try_divide(num.cast("double"), den.cast("double"))
+    k = F.lit(10 ** scale)
+    return exact_round(num * k, den * k, digits)
+
+
+def pct(num: Column, den: Column, digits: int = 2, scale: int = 0) -> Column:
+    """``ROUND(100.0 * num / NULLIF(den, 0), digits)``, exactly."""
+    k = F.lit(10 ** scale)
+    return exact_round(num * k * F.lit(100), den * k, digits)
+
+
+def rounded_avg(col: Column | str, digits: int, scale: int = 0) -> Column:
+    """``ROUND(AVG(col), digits)`` for a column with ``scale`` decimals."""
+    c = _c(col)
+    return ratio(F.sum(c), F.count(c), digits, scale)
 
 
 def on_time(delay: Column | str = "ArrivalDelayMin", late: int = ON_TIME_MINUTES) -> Column:

@@ -42,7 +42,7 @@ def rasm_by_route(wh: Warehouse, year_from: int = DEFAULT_YEAR - 1) -> DataFrame
     return (ff.groupBy("DepartureCity", "ArrivalCity", "Year", "Quarter").agg(
                 money_sum("Revenue").alias("TotalRevenue"),
                 int_sum(seat_miles()).alias("AvailableSeatMiles"),
-                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4).alias("RASM"),
+                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4, scale=2).alias("RASM"),
                 exact_avg("LoadFactor").alias("AvgLoadFactor"))
             .orderBy(F.col("Year").desc_nulls_first(), F.col("Quarter").desc_nulls_first(),
                      F.col("RASM").desc_nulls_first()))
@@ -154,8 +154,7 @@ def profitability(ff: DataFrame, names: dict[str, str], min_flights: int,
         money_sum("Revenue").alias(names["revenue"]),
         money_sum(costs).alias(names["costs"]),
         (revenue - cost_sum).cast("double").alias(names["profit"]),
-        F.round(F.try_divide((revenue - cost_sum).cast("double"), revenue.cast("double")) * 100.0, 2)
-        .alias("ProfitMargin"),
+        pct(revenue - cost_sum, revenue, 2, scale=2).alias("ProfitMargin"),
     ]
     if with_load_factor:
         aggs.append(exact_avg("LoadFactor").alias("AvgLoadFactor"))
@@ -208,7 +207,7 @@ def cargo_performance(wh: Warehouse, year_from: int = DEFAULT_YEAR - 1) -> DataF
                 rows().alias("TotalShipments"),
                 money_sum("WeightKg").alias("TotalWeightKg"),
                 money_sum("Revenue").alias("TotalRevenue"),
-                F.round(ratio(F.sum(per_kg()), F.count(per_kg())), 6).alias("RevenuePerKg"),
+                ratio(F.sum(per_kg()), F.count(per_kg()), 6, scale=9).alias("RevenuePerKg"),
                 pct(count_if(F.col("OnTimeDeliveryFlag")), rows()).alias("OnTimeDeliveryRate"))
             .orderBy(F.col("TotalRevenue").desc_nulls_first()))
 

@@ -133,7 +133,7 @@ def route_matrix(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 90,
                 rows().alias("Frequency"),
                 exact_avg("LoadFactor").alias("AvgLoadFactor"),
                 money_sum("Revenue").alias("TotalRevenue"),
-                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4).alias("RASM"),
+                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4, scale=2).alias("RASM"),
                 pct(count_if(on_time()), rows()).alias("OTP"))
             .filter(F.col("Frequency") >= min_flights)
             .orderBy(F.col("TotalRevenue").desc_nulls_first()))
@@ -158,7 +158,7 @@ def fare_class_mix(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
                 "CabinClass", "ClassName", "Bookings",
                 F.col("_rev").cast("double").alias("Revenue"), "AvgFare",
                 pct(F.col("Bookings"), F.sum("Bookings").over(everything)).alias("BookingShare"),
-                pct(F.col("_rev"), F.sum("_rev").over(everything)).alias("RevenueShare"))
+                pct(F.col("_rev"), F.sum("_rev").over(everything), scale=2).alias("RevenueShare"))
             .orderBy(F.col("Revenue").desc_nulls_first()))
 
 
@@ -285,8 +285,8 @@ def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
         F.lit("Last 30 Days" if days == 30 else f"Last {days} Days").alias("Period"),
         F.countDistinct("FlightFactKey").alias("TotalFlights"),
         pct(F.sum(F.when(on_time(), w).otherwise(0)), F.sum(w)).alias("OnTimePerformance"),
-        F.round(weighted_avg(F.col("LoadFactor") * w,
-                             F.when(F.col("LoadFactor").isNotNull(), w)), 2).alias("AvgLoadFactor"),
+        ratio(F.sum(F.col("LoadFactor") * w),
+              F.sum(F.when(F.col("LoadFactor").isNotNull(), w)), 2, scale=2).alias("AvgLoadFactor"),
         money_sum(F.col("Revenue") * w).alias("TotalRevenue"),
-        ratio(F.sum(F.col("Revenue") * w), F.sum(seat_miles() * w), 4).alias("RASM"),
+        ratio(F.sum(F.col("Revenue") * w), F.sum(seat_miles() * w), 4, scale=2).alias("RASM"),
     ).select("*", customers.alias("ActiveCustomers"), bookings.alias("TotalBookings"))

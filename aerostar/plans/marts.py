@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before
 from aerostar.functions.measures import (count_if, exact_avg, flight_costs, int_sum, money_sum,
-                                         on_time, pct, ratio, rows, weighted_avg)
+                                         on_time, pct, ratio, rounded_avg, rows,
+                                         weighted_avg)
 from aerostar.plans.analytics import seat_miles
 from aerostar.plans.common import airports, carriers, dim_cols, multiplicity, with_dates
 from aerostar.sources.star import Warehouse
@@ -23,7 +24,7 @@ def monthly_flight_summary(wh: Warehouse) -> DataFrame:
         rows().alias("TotalFlights"),
         int_sum("SeatsFilled").alias("TotalPassengers"),
         int_sum("SeatsAvailable").alias("TotalSeats"),
-        F.round(exact_avg("LoadFactor"), 2).alias("AvgLoadFactor"),
+        rounded_avg("LoadFactor", 2, scale=2).alias("AvgLoadFactor"),
         money_sum("Revenue").alias("TotalRevenue"),
         money_sum(flight_costs()).alias("TotalCosts"),
         count_if(on_time()).alias("OnTimeFlights"),
@@ -43,7 +44,7 @@ def route_performance(wh: Warehouse, min_flights: int = 10) -> DataFrame:
                 exact_avg("DistanceMiles").alias("AvgDistance"),
                 exact_avg("LoadFactor").alias("AvgLoadFactor"),
                 money_sum("Revenue").alias("TotalRevenue"),
-                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4).alias("RASM"),
+                ratio(F.sum("Revenue"), F.sum(seat_miles()), 4, scale=2).alias("RASM"),
                 pct(count_if(on_time()), rows()).alias("OTP"),
                 exact_avg("ArrivalDelayMin").alias("AvgDelay"))
             .filter(F.col("TotalFlights") >= min_flights))

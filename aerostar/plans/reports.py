@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_AS_OF, age_in_years
-from aerostar.functions.measures import count_if, exact_avg, money_sum, on_time, pct, rows
+from aerostar.functions.measures import (count_if, exact_avg, money_sum, on_time, pct,
+                                         rounded_avg, rows)
 from aerostar.plans.analytics import route_label
 from aerostar.plans.common import airports, carriers
 from aerostar.sources.star import Warehouse
@@ -194,6 +195,6 @@ def kpi_overview(wh: Warehouse) -> DataFrame:
     ff = wh.fact_flight.filter(~F.col("CancellationFlag"))
     return ff.agg(
         rows().alias("TotalFlights"),
-        F.round(exact_avg("LoadFactor"), 2).alias("AvgLoadFactor"),
+        rounded_avg("LoadFactor", 2, scale=2).alias("AvgLoadFactor"),
         pct(count_if(on_time()), rows()).alias("OnTimePercentage"),
-        F.round(exact_avg("ArrivalDelayMin"), 2).alias("AvgDelayMinutes"))
+        rounded_avg("ArrivalDelayMin", 2).alias("AvgDelayMinutes"))
