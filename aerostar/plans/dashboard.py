@@ -93,8 +93,7 @@ def _calendar_fanout(wh: Warehouse, year_from: int, group: list[str], left: Data
 
 
 def _distinct_flights(wh: Warehouse, year_from: int, group: list[str]) -> DataFrame:
-    ff = with_dates(wh, wh.fact_flight.select("DateKey", "FlightFactKey"), *group,
-                    year_from=year_from)
+    ff = with_dates(wh, wh.fact_flight, *group, year_from=year_from)
     return ff.groupBy(*group).agg(F.countDistinct("FlightFactKey").alias("_flights"))
 
 
@@ -224,8 +223,10 @@ def loyalty_performance(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int
     """
     cutoff = (wh.date.filter(F.col("Date") >= F.lit(days_before(as_of, days)))
               .select(F.min("DateKey")).scalar())
-    kept = F.col("DateKey").isNull() | (F.col("DateKey") >= cutoff)
-    per_c = wh.fact_booking.groupBy("CustomerKey").agg(
+    # The cut-off subquery is referenced once; the flag is reused below.
+    fb = wh.fact_booking.withColumn("__kept", F.col("DateKey").isNull() | (F.col("DateKey") >= cutoff))
+    kept = F.col("__kept")
+    per_c = fb.groupBy("CustomerKey").agg(
         rows().alias("n_all"),
         count_if(kept).alias("n_kept"),
         F.count(F.when(kept, F.col("BookingKey"))).alias("bk"),
@@ -253,8 +254,7 @@ def customer_retention(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFra
     cutoff = (wh.date.filter(F.col("Year") == as_of.year).select(F.min("DateKey")).scalar())
     returning = (wh.fact_booking.filter(F.col("DateKey") < cutoff)
                  .select("CustomerKey").distinct().withColumn("_ret", F.lit(True)))
-    active = (with_dates(wh, wh.fact_booking.select("DateKey", "CustomerKey"), "Year", "Quarter",
-                         year_from=as_of.year - 1)
+    active = (with_dates(wh, wh.fact_booking, "Year", "Quarter", year_from=as_of.year - 1)
               .select("Year", "Quarter", "CustomerKey").distinct())
     j = active.join(returning, "CustomerKey", "left")
     ret = F.count(F.when(F.col("_ret"), F.col("CustomerKey")))
@@ -279,8 +279,9 @@ def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
     w = F.col("w")
     flown = ff.select("FlightKey").distinct()
     bk = wh.fact_booking.join(flown, "FlightKey", "left_semi")
-    customers = bk.select(F.countDistinct("CustomerKey")).scalar()
-    bookings = bk.select(F.countDistinct("BookingKey")).scalar()
+    # Both distinct counts in one scan of the bookings, as one scalar struct.
+    counts = bk.select(F.struct(F.countDistinct("CustomerKey").alias("c"),
+                                F.countDistinct("BookingKey").alias("b"))).scalar()
     return j.agg(
         F.lit("Last 30 Days" if days == 30 else f"Last {days} Days").alias("Period"),
         F.countDistinct("FlightFactKey").alias("TotalFlights"),
@@ -289,4 +290,6 @@ def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
               F.sum(F.when(F.col("LoadFactor").isNotNull(), w)), 2, scale=2).alias("AvgLoadFactor"),
         money_sum(F.col("Revenue") * w).alias("TotalRevenue"),
         ratio(F.sum(F.col("Revenue") * w), F.sum(seat_miles() * w), 4, scale=2).alias("RASM"),
-    ).select("*", customers.alias("ActiveCustomers"), bookings.alias("TotalBookings"))
+    ).select("*", counts.alias("__bk")).select(
+        "*", F.col("__bk.c").alias("ActiveCustomers"), F.col("__bk.b").alias("TotalBookings")
+    ).drop("__bk")

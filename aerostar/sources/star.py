@@ -351,19 +351,25 @@ def derive_star(spark: SparkSession, sf_dir: str) -> Warehouse:
 FACTS = ("fact_flight", "fact_booking", "fact_cargo", "fact_maintenance")
 
 
-def write_star(wh: Warehouse, out_dir: str) -> None:
+def write_star(wh: Warehouse, out_dir: str, partitions: int | None = None) -> None:
     """Materialise the warehouse as Parquet.
 
     Facts are partitioned by ``DateMonth`` (YYYYMM) and sorted by DateKey
     inside each file, so date windows prune directories and row groups.
+    Rows are range-partitioned on (DateKey, fact key) first: a month -- or a
+    single day holding a large share of the rows -- is spread over many
+    tasks instead of landing in one, and each task writes few directories.
     """
+    spark = wh.fact_flight.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in wh.names():
         df = getattr(wh, name)
         path = f"{out_dir.rstrip('/')}/{name}"
         if name in FACTS:
+            key = df.columns[0]
             (df.withColumn(MONTH_PART, (F.col("DateKey") / 100).cast("int"))
-               .repartition(MONTH_PART)
-               .sortWithinPartitions("DateKey")
+               .repartitionByRange(n, "DateKey", key)
+               .sortWithinPartitions("DateKey", key)
                .write.mode("overwrite").partitionBy(MONTH_PART).parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)
