@@ -218,3 +218,28 @@ SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
   JOIN DimDate d ON ff.DateKey = d.DateKey WHERE d.Date > DATE '{AS_OF.isoformat()}'
 ) t
 """)
+
+_body, _ctes = _scd2(["LoyaltyTier", "Email"], False)
+ETL_TEXTS["booking_customer_version"] = with_prelude("""
+SELECT b.booking_id, b.customer_id, b.travel_date, h.CustomerKey, h.LoyaltyTier
+FROM bsrc b
+LEFT JOIN hist h ON b.customer_id = h.CustomerID AND h.EffectiveDate <= b.travel_date
+     AND (h.ExpirationDate IS NULL OR b.travel_date < h.ExpirationDate)
+""", _customer_batch(False) + _ctes + ",\nhist AS (" + _body + ")," + _BOOKING_SOURCE)
+
+ETL_TEXTS["booking_points"] = with_prelude("""
+SELECT b.booking_id, b.customer_id, l.LoyaltyPointsEarned, l.Transactions
+FROM bsrc b
+LEFT JOIN (SELECT l_orderkey AS booking_id,
+                  SUM(CAST(FLOOR(l_quantity) AS BIGINT)) AS LoyaltyPointsEarned,
+                  COUNT(*) AS Transactions
+           FROM lineitem GROUP BY l_orderkey) l ON b.booking_id = l.booking_id
+""", _BOOKING_SOURCE)
+
+ETL_TEXTS["load_factor_rejects"] = with_prelude("""
+SELECT FlightFactKey, FlightKey, DateKey, AircraftKey, DepartureAirportKey, ArrivalAirportKey,
+       CarrierKey, DepartureDelayMin, ArrivalDelayMin, SeatsAvailable, SeatsFilled,
+       CAST(Revenue AS DOUBLE) AS Revenue, CAST(FuelCost AS DOUBLE) AS FuelCost, DistanceMiles,
+       CancellationFlag, CAST(LoadFactor AS DOUBLE) AS LoadFactor, OnTimeFlag
+FROM fvalid WHERE LoadFactor < 0 OR LoadFactor > 100
+""", _FLIGHT_BATCH)

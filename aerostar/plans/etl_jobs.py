@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
-from aerostar.operators.etl import (as_report, derive_booking_totals, lookup_keys,
-                                    transform_flights, validate_flights)
-from aerostar.operators.scd2 import CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, scd2_apply
+from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
+                                    lookup_keys, reject_load_factor_range, transform_flights,
+                                    validate_flights)
+from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
+                                     scd2_apply)
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
 from aerostar.registry import raw_job
 from aerostar.sources.batches import (EXTRACT_START, EXTRACT_END, booking_source, customer_batch,
@@ -127,3 +129,44 @@ def booking_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_duplicate_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FlightFactKeys that occur more than once in the flight batch."""
     return Q.dq_duplicates(_batch(spark, sf_dir), "FlightFactKey")
+
+
+@raw_job("booking_customer_version")
+def booking_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each reservation with the customer version valid on its travel date.
+
+    The history is the customer dimension after the daily snapshot (E04), so
+    travel dates from the snapshot day on see the new versions.
+    """
+    wh = derive_star(spark, sf_dir)
+    history = scd2_apply(wh.customer, customer_batch(read_table(spark, sf_dir, "customer")))
+    src = booking_source(read_table(spark, sf_dir, "orders")).select(
+        "booking_id", "customer_id", "travel_date")
+    return point_in_time(src, history, "customer_id", "CustomerID", "travel_date",
+                         ["CustomerKey", "LoyaltyTier"])
+
+
+@raw_job("booking_points")
+def booking_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loyalty points summed per booking from its transactions.
+
+    The order lines play the loyalty transactions of a reservation (one
+    point per unit of quantity); they are summed per booking before the join,
+    so the join sees one row per booking.
+    """
+    src = booking_source(read_table(spark, sf_dir, "orders")).select("booking_id", "customer_id")
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("booking_id"),
+        F.floor("l_quantity").cast("long").alias("points_earned"))
+    return aggregate_children(src, lines, "booking_id", {
+        "LoyaltyPointsEarned": F.sum("points_earned"),
+        "Transactions": F.count(F.lit(1)),
+    })
+
+
+@raw_job("load_factor_rejects")
+def load_factor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transformed flight records whose LoadFactor is outside 0..100."""
+    valid, _ = transform_flights(_batch(spark, sf_dir))
+    _, bad = reject_load_factor_range(valid.drop("seq"))
+    return as_report(bad)

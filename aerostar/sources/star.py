@@ -193,6 +193,12 @@ def dim_flight(part: DataFrame) -> DataFrame:
 
 
 _VALIDITY_START = dt.date(2020, 1, 1)
+# Rows that are not current were closed on this day (a valid SCD2 history).
+_VALIDITY_CLOSED = dt.date(2023, 12, 31)
+
+
+def _expiration(is_current: Column) -> Column:
+    return F.when(is_current, F.lit(None).cast("date")).otherwise(F.lit(_VALIDITY_CLOSED))
 
 
 def dim_airport(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -266,7 +272,7 @@ def dim_customer(customer: DataFrame) -> DataFrame:
         _text("NATION_", F.col("c_nationkey")).alias("Country"),
         _text("CITY_", F.col("c_nationkey") % 20).alias("City"),
         F.lit(_VALIDITY_START).alias("EffectiveDate"),
-        F.lit(None).cast("date").alias("ExpirationDate"),
+        _expiration(ck % 20 != 0).alias("ExpirationDate"),
         (ck % 20 != 0).alias("IsCurrent"),
     )
 
