@@ -231,7 +231,7 @@ ETL_TEXTS["booking_points"] = with_prelude("""
 SELECT b.booking_id, b.customer_id, l.LoyaltyPointsEarned, l.Transactions
 FROM bsrc b
 LEFT JOIN (SELECT l_orderkey AS booking_id,
-                  SUM(CAST(FLOOR(l_quantity) AS BIGINT)) AS LoyaltyPointsEarned,
+                  CAST(SUM(CAST(FLOOR(l_quantity) AS BIGINT)) AS BIGINT) AS LoyaltyPointsEarned,
                   COUNT(*) AS Transactions
            FROM lineitem GROUP BY l_orderkey) l ON b.booking_id = l.booking_id
 """, _BOOKING_SOURCE)
