@@ -54,12 +54,6 @@ class Warehouse:
         return [f.name for f in fields(self)]
 
 
-def dim(wh: Warehouse, name: str) -> DataFrame:
-    """A dimension, broadcast-hinted only when its size is bounded."""
-    df = getattr(wh, name)
-    return F.broadcast(df) if name in BOUNDED_DIMS else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -36,3 +36,11 @@ def test_dims_broadcast_facts_not(stored):
     from aerostar.plans.analytics import otp_by_route
     plan = _plan(otp_by_route(stored))
     assert "BroadcastHashJoin" in plan
+
+
+def test_no_python_evaluation(stored):
+    registry._load_all()
+    for name, fn in registry.JOBS.items():
+        plan = _plan(fn(stored))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert node not in plan, (name, node)
