@@ -72,3 +72,16 @@ def schedule_to_dim_flight(schedule: DataFrame, airports: DataFrame, carriers: D
     from aerostar.operators.keys import assign_keys
     keyed = assign_keys(rows, "FlightKey", ["FlightNumber"], start=first_key - 1)
     return keyed.select("FlightKey", *[c for c in rows.columns])
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
+              lower: int, upper: int, partitions: int, properties: dict | None = None) -> DataFrame:
+    """An operational source table read in ``partitions`` parallel range slices.
+
+    The original pulls query results over one database connection; here each
+    task reads its own slice of ``partition_column`` in [lower, upper], and
+    filters / projections on the result are pushed to the database.
+    """
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
+                           upperBound=upper, numPartitions=partitions,
+                           properties=properties or {})

@@ -1,6 +1,5 @@
 """SCD2 with one customer holding most of the batch (its rows span several
 range partitions) against a direct simulation of the record-by-record loop."""
-import datetime as dt
 import random
 
 from aerostar.operators.scd2 import scd2_apply
