@@ -72,10 +72,16 @@ def multiplicity(n: Column | str) -> Column:
 
 
 def join_on_groups(left: DataFrame, right: DataFrame, keys: list[str],
-                   how: str = "inner") -> DataFrame:
-    """Join two aggregates on (nullable) group keys with NULL-safe equality."""
+                   how: str = "inner", bounded_right: bool = False) -> DataFrame:
+    """Join two aggregates on (nullable) group keys with NULL-safe equality.
+
+    ``bounded_right``: the right side has a proven size bound (e.g. one row
+    per calendar month) and is broadcast.
+    """
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
+    if bounded_right:
+        r = F.broadcast(r)
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

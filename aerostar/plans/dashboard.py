@@ -118,7 +118,9 @@ def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
         flight_rev.cast("double").alias("FlightRevenue"),
         cargo_rev.cast("double").alias("CargoRevenue"),
         (flight_rev + cargo_rev).cast("double").alias("TotalRevenue"))
-    out = join_on_groups(rev, _distinct_flights(wh, year_from, group), group, "left")
+    # Both sides have one row per calendar month: bounded by the date dimension.
+    out = join_on_groups(rev, _distinct_flights(wh, year_from, group), group, "left",
+                         bounded_right=True)
     return (out.withColumn("TotalFlights", F.coalesce(F.col("_flights"), F.lit(0)).cast("long"))
             .drop("_flights").orderBy("Year", "Month"))
 
