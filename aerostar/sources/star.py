@@ -325,10 +325,14 @@ def _inline(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def derive_star(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Build the warehouse lazily from the driver's tables."""
+def derive_star(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Warehouse:
+    """Build the warehouse lazily from the driver's tables.
+
+    ``base`` may be a stored copy of ``flight_base`` (see ``build_star``).
+    """
     read = lambda name: read_table(spark, sf_dir, name)
-    base = flight_base(read("lineitem"))
+    if base is None:
+        base = flight_base(read("lineitem"))
     mt = _inline(spark, MAINTENANCE_TYPE_ROWS, MAINTENANCE_TYPE_SCHEMA).withColumn(
         "AverageDurationHours", F.col("AverageDurationHours").cast("decimal(5,2)"))
     return Warehouse(
@@ -375,6 +379,21 @@ def write_star(wh: Warehouse, out_dir: str, partitions: int | None = None) -> No
             df.write.mode("overwrite").parquet(path)
 
 
+def build_star(spark: SparkSession, sf_dir: str, out_dir: str,
+               partitions: int | None = None) -> Warehouse:
+    """Derive and materialise the warehouse; returns it read back from Parquet.
+
+    The per-line base shared by FactFlight and FactCargo (the one aggregation
+    over the largest source) is written once to ``_stage/flight_base`` and
+    both facts are derived from that written table, instead of aggregating
+    the source twice.
+    """
+    stage = f"{out_dir.rstrip('/')}/_stage/flight_base"
+    flight_base(read_table(spark, sf_dir, "lineitem")).write.mode("overwrite").parquet(stage)
+    write_star(derive_star(spark, sf_dir, base=spark.read.parquet(stage)), out_dir, partitions)
+    return load_star(spark, out_dir)
+
+
 def load_star(spark: SparkSession, star_dir: str) -> Warehouse:
     tables = {}
     for f in fields(Warehouse):

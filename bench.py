@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from aerostar import registry  # noqa: E402
 from aerostar.session import checkpoint_dir, local_session  # noqa: E402
-from aerostar.sources.star import derive_star, load_star, write_star  # noqa: E402
+from aerostar.sources.star import build_star  # noqa: E402
 
 
 def force(df) -> None:
@@ -36,10 +36,9 @@ def main() -> None:
     star_dir = tempfile.mkdtemp(prefix="star-", dir=base if base.startswith("/") else None)
 
     t0 = time.time()
-    write_star(derive_star(spark, sf_dir), star_dir)
+    wh = build_star(spark, sf_dir, star_dir)
     build_sec = time.time() - t0
 
-    wh = load_star(spark, star_dir)
     registry._load_all()
     wanted = os.environ.get("BENCH_JOBS")
     names = [n for n in registry.JOBS if not wanted or n in wanted.split(",")]

@@ -14,8 +14,9 @@ def _plan(df):
 def stored(spark, wh):
     import tempfile
     path = tempfile.mkdtemp(prefix="aerostar-star-")
-    write_star(wh, path)
-    return load_star(spark, path)
+    from aerostar.sources.star import build_star
+    from conftest import SMALL
+    return build_star(spark, SMALL, path)
 
 
 def test_no_cartesian_products(stored):
