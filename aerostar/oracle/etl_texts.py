@@ -243,3 +243,35 @@ SELECT FlightFactKey, FlightKey, DateKey, AircraftKey, DepartureAirportKey, Arri
        CancellationFlag, CAST(LoadFactor AS DOUBLE) AS LoadFactor, OnTimeFlag
 FROM fvalid WHERE LoadFactor < 0 OR LoadFactor > 100
 """, _FLIGHT_BATCH)
+
+# Last 7 days of the batch -> transform -> upsert into FactFlight -> DQ.
+_E08_LO, _E08_HI = 20241224, 20241231
+_E08_CTES = _FLIGHT_BATCH.replace(
+    "  FROM fseq\n  WHERE FlightKey IS NOT NULL",
+    f"  FROM fseq\n  WHERE DateKey BETWEEN {_E08_LO} AND {_E08_HI} AND FlightKey IS NOT NULL") + (
+    ",\ncoll AS (\n  SELECT FlightFactKey,\n" + ",\n".join(
+        [f"         arg_min({c}, seq) AS {c}" for c in _FIRST]
+        + [f"         arg_max({c}, seq) AS {c}" for c in _LAST])
+    + "\n  FROM fvalid GROUP BY FlightFactKey\n),\n"
+    + """loaded AS (
+  SELECT t.FlightKey, t.DateKey,
+         CASE WHEN c.FlightFactKey IS NOT NULL THEN c.LoadFactor ELSE t.LoadFactor END AS LoadFactor
+  FROM FactFlight t LEFT JOIN coll c ON t.FlightFactKey = c.FlightFactKey
+  UNION ALL
+  SELECT c.FlightKey, c.DateKey, c.LoadFactor FROM coll c
+  WHERE c.FlightFactKey NOT IN (SELECT FlightFactKey FROM FactFlight)
+)""")
+assert "BETWEEN" in _E08_CTES
+
+ETL_TEXTS["etl_run"] = with_prelude(f"""
+SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
+  SELECT 'orphaned_flights' AS CheckName,
+         (SELECT COUNT(*) FROM loaded l LEFT JOIN DimFlight f ON l.FlightKey = f.FlightKey
+          WHERE f.FlightKey IS NULL) AS Failures
+  UNION ALL SELECT 'invalid_load_factors',
+         (SELECT COUNT(*) FROM loaded WHERE LoadFactor < 0 OR LoadFactor > 100)
+  UNION ALL SELECT 'future_dates',
+         (SELECT COUNT(*) FROM loaded l JOIN DimDate d ON l.DateKey = d.DateKey
+          WHERE d.Date > DATE '{AS_OF.isoformat()}')
+) t
+""", _E08_CTES)
