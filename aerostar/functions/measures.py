@@ -97,10 +97,27 @@ def on_time(delay: Column | str = "ArrivalDelayMin", late: int = ON_TIME_MINUTES
     return _c(delay) <= late
 
 
-def flight_costs(prefix: str = "") -> Column:
-    """Fuel + crew + fees of one flight row (NULL if any part is NULL)."""
-    return (F.col(prefix + "FuelCost") + F.col(prefix + "CrewCost")
-            + F.col(prefix + "AirportFees"))
+MODES = ("reference", "corrected")
+
+
+def check_mode(mode: str) -> bool:
+    """True for ``corrected``: jobs with a quirk of the original offer both
+    the original result (``reference``, the default) and a corrected one."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    return mode == "corrected"
+
+
+def flight_costs(prefix: str = "", mode: str = "reference") -> Column:
+    """Fuel + crew + fees of one flight row.
+
+    ``reference``: NULL if any part is NULL (so the row drops out of SUM);
+    ``corrected``: a missing part counts as 0.
+    """
+    parts = [F.col(prefix + c) for c in ("FuelCost", "CrewCost", "AirportFees")]
+    if check_mode(mode):
+        parts = [F.coalesce(p, F.lit(0)) for p in parts]
+    return parts[0] + parts[1] + parts[2]
 
 
 def weighted_avg(sum_col: Column, count_col: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_YEAR
-from aerostar.functions.measures import (ON_TIME_MINUTES, count_if, exact_avg, flight_costs,
+from aerostar.functions.measures import (ON_TIME_MINUTES, check_mode, count_if, exact_avg,
+                                         flight_costs,
                                          int_sum, money_sum, on_time, pct, ratio, rows)
 from aerostar.plans.common import (airports, carriers, dim_cols, join_on_groups, multiplicity,
                                    scheduled, with_dates)
@@ -81,20 +82,22 @@ def weather_impact(wh: Warehouse, year: int = DEFAULT_YEAR) -> DataFrame:
             .orderBy(F.col("AffectedFlights").desc_nulls_first()))
 
 
-def maintenance_reliability(wh: Warehouse) -> DataFrame:
+def maintenance_reliability(wh: Warehouse, mode: str = "reference") -> DataFrame:
     """Maintenance cost per aircraft type.
 
     The original joins maintenance and flights many-to-many on the aircraft
     (every maintenance row is repeated once per flight of its aircraft).  The
     same numbers come from per-aircraft aggregates: each maintenance sum is
     weighted by max(#flights, 1) of its aircraft; no exploded join is built.
+    ``mode="corrected"`` counts every maintenance row once.
     """
+    corrected = check_mode(mode)
     groups = ["Manufacturer", "Model", "Age"]
     ac = dim_cols(wh, "aircraft", "AircraftKey", *groups, current_only=True)
     flights_per_ac = wh.fact_flight.groupBy("AircraftKey").agg(rows().alias("n_f"))
     m = (wh.fact_maintenance.join(ac, "AircraftKey")
          .join(flights_per_ac, "AircraftKey", "left")
-         .withColumn("w", multiplicity("n_f")))
+         .withColumn("w", F.lit(1).cast("long") if corrected else multiplicity("n_f")))
     cost_w = F.col("TotalCost") * F.col("w")
     by_type = m.groupBy(*groups).agg(
         F.countDistinct("MaintenanceKey").alias("MaintenanceEvents"),
@@ -146,8 +149,8 @@ def route_label(sep: str = " - ") -> F.Column:
 
 
 def profitability(ff: DataFrame, names: dict[str, str], min_flights: int,
-                  with_load_factor: bool) -> DataFrame:
-    costs = flight_costs()
+                  with_load_factor: bool, mode: str = "reference") -> DataFrame:
+    costs = flight_costs(mode=mode)
     revenue, cost_sum = F.sum("Revenue"), F.sum(costs)
     aggs = [
         rows().alias(names["flights"]),
@@ -165,14 +168,18 @@ def profitability(ff: DataFrame, names: dict[str, str], min_flights: int,
 
 
 def route_profitability_annual(wh: Warehouse, year: int = DEFAULT_YEAR,
-                               min_flights: int = 20) -> DataFrame:
-    """Profit and margin per city-pair route and carrier for one year."""
+                               min_flights: int = 20, mode: str = "reference") -> DataFrame:
+    """Profit and margin per city-pair route and carrier for one year.
+
+    ``mode="corrected"`` counts a missing cost part as 0 instead of dropping
+    the flight's whole cost.
+    """
     ff = with_dates(wh, wh.fact_flight.filter(~F.col("CancellationFlag")), year=year)
     ff = carriers(wh, airports(wh, scheduled(wh, ff), {"DepartureCity": "City"},
                                {"ArrivalCity": "City"}))
     names = dict(flights="TotalFlights", revenue="TotalRevenue", costs="TotalCosts",
                  profit="NetProfit")
-    return profitability(ff, names, min_flights, with_load_factor=True)
+    return profitability(ff, names, min_flights, with_load_factor=True, mode=mode)
 
 
 def delay_causes_monthly(wh: Warehouse, year: int = DEFAULT_YEAR,

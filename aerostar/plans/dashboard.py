@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before
-from aerostar.functions.measures import (ON_TIME_MINUTES, count_if, exact_avg, flight_costs,
+from aerostar.functions.measures import (ON_TIME_MINUTES, check_mode, count_if, exact_avg,
+                                         flight_costs,
                                          int_sum, money_sum, on_time, pct, ratio, rows,
                                          weighted_avg)
 from aerostar.plans.analytics import profitability, seat_miles
@@ -79,17 +80,19 @@ def aircraft_utilization(wh: Warehouse) -> DataFrame:
 
 
 def _calendar_fanout(wh: Warehouse, year_from: int, group: list[str], left: DataFrame,
-                     right: DataFrame) -> DataFrame:
+                     right: DataFrame, corrected: bool = False) -> DataFrame:
     """Date rows LEFT JOIN two per-DateKey aggregates, with fan-out weights.
 
     ``left``/``right`` hold one row per DateKey with a row count ``n_l``/``n_r``.
     Under the original's two LEFT JOINs on DateKey every left row repeats
-    max(n_r, 1) times and vice versa; ``w_l``/``w_r`` carry those weights.
+    max(n_r, 1) times and vice versa; ``w_l``/``w_r`` carry those weights
+    (1 when ``corrected``: each fact counted once).
     """
     days = F.broadcast(wh.date.filter(F.col("Year") >= year_from).select("DateKey", *group))
+    one = F.lit(1).cast("long")
     return (days.join(left, "DateKey", "left").join(right, "DateKey", "left")
-            .withColumn("w_l", multiplicity("n_r"))
-            .withColumn("w_r", multiplicity("n_l")))
+            .withColumn("w_l", one if corrected else multiplicity("n_r"))
+            .withColumn("w_r", one if corrected else multiplicity("n_l")))
 
 
 def _distinct_flights(wh: Warehouse, year_from: int, group: list[str]) -> DataFrame:
@@ -97,13 +100,17 @@ def _distinct_flights(wh: Warehouse, year_from: int, group: list[str]) -> DataFr
     return ff.groupBy(*group).agg(F.countDistinct("FlightFactKey").alias("_flights"))
 
 
-def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
+                    mode: str = "reference") -> DataFrame:
     """Flight and cargo revenue per month from the year before ``as_of`` on.
 
     The original LEFT JOINs flights and cargo on the date, so each side is
     repeated once per row of the other on that day; the sums are rebuilt
     from per-day aggregates with those repetition weights.
+    ``mode="corrected"``: each fact once, and a missing side counts as 0 in
+    TotalRevenue instead of making it NULL.
     """
+    corrected = check_mode(mode)
     year_from = as_of.year - 1
     lo = year_from * 10000 + 101
     group = ["Year", "MonthName", "Month"]
@@ -111,13 +118,15 @@ def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
         rows().alias("n_l"), F.sum("Revenue").alias("s_l"))
     cg = restrict_dates(wh.fact_cargo, lo).groupBy("DateKey").agg(
         rows().alias("n_r"), F.sum("Revenue").alias("s_r"))
-    j = _calendar_fanout(wh, year_from, group, fl, cg)
+    j = _calendar_fanout(wh, year_from, group, fl, cg, corrected)
     flight_rev = F.sum(F.col("s_l") * F.col("w_l"))
     cargo_rev = F.sum(F.col("s_r") * F.col("w_r"))
+    total = (F.coalesce(flight_rev, F.lit(0)) + F.coalesce(cargo_rev, F.lit(0))
+             if corrected else flight_rev + cargo_rev)
     rev = j.groupBy(*group).agg(
         flight_rev.cast("double").alias("FlightRevenue"),
         cargo_rev.cast("double").alias("CargoRevenue"),
-        (flight_rev + cargo_rev).cast("double").alias("TotalRevenue"))
+        total.cast("double").alias("TotalRevenue"))
     # Both sides have one row per calendar month: bounded by the date dimension.
     out = join_on_groups(rev, _distinct_flights(wh, year_from, group), group, "left",
                          bounded_right=True)
@@ -164,34 +173,42 @@ def fare_class_mix(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
 
 
 def route_profitability(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 90,
-                        min_flights: int = 5) -> DataFrame:
+                        min_flights: int = 5, mode: str = "reference") -> DataFrame:
     """Profit per city-pair route and carrier, last ``days`` (cancelled included)."""
     ff = with_dates(wh, wh.fact_flight, since=days_before(as_of, days))
     ff = carriers(wh, airports(wh, scheduled(wh, ff), {"DepartureCity": "City"},
                                {"ArrivalCity": "City"}))
     names = dict(flights="Flights", revenue="Revenue", costs="Costs", profit="Profit")
-    return profitability(ff, names, min_flights, with_load_factor=False)
+    return profitability(ff, names, min_flights, with_load_factor=False, mode=mode)
 
 
-def cost_breakdown(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    """Flight and maintenance costs per quarter (fan-out on the date)."""
+def cost_breakdown(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
+                   mode: str = "reference") -> DataFrame:
+    """Flight and maintenance costs per quarter (fan-out on the date).
+
+    ``mode="corrected"``: each fact once, missing cost parts count as 0.
+    """
+    corrected = check_mode(mode)
     year_from = as_of.year - 1
     lo = year_from * 10000 + 101
     group = ["Year", "Quarter"]
     fl = restrict_dates(wh.fact_flight, lo).groupBy("DateKey").agg(
         rows().alias("n_l"), F.sum("FuelCost").alias("fuel"), F.sum("CrewCost").alias("crew"),
-        F.sum("AirportFees").alias("fees"), F.sum(flight_costs()).alias("costs"))
+        F.sum("AirportFees").alias("fees"), F.sum(flight_costs(mode=mode)).alias("costs"))
     mt = restrict_dates(wh.fact_maintenance, lo).groupBy("DateKey").agg(
         rows().alias("n_r"), F.sum("TotalCost").alias("maint"))
-    j = _calendar_fanout(wh, year_from, group, fl, mt)
+    j = _calendar_fanout(wh, year_from, group, fl, mt, corrected)
     wl, wr = F.col("w_l"), F.col("w_r")
+    flight_cost, maint_cost = F.sum(F.col("costs") * wl), F.sum(F.col("maint") * wr)
+    if corrected:
+        flight_cost, maint_cost = (F.coalesce(flight_cost, F.lit(0)),
+                                   F.coalesce(maint_cost, F.lit(0)))
     return (j.groupBy(*group).agg(
                 money_sum(F.col("fuel") * wl).alias("FuelCost"),
                 money_sum(F.col("crew") * wl).alias("CrewCost"),
                 money_sum(F.col("fees") * wl).alias("AirportFees"),
                 money_sum(F.col("maint") * wr).alias("MaintenanceCost"),
-                (F.sum(F.col("costs") * wl) + F.sum(F.col("maint") * wr)).cast("double")
-                .alias("TotalCost"))
+                (flight_cost + maint_cost).cast("double").alias("TotalCost"))
             .orderBy(*group))
 
 
@@ -215,14 +232,18 @@ def maintenance_impact(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int
             .orderBy(F.col("TotalCost").desc_nulls_first()))
 
 
-def loyalty_performance(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 365) -> DataFrame:
+def loyalty_performance(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 365,
+                        mode: str = "reference") -> DataFrame:
     """Customers, bookings and revenue per tier for the last ``days``.
 
     As in the original, customers without any booking stay (with zero
     bookings) while customers whose bookings are all older vanish.  The
     cut-off is the first DateKey on or after ``as_of - days`` (the intent of
     the original's unordered ``LIMIT 1``), read as a scalar subquery.
+    ``mode="corrected"`` applies the date condition inside the join, so
+    customers whose bookings are all older stay with zero bookings.
     """
+    corrected = check_mode(mode)
     cutoff = (wh.date.filter(F.col("Date") >= F.lit(days_before(as_of, days)))
               .select(F.min("DateKey")).scalar())
     # The cut-off subquery is referenced once; the flag is reused below.
@@ -235,8 +256,9 @@ def loyalty_performance(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int
         F.sum(F.when(kept, F.col("TotalAmount"))).alias("amt"),
         F.count(F.when(kept, F.col("TotalAmount"))).alias("amt_n"))
     cust = dim_cols(wh, "customer", "CustomerKey", "LoyaltyTier", current_only=True)
-    j = (cust.join(per_c, "CustomerKey", "left")
-         .filter(F.col("n_all").isNull() | (F.col("n_kept") > 0)))
+    j = cust.join(per_c, "CustomerKey", "left")
+    if not corrected:
+        j = j.filter(F.col("n_all").isNull() | (F.col("n_kept") > 0))
     bookings = F.sum(F.coalesce(F.col("bk"), F.lit(0)))
     return (j.groupBy("LoyaltyTier").agg(
                 F.countDistinct("CustomerKey").alias("Customers"),
@@ -247,18 +269,27 @@ def loyalty_performance(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int
             .orderBy(F.col("Revenue").desc_nulls_first()))
 
 
-def customer_retention(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
+def customer_retention(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
+                       mode: str = "reference") -> DataFrame:
     """Active and returning customers per quarter since last year.
 
     Returning = has any booking before the first day of ``as_of``'s year (one
-    fixed cut-off for every quarter, as in the original).
+    fixed cut-off for every quarter, as in the original).  With
+    ``mode="corrected"``: any booking before the first day of *that* quarter,
+    from each customer's first booking key.
     """
-    cutoff = (wh.date.filter(F.col("Year") == as_of.year).select(F.min("DateKey")).scalar())
-    returning = (wh.fact_booking.filter(F.col("DateKey") < cutoff)
-                 .select("CustomerKey").distinct().withColumn("_ret", F.lit(True)))
     active = (with_dates(wh, wh.fact_booking, "Year", "Quarter", year_from=as_of.year - 1)
               .select("Year", "Quarter", "CustomerKey").distinct())
-    j = active.join(returning, "CustomerKey", "left")
+    if check_mode(mode):
+        first = wh.fact_booking.groupBy("CustomerKey").agg(F.min("DateKey").alias("_first"))
+        quarter_start = F.col("Year") * 10000 + ((F.col("Quarter") - 1) * 3 + 1) * 100 + 1
+        j = (active.join(first, "CustomerKey", "left")
+             .withColumn("_ret", F.col("_first") < quarter_start))
+    else:
+        cutoff = wh.date.filter(F.col("Year") == as_of.year).select(F.min("DateKey")).scalar()
+        returning = (wh.fact_booking.filter(F.col("DateKey") < cutoff)
+                     .select("CustomerKey").distinct().withColumn("_ret", F.lit(True)))
+        j = active.join(returning, "CustomerKey", "left")
     ret = F.count(F.when(F.col("_ret"), F.col("CustomerKey")))
     return (j.groupBy("Year", "Quarter").agg(
                 F.count("CustomerKey").alias("ActiveCustomers"),
@@ -267,17 +298,21 @@ def customer_retention(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFra
             .orderBy("Year", "Quarter"))
 
 
-def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30) -> DataFrame:
+def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30,
+                   mode: str = "reference") -> DataFrame:
     """One KPI row for the last ``days``.
 
     The original LEFT JOINs bookings to flights on the schedule key only, so
     every flight row repeats once per booking of its FlightKey.  Bookings are
     counted per FlightKey and applied as a weight; the distinct customer and
     booking counts come from the bookings of the flights in the window.
+    ``mode="corrected"`` weighs every flight once.
     """
+    corrected = check_mode(mode)
     ff = with_dates(wh, wh.fact_flight, since=days_before(as_of, days))
     per_fk = wh.fact_booking.groupBy("FlightKey").agg(rows().alias("n_b"))
-    j = ff.join(per_fk, "FlightKey", "left").withColumn("w", multiplicity("n_b"))
+    j = ff.join(per_fk, "FlightKey", "left").withColumn(
+        "w", F.lit(1).cast("long") if corrected else multiplicity("n_b"))
     w = F.col("w")
     flown = ff.select("FlightKey").distinct()
     bk = wh.fact_booking.join(flown, "FlightKey", "left_semi")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before
-from aerostar.functions.measures import (count_if, exact_avg, flight_costs, int_sum, money_sum,
+from aerostar.functions.measures import (check_mode, count_if, exact_avg, flight_costs, int_sum,
+                                         money_sum,
                                          on_time, pct, ratio, rounded_avg, rows,
                                          weighted_avg)
 from aerostar.plans.analytics import seat_miles
@@ -16,8 +17,11 @@ from aerostar.plans.common import airports, carriers, dim_cols, multiplicity, wi
 from aerostar.sources.star import Warehouse
 
 
-def monthly_flight_summary(wh: Warehouse) -> DataFrame:
-    """Flights, passengers, revenue, cost and punctuality per month and carrier."""
+def monthly_flight_summary(wh: Warehouse, mode: str = "reference") -> DataFrame:
+    """Flights, passengers, revenue, cost and punctuality per month and carrier.
+
+    ``mode="corrected"`` counts a missing cost part as 0.
+    """
     ff = with_dates(wh, wh.fact_flight, "Year", "Month", "MonthName")
     ff = carriers(wh, ff)
     return ff.groupBy("Year", "Month", "MonthName", "CarrierName").agg(
@@ -26,7 +30,7 @@ def monthly_flight_summary(wh: Warehouse) -> DataFrame:
         int_sum("SeatsAvailable").alias("TotalSeats"),
         rounded_avg("LoadFactor", 2, scale=2).alias("AvgLoadFactor"),
         money_sum("Revenue").alias("TotalRevenue"),
-        money_sum(flight_costs()).alias("TotalCosts"),
+        money_sum(flight_costs(mode=mode)).alias("TotalCosts"),
         count_if(on_time()).alias("OnTimeFlights"),
         pct(count_if(on_time()), rows()).alias("OTP"),
         count_if(F.col("CancellationFlag")).alias("Cancellations"))
@@ -81,14 +85,17 @@ def customer_ltv(wh: Warehouse) -> DataFrame:
         F.datediff(F.col("LastBooking"), F.col("FirstBooking")).cast("long"))
 
 
-def aircraft_utilization_mart(wh: Warehouse) -> DataFrame:
+def aircraft_utilization_mart(wh: Warehouse, mode: str = "reference") -> DataFrame:
     """Utilisation and maintenance per current aircraft.
 
     The original LEFT JOINs flights and maintenance on the aircraft, so each
     side is repeated once per row of the other.  Both facts are reduced to
     one row per aircraft first (flights via one row per aircraft and day, to
     count operated days) and the repetition is applied as a weight.
+    ``mode="corrected"`` reports each fact once: TotalFlights is the number
+    of flights (0 without flights) and no sum is repeated.
     """
+    corrected = check_mode(mode)
     keys = ["AircraftKey", "TailNumber", "Manufacturer", "Model", "Age"]
     per_day = wh.fact_flight.groupBy("AircraftKey", "DateKey").agg(
         rows().alias("n"), F.sum("AirTimeMin").alias("air"), F.sum("Revenue").alias("rev"),
@@ -104,9 +111,13 @@ def aircraft_utilization_mart(wh: Warehouse) -> DataFrame:
     j = (ac.join(flights, "AircraftKey", "left").join(maint, "AircraftKey", "left")
          .withColumn("wf", multiplicity("n_f")).withColumn("wm", multiplicity("n_m")))
     wf, wm = F.col("wf"), F.col("wm")
+    flights = F.sum(wf * wm)
+    if corrected:
+        wf = wm = F.lit(1).cast("long")
+        flights = F.sum(F.coalesce(F.col("n_f"), F.lit(0)))
     return j.groupBy(*keys).agg(
         F.max(F.coalesce(F.col("days"), F.lit(0))).cast("long").alias("DaysOperated"),
-        F.sum(wf * wm).cast("long").alias("TotalFlights"),
+        flights.cast("long").alias("TotalFlights"),
         (F.sum(F.col("s_air") * wm).cast("double") / 60.0).alias("TotalFlightHours"),
         weighted_avg(F.col("s_lf") * wm, F.col("c_lf") * wm).alias("AvgLoadFactor"),
         money_sum(F.col("s_rev") * wm).alias("TotalRevenue"),

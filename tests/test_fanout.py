@@ -89,3 +89,42 @@ def test_delay_causes_has_two_rows_on_empty_input(spark, wh):
     rows = {r.DelayType: r for r in V.delay_causes(w).collect()}
     assert set(rows) == {"Weather", "Mechanical"}
     assert rows["Weather"].FlightCount == 0 and rows["Weather"].AvgDelayMin is None
+
+
+def test_corrected_modes_count_each_fact_once(spark, wh):
+    w = _star(spark, wh)
+    mart = {r.AircraftKey: r for r in M.aircraft_utilization_mart(w, mode="corrected").collect()}
+    assert (mart[1].TotalFlights, mart[1].MaintenanceEvents) == (2, 2)
+    assert mart[1].TotalRevenue == 150 and mart[1].MaintenanceCosts == 7
+    assert (mart[4].TotalFlights, mart[4].MaintenanceEvents) == (0, 0)
+    rel = {r.Manufacturer: r for r in A.maintenance_reliability(w, mode="corrected").collect()}
+    assert rel["Boeing"].TotalMaintenanceCost == 7 and rel["Airbus"].TotalMaintenanceCost == 5
+    q1 = {(r.Year, r.Quarter): r for r in V.cost_breakdown(w, mode="corrected").collect()}[(2024, 1)]
+    assert (q1.FuelCost, q1.MaintenanceCost) == (3, 12)
+    assert q1.TotalCost == (6 + 4 + 6) + 12        # NULL crew cost counted as 0
+    mar = {(r.Year, r.Month): r for r in V.monthly_revenue(w, mode="corrected").collect()}[(2024, 3)]
+    assert mar.TotalRevenue == 0
+    import pytest
+    with pytest.raises(ValueError):
+        V.cost_breakdown(w, mode="other")
+
+
+def test_corrected_customer_views(spark, wh):
+    ref = {r.LoyaltyTier: r for r in V.loyalty_performance(wh).collect()}
+    cor = {r.LoyaltyTier: r for r in V.loyalty_performance(wh, mode="corrected").collect()}
+    for tier, r in cor.items():
+        assert r.Customers >= (ref[tier].Customers if tier in ref else 0)
+        if tier in ref:
+            assert r.Bookings == ref[tier].Bookings
+    ref = {(r.Year, r.Quarter): r for r in V.customer_retention(wh).collect()}
+    cor = {(r.Year, r.Quarter): r for r in V.customer_retention(wh, mode="corrected").collect()}
+    assert set(ref) == set(cor)
+    for k, r in cor.items():
+        assert r.ActiveCustomers == ref[k].ActiveCustomers
+        if k[0] == 2023:
+            assert r.ReturningCustomers <= ref[k].ReturningCustomers
+        else:
+            assert r.ReturningCustomers >= ref[k].ReturningCustomers
+    k_ref = V.executive_kpis(wh).first()
+    k_cor = V.executive_kpis(wh, mode="corrected").first()
+    assert k_ref.TotalFlights == k_cor.TotalFlights
