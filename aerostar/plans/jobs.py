@@ -1,60 +1,46 @@
-"""Registration of every job with its default parameters."""
+"""Registration of every warehouse job (name -> function of the warehouse).
+
+The order follows SURVEY §2: analytics reports, marts, dashboard views,
+app / notebook / README / script reports, data-quality checks.  Jobs run with
+their default parameters (``as_of = 2024-12-31``, ``year = 2024``,
+``mode = "reference"``).
+"""
 
 from __future__ import annotations
 
+from aerostar.operators import quality as Q
 from aerostar.plans import analytics as A
+from aerostar.plans import dashboard as V
+from aerostar.plans import marts as M
+from aerostar.plans import reports as R
 from aerostar.registry import job
 
-job("otp_by_route")(A.otp_by_route)
-job("rasm_by_route")(A.rasm_by_route)
-job("fare_class_yield")(A.fare_class_yield)
-job("weather_impact")(A.weather_impact)
-job("maintenance_reliability")(A.maintenance_reliability)
-job("customer_loyalty")(A.customer_loyalty)
-job("route_profitability_annual")(A.route_profitability_annual)
-job("delay_causes_monthly")(A.delay_causes_monthly)
-job("cargo_performance")(A.cargo_performance)
-job("capacity_trends")(A.capacity_trends)
-
-from aerostar.plans import marts as M  # noqa: E402
-
-job("monthly_flight_summary")(M.monthly_flight_summary)
-job("route_performance")(M.route_performance)
-job("customer_ltv")(M.customer_ltv)
-job("aircraft_utilization_mart")(M.aircraft_utilization_mart)
-job("daily_operations")(M.daily_operations)
-
-from aerostar.plans import dashboard as V  # noqa: E402
-
-job("daily_otp")(V.daily_otp)
-job("delay_causes")(V.delay_causes)
-job("aircraft_utilization")(V.aircraft_utilization)
-job("monthly_revenue")(V.monthly_revenue)
-job("route_matrix")(V.route_matrix)
-job("fare_class_mix")(V.fare_class_mix)
-job("route_profitability")(V.route_profitability)
-job("cost_breakdown")(V.cost_breakdown)
-job("maintenance_impact")(V.maintenance_impact)
-job("loyalty_performance")(V.loyalty_performance)
-job("customer_retention")(V.customer_retention)
-job("executive_kpis")(V.executive_kpis)
-
-from aerostar.plans import reports as R  # noqa: E402
-
-for _fn in (R.current_counts, R.airport_directory, R.airports_by_region, R.fleet_directory,
-            R.fleet_by_manufacturer, R.fleet_age_histogram, R.top_customers,
-            R.tier_distribution_top, R.top10_customers, R.carrier_directory,
-            R.carriers_by_alliance, R.otp_top_routes, R.top_routes_by_revenue,
-            R.loyalty_tier_summary, R.fleet_summary, R.table_counts, R.kpi_overview):
+_REPORTS = (
+    # A01-A10
+    A.otp_by_route, A.rasm_by_route, A.fare_class_yield, A.weather_impact,
+    A.maintenance_reliability, A.customer_loyalty, A.route_profitability_annual,
+    A.delay_causes_monthly, A.cargo_performance, A.capacity_trends,
+    # M01-M05
+    M.monthly_flight_summary, M.route_performance, M.customer_ltv,
+    M.aircraft_utilization_mart, M.daily_operations,
+    # V01-V12
+    V.daily_otp, V.delay_causes, V.aircraft_utilization, V.monthly_revenue, V.route_matrix,
+    V.fare_class_mix, V.route_profitability, V.cost_breakdown, V.maintenance_impact,
+    V.loyalty_performance, V.customer_retention, V.executive_kpis,
+    # D01-D14, N01, R01-R03, S01-S02
+    R.current_counts, R.airport_directory, R.airports_by_region, R.fleet_directory,
+    R.fleet_by_manufacturer, R.fleet_age_histogram, R.top_customers, R.tier_distribution_top,
+    R.top10_customers, R.carrier_directory, R.carriers_by_alliance, R.otp_top_routes,
+    R.top_routes_by_revenue, R.loyalty_tier_summary, R.fleet_summary, R.table_counts,
+    R.kpi_overview,
+    # Q04, P13, P14, P16
+    Q.dq_report, Q.dq_referential, Q.dq_ranges, Q.dq_dates,
+)
+
+for _fn in _REPORTS:
     job(_fn.__name__)(_fn)
 
-from aerostar.operators import quality as Q  # noqa: E402
-
+# Q01-Q03: the three checks of the ETL, each on its own.
 job("dq_orphaned_flights")(lambda wh: Q.dq_orphans(wh.fact_flight, wh.flight, "FlightKey"))
 job("dq_invalid_load_factors")(lambda wh: Q.dq_range(wh.fact_flight, "LoadFactor", 0, 100))
 job("dq_future_dates")(lambda wh: Q.dq_future(wh.fact_flight, wh.date))
-job("dq_report")(Q.dq_report)
-
-job("dq_referential")(Q.dq_referential)
-job("dq_ranges")(Q.dq_ranges)
-job("dq_dates")(Q.dq_dates)
