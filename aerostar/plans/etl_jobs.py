@@ -43,49 +43,49 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @raw_job("flight_transform")
-def flight_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_transform(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Valid flight records with LoadFactor and OnTimeFlag."""
     valid, _ = transform_flights(_batch(spark, sf_dir))
     return as_report(valid.drop("seq"))
 
 
 @raw_job("flight_validate")
-def flight_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_validate(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Rejected flight records with their reason."""
     checked = validate_flights(_batch(spark, sf_dir).drop("seq"))
     return as_report(checked.filter(F.col("RejectReason").isNotNull()))
 
 
 @raw_job("flight_upsert")
-def flight_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_upsert(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """The facts known up to the report date, upserted with the full batch."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     target = wh.fact_flight.filter(F.col("DateKey") <= key_of(DEFAULT_AS_OF))
     valid, _ = transform_flights(_batch(spark, sf_dir))
     return as_report(upsert_facts(target, valid, seq="seq"))
 
 
 @raw_job("customer_scd2")
-def customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_scd2(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """The customer dimension after the daily CRM snapshot."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     batch = customer_batch(read_table(spark, sf_dir, "customer"))
     return scd2_apply(wh.customer, batch)
 
 
 @raw_job("customer_scd2_phone")
-def customer_scd2_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_scd2_phone(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """As E04, with Phone tracked (and written) as the document asks."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     batch = customer_batch(read_table(spark, sf_dir, "customer"), with_phone=True)
     return scd2_apply(wh.customer, batch, tracked=list(CUSTOMER_TRACKED) + ["Phone"],
                       version_cols=list(CUSTOMER_VERSION_COLS) + ["Phone"])
 
 
 @raw_job("insert_if_absent")
-def seed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def seed_flights(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Seed every scheduled flight of the part table, skipping existing keys."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     part = read_table(spark, sf_dir, "part")
     return insert_if_absent(wh.flight, _all_flights(part), "FlightKey", seq="FlightKey")
 
@@ -98,47 +98,47 @@ def _all_flights(part: DataFrame) -> DataFrame:
 
 
 @raw_job("extract_window")
-def extract_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def extract_events(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """The last week of the event log."""
     return extract_window(read_table(spark, sf_dir, "events"), "ts", EXTRACT_START, EXTRACT_END)
 
 
 @raw_job("etl_run")
-def etl_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def etl_run(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Data-quality report after loading the last week of the flight batch."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     return run_etl(wh, _batch(spark, sf_dir))["dq"]
 
 
 @raw_job("booking_totals")
-def booking_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_totals(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Reservation records with TotalAmount and CancellationFlag."""
     return as_report(derive_booking_totals(booking_source(read_table(spark, sf_dir, "orders"))))
 
 
 @raw_job("booking_key_lookup")
-def booking_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_key_lookup(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Reservation customer IDs resolved to current customer keys (hits)."""
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     src = booking_source(read_table(spark, sf_dir, "orders")).select("booking_id", "customer_id")
     hits, _ = lookup_keys(src, wh.customer, "customer_id", "CustomerID", "CustomerKey")
     return hits
 
 
 @raw_job("dq_duplicates")
-def dq_duplicate_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_duplicate_flights(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """FlightFactKeys that occur more than once in the flight batch."""
     return Q.dq_duplicates(_batch(spark, sf_dir), "FlightFactKey")
 
 
 @raw_job("booking_customer_version")
-def booking_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_customer_version(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Each reservation with the customer version valid on its travel date.
 
     The history is the customer dimension after the daily snapshot (E04), so
     travel dates from the snapshot day on see the new versions.
     """
-    wh = derive_star(spark, sf_dir)
+    wh = wh or derive_star(spark, sf_dir)
     history = scd2_apply(wh.customer, customer_batch(read_table(spark, sf_dir, "customer")))
     src = booking_source(read_table(spark, sf_dir, "orders")).select(
         "booking_id", "customer_id", "travel_date")
@@ -147,7 +147,7 @@ def booking_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @raw_job("booking_points")
-def booking_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_points(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Loyalty points summed per booking from its transactions.
 
     The order lines play the loyalty transactions of a reservation (one
@@ -165,7 +165,7 @@ def booking_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @raw_job("load_factor_rejects")
-def load_factor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_factor_rejects(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Transformed flight records whose LoadFactor is outside 0..100."""
     valid, _ = transform_flights(_batch(spark, sf_dir))
     _, bad = reject_load_factor_range(valid.drop("seq"))

@@ -79,15 +79,18 @@ def fleet_age_histogram(wh: Warehouse, bins: int = 20) -> DataFrame:
     The bounds are scalar subqueries, so nothing is collected.
     """
     ages = fleet_directory(wh).select("Age").filter(F.col("Age").isNotNull())
-    lo = ages.select(F.min("Age")).scalar()
-    hi = ages.select(F.max("Age")).scalar()
+    # Both bounds in one scalar subquery, projected once and reused by name.
+    bounds = ages.select(F.struct(F.min("Age").alias("lo"), F.max("Age").alias("hi"))).scalar()
+    ages = ages.select("Age", bounds.alias("__b")).select(
+        "Age", F.col("__b.lo").alias("lo"), F.col("__b.hi").alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
     span = (hi - lo).cast("double")
     width = span / F.lit(float(bins))
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((F.col("Age") - lo).cast("double") * bins / span) + 1,
                 F.lit(bins))).cast("int")
     binned = ages.withColumn("Bin", b)
-    return (binned.groupBy("Bin").agg(rows().alias("Aircraft"))
+    return (binned.groupBy("Bin", "lo", "hi").agg(rows().alias("Aircraft"))
             .select("Bin",
                     (lo.cast("double") + (F.col("Bin") - 1).cast("double") * width).alias("BinStart"),
                     (lo.cast("double") + F.col("Bin").cast("double") * width).alias("BinEnd"),

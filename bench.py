@@ -49,11 +49,11 @@ def main() -> None:
         t = time.time()
         force(registry.JOBS[name](wh))
         times[name] = round(time.time() - t, 3)
-    # ETL jobs read the raw source tables (and derive what they need).
+    # ETL jobs read their raw source tables; the warehouse side is the stored star.
     etl = [n for n in registry.RAW_JOBS if not wanted or n in wanted.split(",")]
     for name in etl:
         t = time.time()
-        force(registry.RAW_JOBS[name](spark, sf_dir))
+        force(registry.RAW_JOBS[name](spark, sf_dir, wh=wh))
         times[name] = round(time.time() - t, 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
