@@ -32,3 +32,28 @@ def test_defaults(spark):
                                "DepartureDelayMin int, ArrivalDelayMin int, CancellationFlag boolean")
     r = apply_defaults(df).first()
     assert (r.DepartureDelayMin, r.ArrivalDelayMin, r.CancellationFlag) == (0, 0, False)
+
+
+def test_maintenance_derivation(spark):
+    import datetime as dt
+    from aerostar.operators.etl import derive_maintenance
+    src = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 8, 0), dt.datetime(2024, 1, 1, 11, 30), Decimal("100.10"),
+          Decimal("50.05"))],
+        "start_time timestamp, end_time timestamp, labor_cost decimal(10,2), parts_cost decimal(10,2)")
+    r = derive_maintenance(src).first()
+    assert r.DurationHours == Decimal("3.50") and r.TotalCost == Decimal("150.15")
+
+
+def test_lookup_and_range_rejects(spark):
+    from aerostar.operators.etl import lookup_keys, reject_load_factor_range
+    dim = spark.createDataFrame([("C1", 1, True), ("C1", 0, False), ("C2", 2, True)],
+                                "CustomerID string, CustomerKey int, IsCurrent boolean")
+    src = spark.createDataFrame([(10, "C1"), (11, "C3")], "b int, cid string")
+    hits, misses = lookup_keys(src, dim, "cid", "CustomerID", "CustomerKey")
+    assert [(r.b, r.CustomerKey) for r in hits.collect()] == [(10, 1)]
+    assert [(r.b, r.RejectReason) for r in misses.collect()] == [(11, "unknown_cid")]
+    lf = spark.createDataFrame([(1, Decimal("50.00")), (2, Decimal("100.01")), (3, None)],
+                               "k int, LoadFactor decimal(5,2)")
+    ok, bad = reject_load_factor_range(lf)
+    assert sorted(r.k for r in ok.collect()) == [1, 3] and [r.k for r in bad.collect()] == [2]
