@@ -1,0 +1,2 @@
+"""aerostar: an airline star-schema warehouse (ETL, data quality, KPI reports
+and marts) written as PySpark DataFrame jobs."""

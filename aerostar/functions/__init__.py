@@ -1,0 +1 @@
+"""Column-expression helpers: calendar keys and dimension, exact aggregates."""
