@@ -61,9 +61,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (local tests) a fresh scratch folder is created
     and registered, so lineage cuts never land in a machine-local folder on
-    a real cluster.
+    a real cluster.  Works with a classic session (SparkContext) and with a
+    Spark Connect session (configuration only).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            path = tempfile.mkdtemp(prefix="aerostar-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", path)
+        return path
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="aerostar-ckpt-")
