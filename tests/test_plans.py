@@ -26,11 +26,19 @@ def test_no_cartesian_products(stored):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_date_window_reaches_scan(stored):
-    from aerostar.plans.dashboard import daily_otp
-    plan = _plan(daily_otp(stored))
-    assert "PartitionFilters: [isnotnull(DateMonth" in plan or "DateMonth" in plan
-    assert "PushedFilters" in plan and "DateKey" in plan
+WINDOWED = ["otp_by_route", "rasm_by_route", "fare_class_yield", "weather_impact",
+            "route_profitability_annual", "delay_causes_monthly", "cargo_performance",
+            "capacity_trends", "daily_operations", "daily_otp", "monthly_revenue", "route_matrix",
+            "fare_class_mix", "route_profitability", "cost_breakdown", "maintenance_impact",
+            "customer_retention", "executive_kpis"]
+
+
+@pytest.mark.parametrize("name", WINDOWED)
+def test_date_window_prunes_month_partitions(stored, name):
+    registry._load_all()
+    plan = _plan(registry.JOBS[name](stored))
+    assert "PartitionFilters: [isnotnull(DateMonth" in plan, name
+    assert "GreaterThanOrEqual(DateKey," in plan, name
 
 
 def test_dims_broadcast_facts_not(stored):
