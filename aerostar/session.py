@@ -38,8 +38,12 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "aerostar") -> SparkSession:
-    """A local session for tests and the bench (UI off, no server)."""
+                  app_name: str = "aerostar", event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the bench (UI off, no server).
+
+    ``event_log_dir``: write Spark's event log there (stage and task metrics
+    without a web UI).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -49,6 +53,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("AEROSTAR_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     for key, value in JOB_DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
