@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Arrival delay (minutes) at or below which a flight counts as on time.
+# Fixed value of the original: arrival delay (minutes) at or below which a
+# flight counts as on time.
 ON_TIME_MINUTES = 15
 
 

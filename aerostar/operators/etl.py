@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType
 
 from aerostar.functions.measures import ON_TIME_MINUTES
 
+# Fixed values of the original: the keys a flight record must carry.
 REQUIRED_FLIGHT_KEYS = ("FlightKey", "DateKey", "AircraftKey", "DepartureAirportKey",
                         "ArrivalAirportKey")
 

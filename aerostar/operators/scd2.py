@@ -32,6 +32,7 @@ from aerostar.session import checkpoint_dir
 # become NULL unless ``carry_forward`` (fixed list).
 CUSTOMER_VERSION_COLS = ("CustomerID", "FirstName", "LastName", "Email", "LoyaltyTier",
                          "LoyaltyPoints")
+# Fixed values of the original: the attributes whose change opens a version.
 CUSTOMER_TRACKED = ("LoyaltyTier", "Email")
 
 
