@@ -134,6 +134,17 @@ def dq_duplicates(df: DataFrame, key: str = "FlightFactKey") -> DataFrame:
             .filter(F.col("Occurrences") > 1))
 
 
+def dq_current_versions(dim: DataFrame, business_key: str = "CustomerID") -> DataFrame:
+    """Business keys with more than one current version in a type-2 dimension.
+
+    SCD2 then uses the version with the highest surrogate key; this check
+    reports the ambiguity (one row per affected key, with its count).
+    """
+    return (dim.filter(F.col("IsCurrent")).groupBy(business_key)
+            .agg(rows().alias("CurrentVersions"))
+            .filter(F.col("CurrentVersions") > 1))
+
+
 def dq_dates(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     """Date keys missing from the calendar, future dates, and (where the
     actual times exist) arrivals not after departures."""

@@ -275,3 +275,8 @@ SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
           WHERE d.Date > DATE '{AS_OF.isoformat()}')
 ) t
 """, _E08_CTES)
+
+ETL_TEXTS["dq_current_versions"] = with_prelude("""
+SELECT CustomerID, COUNT(*) AS CurrentVersions FROM DimCustomer
+WHERE IsCurrent GROUP BY CustomerID HAVING COUNT(*) > 1
+""")

@@ -44,3 +44,5 @@ for _fn in _REPORTS:
 job("dq_orphaned_flights")(lambda wh: Q.dq_orphans(wh.fact_flight, wh.flight, "FlightKey"))
 job("dq_invalid_load_factors")(lambda wh: Q.dq_range(wh.fact_flight, "LoadFactor", 0, 100))
 job("dq_future_dates")(lambda wh: Q.dq_future(wh.fact_flight, wh.date))
+# SCD2 ambiguity check: customers with several current versions.
+job("dq_current_versions")(lambda wh: Q.dq_current_versions(wh.customer, "CustomerID"))

@@ -85,3 +85,14 @@ def test_point_in_time_lookup(spark):
     got = {r.id: r.LoyaltyTier for r in
            point_in_time(facts, dim, "cid", "CustomerID", "d", ["LoyaltyTier"]).collect()}
     assert got == {1: "Gold", 2: "Platinum", 3: None}
+
+
+def test_duplicate_current_versions_reported_and_highest_key_wins(spark):
+    from aerostar.operators.quality import dq_current_versions
+    dim = _dim(spark).union(spark.createDataFrame(
+        [(9, "C1", "A", "X", "a@x", "111", "Silver", 10, D0, None, True)], DIM))
+    assert [(r.CustomerID, r.CurrentVersions) for r in dq_current_versions(dim).collect()] == [("C1", 2)]
+    batch = spark.createDataFrame([(1, "C1", "A", "X", "a@x", "Silver", 10)], BATCH)
+    out = scd2_apply(dim, batch, as_of=TODAY)
+    # Compared with key 9 (Silver): no change, nothing expires or opens.
+    assert sorted(r.CustomerKey for r in out.collect()) == [1, 2, 3, 4, 9]
