@@ -280,3 +280,6 @@ ETL_TEXTS["dq_current_versions"] = with_prelude("""
 SELECT CustomerID, COUNT(*) AS CurrentVersions FROM DimCustomer
 WHERE IsCurrent GROUP BY CustomerID HAVING COUNT(*) > 1
 """)
+
+# The streamed upsert must give the table of the batch upsert.
+ETL_TEXTS["flight_upsert_stream"] = ETL_TEXTS["flight_upsert"]
