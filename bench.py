@@ -102,6 +102,8 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "star_build_sec": round(build_sec, 3),
+        "report_jobs_sec": round(sum(times[n] for n in names), 3),
+        "etl_jobs_sec": round(sum(times[n] for n in etl), 3),
         "jobs": len(times),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
