@@ -53,3 +53,13 @@ def test_no_python_evaluation(stored):
         plan = _plan(fn(stored))
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert node not in plan, (name, node)
+
+
+def test_materialised_star_equals_derived(stored, wh):
+    from aerostar.sources.star import MONTH_PART
+    for name in wh.names():
+        a = getattr(wh, name)
+        b = getattr(stored, name)
+        b = b.drop(MONTH_PART) if MONTH_PART in b.columns else b
+        assert a.count() == b.count(), name
+        assert a.exceptAll(b.select(*a.columns)).count() == 0, name
