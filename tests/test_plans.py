@@ -3,7 +3,6 @@ and date windows pushed into the scan of a materialised fact."""
 import pytest
 
 from aerostar import registry
-from aerostar.sources.star import load_star, write_star
 
 
 def _plan(df):
