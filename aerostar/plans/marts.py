@@ -152,15 +152,20 @@ MARTS = {
 }
 
 
+POINTER = "_current"
+
+
 def refresh_marts(wh: Warehouse, out_dir: str, version: str,
                   as_of: dt.date = DEFAULT_AS_OF) -> dict[str, str]:
     """Recompute every mart into ``out_dir/<mart>/v=<version>``.
 
-    Each mart is written to a new version folder; readers switch to it only
-    after the write has finished (the returned paths), so a failed or
-    retried refresh never exposes a half-written mart and never overwrites
+    Each mart is written to a new version folder; only after that write has
+    finished is the mart's one-row pointer table ``_current`` replaced, and
+    readers go through the pointer (``current_mart``).  A failed or retried
+    refresh therefore never exposes a half-written mart and never overwrites
     the version being read.
     """
+    spark = wh.fact_flight.sparkSession
     paths = {}
     for name, (fn, partition_by) in MARTS.items():
         df = fn(wh, as_of=as_of) if name == "mv_daily_operations" else fn(wh)
@@ -169,5 +174,14 @@ def refresh_marts(wh: Warehouse, out_dir: str, version: str,
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        (spark.range(1).select(F.lit(version).alias("version"))
+         .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}/{POINTER}"))
         paths[name] = path
     return paths
+
+
+def current_mart(spark, out_dir: str, name: str) -> DataFrame:
+    """The version of mart ``name`` that the last finished refresh published."""
+    base = f"{out_dir.rstrip('/')}/{name}"
+    version = spark.read.parquet(f"{base}/{POINTER}").first()["version"]
+    return spark.read.parquet(f"{base}/v={version}")

@@ -33,6 +33,10 @@ def test_refresh_marts_writes_versions(spark, wh, scratch):
     assert set(paths) == {"mv_monthly_flight_summary", "mv_route_performance", "mv_customer_ltv",
                           "mv_aircraft_utilization", "mv_daily_operations"}
     assert spark.read.parquet(paths["mv_monthly_flight_summary"]).count() > 0
+    from aerostar.plans.marts import current_mart
+    refresh_marts(wh, scratch, "20250101")
+    cur = current_mart(spark, scratch, "mv_customer_ltv")
+    assert cur.count() == spark.read.parquet(f"{scratch}/mv_customer_ltv/v=20250101").count()
 
 
 def test_audit_log(spark, scratch):
