@@ -71,3 +71,13 @@ def test_weather_match(spark, wh):
     out = weather_match(flights, obs, wh.weather,
                         {"None": "Low", "Moderate": "Medium", "Severe": "High"}).first()
     assert out.WeatherKey == 2
+
+
+def test_cli_list_and_run(spark, scratch, capsys):
+    from aerostar.cli import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out.split()
+    assert "otp_by_route" in listed and "flight_upsert" in listed
+    from conftest import SMALL
+    assert main(["run", "kpi_overview", "--sf-dir", SMALL, "--out", f"{scratch}/kpi"]) == 0
+    assert spark.read.parquet(f"{scratch}/kpi").count() == 1
