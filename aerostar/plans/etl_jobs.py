@@ -181,7 +181,8 @@ def flight_upsert_stream(spark: SparkSession, sf_dir: str, wh: Warehouse | None
     date are stored month-partitioned; the raw line items then arrive as a
     file stream (``Trigger.AvailableNow``) and every micro-batch is
     transformed (E01) and upserted into the touched months only.  The table
-    read back equals the batch upsert E03.
+    read back equals the batch upsert E03.  It is kept in a fresh folder under
+    the shared checkpoint folder, from which the returned DataFrame reads.
     """
     import uuid
 
