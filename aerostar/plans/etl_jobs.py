@@ -26,19 +26,24 @@ from aerostar.sources.star import Warehouse, derive_star, read_table
 
 
 def run_etl(wh: Warehouse, batch: DataFrame, as_of: dt.date = DEFAULT_AS_OF,
-            window_days: int = 7) -> dict[str, DataFrame]:
+            window_days: int = 7, customer_batch: DataFrame | None = None) -> dict[str, DataFrame]:
     """Extract the last ``window_days`` of the batch, transform, upsert, check.
 
     Returns every stage as a lazy DataFrame; nothing is collected between
     steps (the caller writes ``fact_flight`` and reads the small ``dq``).
+    The SCD2 customer step, which the original's main does not call, runs
+    when a ``customer_batch`` is given (result ``dim_customer``).
     """
     lo, hi = key_of(days_before(as_of, window_days)), key_of(as_of)
     extracted = batch.filter(F.col("DateKey").between(lo, hi))
     valid, rejected = transform_flights(extracted)
     loaded = upsert_facts(wh.fact_flight, valid, seq="seq")
     dq = Q.dq_report(wh.with_tables(fact_flight=loaded), as_of)
-    return {"extracted": extracted, "valid": valid, "rejected": rejected,
-            "fact_flight": loaded, "dq": dq}
+    out = {"extracted": extracted, "valid": valid, "rejected": rejected,
+           "fact_flight": loaded, "dq": dq}
+    if customer_batch is not None:
+        out["dim_customer"] = scd2_apply(wh.customer, customer_batch, as_of=as_of)
+    return out
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,3 +57,15 @@ def test_lookup_and_range_rejects(spark):
                                "k int, LoadFactor decimal(5,2)")
     ok, bad = reject_load_factor_range(lf)
     assert sorted(r.k for r in ok.collect()) == [1, 3] and [r.k for r in bad.collect()] == [2]
+
+
+def test_etl_run_optional_scd2_step(spark, wh):
+    from aerostar.plans.etl_jobs import run_etl
+    from aerostar.sources.batches import customer_batch, flight_batch
+    from aerostar.sources.star import read_table
+    from conftest import SMALL
+    out = run_etl(wh, flight_batch(read_table(spark, SMALL, "lineitem")),
+                  customer_batch=customer_batch(read_table(spark, SMALL, "customer")))
+    assert set(out) >= {"extracted", "valid", "rejected", "fact_flight", "dq", "dim_customer"}
+    assert out["dq"].count() == 3
+    assert out["dim_customer"].filter("IsCurrent").count() >= wh.customer.filter("IsCurrent").count()
