@@ -283,3 +283,28 @@ WHERE IsCurrent GROUP BY CustomerID HAVING COUNT(*) > 1
 
 # The streamed upsert must give the table of the batch upsert.
 ETL_TEXTS["flight_upsert_stream"] = ETL_TEXTS["flight_upsert"]
+
+ETL_TEXTS["flight_delays"] = """
+SELECT FlightFactKey,
+       CAST((epoch(actual_departure) - epoch(scheduled_departure)) // 60 AS INTEGER) AS DepartureDelayMin,
+       CAST((epoch(actual_arrival) - epoch(scheduled_arrival)) // 60 AS INTEGER) AS ArrivalDelayMin
+FROM (
+  SELECT l_orderkey * 8 + l_linenumber AS FlightFactKey, dep AS scheduled_departure,
+         dep + to_minutes(q - 5) AS actual_departure,
+         dep + to_minutes(30 + l_partkey % 300) AS scheduled_arrival,
+         dep + to_minutes(30 + l_partkey % 300 + q * 2 - 10) AS actual_arrival
+  FROM (SELECT *, CAST(FLOOR(l_quantity) AS BIGINT) AS q,
+               CAST(CAST(l_shipdate AS DATE) + 9131 AS TIMESTAMP) + to_hours(l_partkey % 24) AS dep
+        FROM lineitem)
+)
+"""
+
+ETL_TEXTS["maintenance_derivation"] = """
+SELECT event_id, 'N' || CAST(1000 + user_id % 10 AS VARCHAR) AS tail_number,
+       CAST(CAST(FLOOR(value) AS DECIMAL(10,2)) AS DOUBLE) AS labor_cost,
+       CAST(CAST(CAST(value AS DECIMAL(10,2)) - CAST(FLOOR(value) AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS DOUBLE)
+         AS parts_cost,
+       CAST(CAST(event_id % 48 AS DECIMAL(6,2)) AS DOUBLE) AS DurationHours,
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS TotalCost
+FROM events WHERE event_type = 'error'
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
 from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
+                                    derive_delays, derive_maintenance,
                                     lookup_keys, reject_load_factor_range, transform_flights,
                                     validate_flights)
 from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
@@ -20,7 +21,7 @@ from aerostar.session import checkpoint_dir
 from aerostar.sources.star import MONTH_PART
 from aerostar.streaming.incremental import stream_increments, upsert_partitions
 from aerostar.sources.batches import (EXTRACT_START, EXTRACT_END, booking_source, customer_batch,
-                                      flight_batch)
+                                      flight_batch, flight_events, maintenance_events)
 from aerostar.sources.extract import extract_window
 from aerostar.sources.star import Warehouse, derive_star, read_table
 
@@ -210,3 +211,18 @@ def flight_upsert_stream(spark: SparkSession, sf_dir: str, wh: Warehouse | None
     stream_increments(spark, source, schema, f"{work}/_stream_checkpoint", apply,
                       base_path=sf_dir).awaitTermination()
     return as_report(spark.read.parquet(table).drop(MONTH_PART))
+
+
+@raw_job("flight_delays")
+def flight_delays(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Departure and arrival delay minutes from actual vs scheduled times."""
+    events = flight_events(read_table(spark, sf_dir, "lineitem"))
+    return derive_delays(events).select("FlightFactKey", "DepartureDelayMin", "ArrivalDelayMin")
+
+
+@raw_job("maintenance_derivation")
+def maintenance_derivation(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """DurationHours from start/end and TotalCost = labor + parts."""
+    events = maintenance_events(read_table(spark, sf_dir, "events"))
+    return as_report(derive_maintenance(events).select(
+        "event_id", "tail_number", "labor_cost", "parts_cost", "DurationHours", "TotalCost"))

@@ -7,6 +7,9 @@
   e-mail follow the CRM's own rules and therefore differ from the warehouse
   for part of the customers; customers without a current version are new.
 * booking source: reservation records with business keys (P03, P05).
+* flight events (P01) and maintenance events (P04): operational records
+  with times and cost parts, consistent with the facts derived from the
+  same rows.
 """
 
 from __future__ import annotations
@@ -93,3 +96,40 @@ def booking_source(orders: DataFrame) -> DataFrame:
 # Window of the extract example: the last 7 days of the event log.
 EXTRACT_START = dt.datetime(2024, 1, 24, 0, 0, 0)
 EXTRACT_END = dt.datetime(2024, 1, 31, 0, 0, 0)
+
+
+def flight_events(lineitem: DataFrame) -> DataFrame:
+    """Operational flight events (P01 source): scheduled and actual times.
+
+    Scheduled departure is the shifted ship date plus ``partkey % 24`` hours,
+    scheduled arrival adds the air time; the actual times differ by the
+    delays the fact table carries, so P01 must reproduce them.
+    """
+    pk = F.col("l_partkey")
+    q = F.floor("l_quantity").cast("long")
+    day = F.unix_timestamp(F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS).cast("timestamp"))
+    dep = day + (pk % 24) * 3600
+    arr = dep + (30 + pk % 300) * 60
+    return lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("FlightFactKey"),
+        F.timestamp_seconds(dep).alias("scheduled_departure"),
+        F.timestamp_seconds(dep + (q - 5) * 60).alias("actual_departure"),
+        F.timestamp_seconds(arr).alias("scheduled_arrival"),
+        F.timestamp_seconds(arr + (q * 2 - 10) * 60).alias("actual_arrival"),
+    )
+
+
+def maintenance_events(events: DataFrame) -> DataFrame:
+    """Maintenance events with their cost parts (P04 source), from the error events."""
+    eid = F.col("event_id")
+    total = F.col("value").cast("decimal(10,2)")
+    labor = F.floor("value").cast("decimal(10,2)")
+    return events.filter(F.col("event_type") == "error").select(
+        eid.alias("event_id"),
+        _text("N", 1000 + F.col("user_id") % 10).alias("tail_number"),
+        F.col("ts").cast("timestamp").alias("start_time"),
+        F.timestamp_seconds(F.unix_timestamp(F.col("ts").cast("timestamp")) + (eid % 48) * 3600)
+        .alias("end_time"),
+        labor.alias("labor_cost"),
+        (total - labor).cast("decimal(10,2)").alias("parts_cost"),
+    )
