@@ -49,21 +49,26 @@ def rasm_by_route(wh: Warehouse, year_from: int = DEFAULT_YEAR - 1) -> DataFrame
                      F.col("RASM").desc_nulls_first()))
 
 
-def fare_class_yield(wh: Warehouse, year: int = DEFAULT_YEAR) -> DataFrame:
+def fare_class_yield(wh: Warehouse, year: int = DEFAULT_YEAR,
+                     unique_keys: bool = False) -> DataFrame:
     """Bookings and yield per fare class and month.
 
     The original orders by a month number it does not group by; the intent
     (group by the month number as well, then drop it) is implemented.
+    ``unique_keys=True`` (BookingKey known unique, e.g. by the P15 check)
+    counts bookings instead of de-duplicating them, saving a shuffle of
+    (group, key) pairs.
     """
+    bookings = F.count("BookingKey") if unique_keys else F.countDistinct("BookingKey")
     fb = wh.fact_booking.filter(~F.col("CancellationFlag"))
     fb = with_dates(wh, fb, "Year", "MonthName", "Month", year=year)
     fb = fb.join(dim_cols(wh, "fare_class", "FareClassKey", "ClassName", "CabinClass"),
                  "FareClassKey")
     return (fb.groupBy("ClassName", "CabinClass", "Year", "MonthName", "Month").agg(
-                F.countDistinct("BookingKey").alias("TotalBookings"),
+                bookings.alias("TotalBookings"),
                 money_sum("TotalAmount").alias("TotalRevenue"),
                 exact_avg("TicketPrice").alias("AvgTicketPrice"),
-                ratio(F.sum("TotalAmount"), F.countDistinct("BookingKey")).alias("YieldPerBooking"))
+                ratio(F.sum("TotalAmount"), bookings).alias("YieldPerBooking"))
             .orderBy("Year", "Month", F.col("TotalRevenue").desc_nulls_first())
             .drop("Month"))
 
@@ -82,7 +87,8 @@ def weather_impact(wh: Warehouse, year: int = DEFAULT_YEAR) -> DataFrame:
             .orderBy(F.col("AffectedFlights").desc_nulls_first()))
 
 
-def maintenance_reliability(wh: Warehouse, mode: str = "reference") -> DataFrame:
+def maintenance_reliability(wh: Warehouse, mode: str = "reference",
+                            unique_keys: bool = False) -> DataFrame:
     """Maintenance cost per aircraft type.
 
     The original joins maintenance and flights many-to-many on the aircraft
@@ -90,17 +96,22 @@ def maintenance_reliability(wh: Warehouse, mode: str = "reference") -> DataFrame
     same numbers come from per-aircraft aggregates: each maintenance sum is
     weighted by max(#flights, 1) of its aircraft; no exploded join is built.
     ``mode="corrected"`` counts every maintenance row once.
+    ``unique_keys=True`` (MaintenanceKey and FlightFactKey known unique)
+    replaces both distinct counts by counts taken from the per-aircraft
+    aggregates, so no fact-sized de-duplication shuffle remains.
     """
     corrected = check_mode(mode)
     groups = ["Manufacturer", "Model", "Age"]
     ac = dim_cols(wh, "aircraft", "AircraftKey", *groups, current_only=True)
-    flights_per_ac = wh.fact_flight.groupBy("AircraftKey").agg(rows().alias("n_f"))
+    flights_per_ac = wh.fact_flight.groupBy("AircraftKey").agg(
+        rows().alias("n_f"), F.count("FlightFactKey").alias("n_fk"))
     m = (wh.fact_maintenance.join(ac, "AircraftKey")
          .join(flights_per_ac, "AircraftKey", "left")
          .withColumn("w", F.lit(1).cast("long") if corrected else multiplicity("n_f")))
     cost_w = F.col("TotalCost") * F.col("w")
     by_type = m.groupBy(*groups).agg(
-        F.countDistinct("MaintenanceKey").alias("MaintenanceEvents"),
+        (F.count("MaintenanceKey") if unique_keys else F.countDistinct("MaintenanceKey"))
+        .alias("MaintenanceEvents"),
         money_sum(cost_w).alias("TotalMaintenanceCost"),
         ratio(F.sum(cost_w), F.sum(F.when(F.col("TotalCost").isNotNull(), F.col("w"))))
         .alias("AvgCostPerEvent"),
@@ -108,9 +119,14 @@ def maintenance_reliability(wh: Warehouse, mode: str = "reference") -> DataFrame
         int_sum(F.col("FlightsAffected") * F.col("w")).alias("TotalFlightsAffected"),
         F.sum(cost_w).alias("_cost"))
     # Distinct flights of the aircraft that have maintenance, per type.
-    serviced = m.select("AircraftKey", *groups).distinct()
-    flights = (wh.fact_flight.select("AircraftKey", "FlightFactKey").join(serviced, "AircraftKey")
-               .groupBy(*groups).agg(F.countDistinct("FlightFactKey").alias("_flights")))
+    if unique_keys:
+        flights = (m.select("AircraftKey", *groups, F.coalesce(F.col("n_fk"), F.lit(0)).alias("n_fk"))
+                   .distinct().groupBy(*groups).agg(F.sum("n_fk").alias("_flights")))
+    else:
+        serviced = m.select("AircraftKey", *groups).distinct()
+        flights = (wh.fact_flight.select("AircraftKey", "FlightFactKey")
+                   .join(serviced, "AircraftKey")
+                   .groupBy(*groups).agg(F.countDistinct("FlightFactKey").alias("_flights")))
     out = join_on_groups(by_type, flights, groups, "left")
     return (out.withColumn("CostPerFlightHour", ratio(F.col("_cost"), F.col("_flights")))
             .drop("_cost", "_flights")

@@ -101,21 +101,23 @@ def _distinct_flights(wh: Warehouse, year_from: int, group: list[str]) -> DataFr
 
 
 def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
-                    mode: str = "reference") -> DataFrame:
+                    mode: str = "reference", unique_keys: bool = False) -> DataFrame:
     """Flight and cargo revenue per month from the year before ``as_of`` on.
 
     The original LEFT JOINs flights and cargo on the date, so each side is
     repeated once per row of the other on that day; the sums are rebuilt
     from per-day aggregates with those repetition weights.
     ``mode="corrected"``: each fact once, and a missing side counts as 0 in
-    TotalRevenue instead of making it NULL.
+    TotalRevenue instead of making it NULL.  ``unique_keys=True``
+    (FlightFactKey known unique) takes TotalFlights from the per-day counts
+    instead of a distinct count over the flights.
     """
     corrected = check_mode(mode)
     year_from = as_of.year - 1
     lo = year_from * 10000 + 101
     group = ["Year", "MonthName", "Month"]
     fl = restrict_dates(wh.fact_flight, lo).groupBy("DateKey").agg(
-        rows().alias("n_l"), F.sum("Revenue").alias("s_l"))
+        rows().alias("n_l"), F.sum("Revenue").alias("s_l"), F.count("FlightFactKey").alias("c_l"))
     cg = restrict_dates(wh.fact_cargo, lo).groupBy("DateKey").agg(
         rows().alias("n_r"), F.sum("Revenue").alias("s_r"))
     j = _calendar_fanout(wh, year_from, group, fl, cg, corrected)
@@ -126,10 +128,14 @@ def monthly_revenue(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
     rev = j.groupBy(*group).agg(
         flight_rev.cast("double").alias("FlightRevenue"),
         cargo_rev.cast("double").alias("CargoRevenue"),
-        total.cast("double").alias("TotalRevenue"))
-    # Both sides have one row per calendar month: bounded by the date dimension.
-    out = join_on_groups(rev, _distinct_flights(wh, year_from, group), group, "left",
-                         bounded_right=True)
+        total.cast("double").alias("TotalRevenue"),
+        F.sum("c_l").alias("_flights"))
+    if unique_keys:
+        out = rev
+    else:
+        # Both sides have one row per calendar month: bounded by the date dimension.
+        out = join_on_groups(rev.drop("_flights"), _distinct_flights(wh, year_from, group), group,
+                             "left", bounded_right=True)
     return (out.withColumn("TotalFlights", F.coalesce(F.col("_flights"), F.lit(0)).cast("long"))
             .drop("_flights").orderBy("Year", "Month"))
 
@@ -299,14 +305,16 @@ def customer_retention(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF,
 
 
 def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30,
-                   mode: str = "reference") -> DataFrame:
+                   mode: str = "reference", unique_keys: bool = False) -> DataFrame:
     """One KPI row for the last ``days``.
 
     The original LEFT JOINs bookings to flights on the schedule key only, so
     every flight row repeats once per booking of its FlightKey.  Bookings are
     counted per FlightKey and applied as a weight; the distinct customer and
     booking counts come from the bookings of the flights in the window.
-    ``mode="corrected"`` weighs every flight once.
+    ``mode="corrected"`` weighs every flight once.  ``unique_keys=True``
+    (FlightFactKey and BookingKey known unique) counts flights and bookings
+    instead of de-duplicating them; customers are always counted distinct.
     """
     corrected = check_mode(mode)
     ff = with_dates(wh, wh.fact_flight, since=days_before(as_of, days))
@@ -317,11 +325,13 @@ def executive_kpis(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF, days: int = 30
     flown = ff.select("FlightKey").distinct()
     bk = wh.fact_booking.join(flown, "FlightKey", "left_semi")
     # Both distinct counts in one scan of the bookings, as one scalar struct.
+    n_bookings = F.count("BookingKey") if unique_keys else F.countDistinct("BookingKey")
     counts = bk.select(F.struct(F.countDistinct("CustomerKey").alias("c"),
-                                F.countDistinct("BookingKey").alias("b"))).scalar()
+                                n_bookings.alias("b"))).scalar()
     return j.agg(
         F.lit("Last 30 Days" if days == 30 else f"Last {days} Days").alias("Period"),
-        F.countDistinct("FlightFactKey").alias("TotalFlights"),
+        (F.count("FlightFactKey") if unique_keys else F.countDistinct("FlightFactKey"))
+        .alias("TotalFlights"),
         pct(F.sum(F.when(on_time(), w).otherwise(0)), F.sum(w)).alias("OnTimePerformance"),
         ratio(F.sum(F.col("LoadFactor") * w),
               F.sum(F.when(F.col("LoadFactor").isNotNull(), w)), 2, scale=2).alias("AvgLoadFactor"),

@@ -128,3 +128,14 @@ def test_corrected_customer_views(spark, wh):
     k_ref = V.executive_kpis(wh).first()
     k_cor = V.executive_kpis(wh, mode="corrected").first()
     assert k_ref.TotalFlights == k_cor.TotalFlights
+
+
+def test_unique_key_counts_equal_distinct_counts(spark, wh):
+    # The derived facts have unique keys (P15 finds no duplicates), so the
+    # count-based variants must reproduce the exact distinct counts.
+    from aerostar.operators.quality import dq_duplicates
+    for fact, key in ((wh.fact_flight, "FlightFactKey"), (wh.fact_booking, "BookingKey"),
+                      (wh.fact_maintenance, "MaintenanceKey")):
+        assert dq_duplicates(fact, key).count() == 0
+    for fn in (A.fare_class_yield, A.maintenance_reliability, V.monthly_revenue, V.executive_kpis):
+        assert _rows(fn(wh, unique_keys=True)) == _rows(fn(wh)), fn.__name__
