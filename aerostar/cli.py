@@ -2,6 +2,7 @@
 
     python -m aerostar list
     python -m aerostar run otp_by_route --sf-dir /data/src [--star /data/star] [--out /data/out] [--show 20]
+    python -m aerostar run-all --sf-dir /data/src --star /data/star --out /data/reports [--jobs a,b]
     python -m aerostar build-star --sf-dir /data/src --out /data/star
     python -m aerostar refresh-marts --star /data/star --out /data/marts --version 20241231
 
@@ -50,6 +51,22 @@ def _run(args) -> int:
     return 0
 
 
+def _run_all(args) -> int:
+    """Write every report job (or ``--jobs``) to ``<out>/<job>`` as Parquet."""
+    registry._load_all()
+    spark = _session(args)
+    wh = load_star(spark, args.star) if args.star else derive_star(spark, args.sf_dir)
+    names = args.jobs.split(",") if args.jobs else list(registry.JOBS)
+    unknown = [n for n in names if n not in registry.JOBS]
+    if unknown:
+        print(f"unknown report jobs: {unknown}", file=sys.stderr)
+        return 2
+    for name in names:
+        registry.JOBS[name](wh).write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+        print(name)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="aerostar", description=__doc__.split("\n")[0])
     parser.add_argument("--local", metavar="N", help="start a local[N] session")
@@ -61,6 +78,11 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--star", help="folder of a materialised star (build-star)")
     run.add_argument("--out", help="write the result as Parquet here")
     run.add_argument("--show", type=int, default=20, help="rows to print when not writing")
+    run_all = sub.add_parser("run-all", help="write every report job (or --jobs) as Parquet")
+    run_all.add_argument("--sf-dir", required=True)
+    run_all.add_argument("--star")
+    run_all.add_argument("--out", required=True)
+    run_all.add_argument("--jobs", help="comma-separated subset of report jobs")
     build = sub.add_parser("build-star", help="derive and materialise the star schema")
     build.add_argument("--sf-dir", required=True)
     build.add_argument("--out", required=True)
@@ -78,6 +100,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "run":
         return _run(args)
+    if args.cmd == "run-all":
+        return _run_all(args)
     spark = _session(args)
     if args.cmd == "build-star":
         build_star(spark, args.sf_dir, args.out)

@@ -81,3 +81,13 @@ def test_cli_list_and_run(spark, scratch, capsys):
     from conftest import SMALL
     assert main(["run", "kpi_overview", "--sf-dir", SMALL, "--out", f"{scratch}/kpi"]) == 0
     assert spark.read.parquet(f"{scratch}/kpi").count() == 1
+
+
+
+def test_cli_run_all_subset(spark, scratch):
+    from aerostar.cli import main
+    from conftest import SMALL
+    assert main(["run-all", "--sf-dir", SMALL, "--out", f"{scratch}/reports",
+                 "--jobs", "daily_otp,delay_causes"]) == 0
+    assert spark.read.parquet(f"{scratch}/reports/delay_causes").count() == 2
+    assert main(["run-all", "--sf-dir", SMALL, "--out", f"{scratch}/r2", "--jobs", "nope"]) == 2
