@@ -138,13 +138,14 @@ def weather_match(flights: DataFrame, observations: DataFrame, weather_dim: Data
     """Attach the hourly observation of the departure airport to each flight.
 
     Equi-join on (airport, hour of departure); several observations in one
-    hour are reduced to the latest first, so the join cannot multiply rows.
+    hour are reduced to the latest first (ties broken by condition, then
+    severity, so the choice is deterministic), so the join cannot multiply rows.
     The observation's condition/severity (mapped by ``severity_map``) is
     looked up in the weather dimension to give WeatherKey.
     """
     obs = observations.withColumn("__hour", F.date_trunc("hour", F.col("timestamp")))
     latest = obs.groupBy("airport_code", "__hour").agg(
-        F.max_by(F.struct("condition", "severity"), F.col("timestamp")).alias("__o"))
+        F.max(F.struct("timestamp", "condition", "severity")).alias("__o"))
     sev = F.col("__o.severity")
     if severity_map:
         mapping = F.create_map(*[F.lit(x) for kv in severity_map.items() for x in kv])

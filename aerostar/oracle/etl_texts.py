@@ -308,3 +308,33 @@ SELECT event_id, 'N' || CAST(1000 + user_id % 10 AS VARCHAR) AS tail_number,
        CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS TotalCost
 FROM events WHERE event_type = 'error'
 """
+
+ETL_TEXTS["flight_weather"] = with_prelude("""
+SELECT f.FlightFactKey, f.departure_airport, w.WeatherKey
+FROM fl f
+LEFT JOIN latest l ON f.departure_airport = l.airport_code AND date_trunc('hour', f.dep) = l.h
+LEFT JOIN DimWeather w ON w.WeatherCondition = l.condition
+     AND w.Severity = CASE l.severity WHEN 'None' THEN 'Low' WHEN 'Moderate' THEN 'Medium'
+                                      WHEN 'Severe' THEN 'High' ELSE l.severity END
+""", """
+obs AS (
+  SELECT 'A' || lpad(CAST(user_id % 25 AS VARCHAR), 2, '0') AS airport_code, ts AS t,
+         CASE event_type WHEN 'view' THEN 'Sunny' WHEN 'click' THEN 'Showers'
+              WHEN 'purchase' THEN 'Storm' WHEN 'signup' THEN 'Snowfall'
+              ELSE 'Low Visibility' END AS condition,
+         CASE WHEN value < 100 THEN 'None' WHEN value < 300 THEN 'Moderate' ELSE 'Severe' END AS severity
+  FROM events
+),
+latest AS (
+  SELECT airport_code, h, condition, severity FROM (
+    SELECT *, date_trunc('hour', t) AS h,
+           ROW_NUMBER() OVER (PARTITION BY airport_code, date_trunc('hour', t)
+                              ORDER BY t DESC, condition DESC, severity DESC) AS rn
+    FROM obs) WHERE rn = 1
+),
+fl AS (
+  SELECT l_orderkey * 8 + l_linenumber AS FlightFactKey,
+         'A' || lpad(CAST(l_partkey % 25 AS VARCHAR), 2, '0') AS departure_airport,
+         CAST(CAST(l_shipdate AS DATE) + 9131 AS TIMESTAMP) + to_hours(l_partkey % 24) AS dep
+  FROM lineitem
+)""")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
 from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
-                                    derive_delays, derive_maintenance,
+                                    derive_delays, derive_maintenance, weather_match,
                                     lookup_keys, reject_load_factor_range, transform_flights,
                                     validate_flights)
 from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
@@ -21,7 +21,8 @@ from aerostar.session import checkpoint_dir
 from aerostar.sources.star import MONTH_PART
 from aerostar.streaming.incremental import stream_increments, upsert_partitions
 from aerostar.sources.batches import (EXTRACT_START, EXTRACT_END, booking_source, customer_batch,
-                                      flight_batch, flight_events, maintenance_events)
+                                      flight_batch, flight_events, maintenance_events,
+                                      SEVERITY_MAP, flight_departures, weather_observations)
 from aerostar.sources.extract import extract_window
 from aerostar.sources.star import Warehouse, derive_star, read_table
 
@@ -226,3 +227,13 @@ def maintenance_derivation(spark: SparkSession, sf_dir: str, wh: Warehouse | Non
     events = maintenance_events(read_table(spark, sf_dir, "events"))
     return as_report(derive_maintenance(events).select(
         "event_id", "tail_number", "labor_cost", "parts_cost", "DurationHours", "TotalCost"))
+
+
+@raw_job("flight_weather")
+def flight_weather(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Each flight with the weather observed at its departure airport and hour."""
+    wh = wh or derive_star(spark, sf_dir)
+    flights = flight_departures(read_table(spark, sf_dir, "lineitem"))
+    obs = weather_observations(read_table(spark, sf_dir, "events"))
+    return (weather_match(flights, obs, wh.weather, SEVERITY_MAP)
+            .select("FlightFactKey", "departure_airport", "WeatherKey"))

@@ -7,6 +7,7 @@
   e-mail follow the CRM's own rules and therefore differ from the warehouse
   for part of the customers; customers without a current version are new.
 * booking source: reservation records with business keys (P03, P05).
+* weather observations (P08): hourly readings per airport from the event log.
 * flight events (P01) and maintenance events (P04): operational records
   with times and cost parts, consistent with the facts derived from the
   same rows.
@@ -133,3 +134,37 @@ def maintenance_events(events: DataFrame) -> DataFrame:
         labor.alias("labor_cost"),
         (total - labor).cast("decimal(10,2)").alias("parts_cost"),
     )
+
+
+def airport_code(key: F.Column) -> F.Column:
+    """IATA code of the derived airport dimension for an airport key."""
+    return F.concat(F.lit("A"), F.lpad(key.cast("string"), 2, "0"))
+
+
+# Weather condition reported for each event type of the log (own mapping).
+CONDITION_OF_EVENT = {"view": "Sunny", "click": "Showers", "purchase": "Storm",
+                      "signup": "Snowfall", "error": "Low Visibility"}
+# The document's standardisation of raw severities to Low/Medium/High.
+SEVERITY_MAP = {"None": "Low", "Moderate": "Medium", "Severe": "High"}
+
+
+def weather_observations(events: DataFrame) -> DataFrame:
+    """Weather readings (P08 source): airport, time, condition, raw severity."""
+    cond = F.lit("Low Visibility")
+    for event, name in reversed(list(CONDITION_OF_EVENT.items())):
+        cond = F.when(F.col("event_type") == event, name).otherwise(cond)
+    sev = (F.when(F.col("value") < 100, "None").when(F.col("value") < 300, "Moderate")
+           .otherwise("Severe"))
+    return events.select(airport_code(F.col("user_id") % 25).alias("airport_code"),
+                         F.col("ts").cast("timestamp").alias("timestamp"),
+                         cond.alias("condition"), sev.alias("severity"))
+
+
+def flight_departures(lineitem: DataFrame) -> DataFrame:
+    """Flights with their departure airport and scheduled departure time."""
+    pk = F.col("l_partkey")
+    day = F.unix_timestamp(F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS).cast("timestamp"))
+    return lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("FlightFactKey"),
+        airport_code(pk % 25).alias("departure_airport"),
+        F.timestamp_seconds(day + (pk % 24) * 3600).alias("departure_time"))
