@@ -237,3 +237,17 @@ def flight_weather(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None
     obs = weather_observations(read_table(spark, sf_dir, "events"))
     return (weather_match(flights, obs, wh.weather, SEVERITY_MAP)
             .select("FlightFactKey", "departure_airport", "WeatherKey"))
+
+
+@raw_job("mart_refresh")
+def mart_refresh(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """E10 end to end: refresh all five marts into a new version, publish it,
+    and read the monthly flight summary back through the version pointer."""
+    import uuid
+
+    from aerostar.plans.marts import current_mart, refresh_marts
+
+    wh = wh or derive_star(spark, sf_dir)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
+    refresh_marts(wh, out, DEFAULT_AS_OF.strftime("%Y%m%d"))
+    return current_mart(spark, out, "mv_monthly_flight_summary")
