@@ -343,3 +343,18 @@ fl AS (
 from aerostar.oracle.texts import TEXTS as _REPORT_TEXTS  # noqa: E402
 
 ETL_TEXTS["mart_refresh"] = _REPORT_TEXTS["monthly_flight_summary"]
+
+ETL_TEXTS["etl_audit"] = with_prelude("""
+SELECT 'flight_load' AS job,
+       (SELECT COUNT(*) FROM fvalid) AS rows_written,
+       (SELECT COUNT(*) FROM fbatch WHERE COALESCE(SeatsAvailable, 0) < COALESCE(SeatsFilled, 0)
+           OR COALESCE(SeatsAvailable, 0) = 0 OR FlightKey IS NULL OR DateKey IS NULL
+           OR AircraftKey IS NULL OR DepartureAirportKey IS NULL OR ArrivalAirportKey IS NULL)
+         AS rows_rejected,
+       'success' AS status
+""", _FLIGHT_BATCH)
+
+ETL_TEXTS["incremental_events"] = """
+SELECT * FROM events
+WHERE ts > (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-24 00:00:00')
+"""

@@ -251,3 +251,43 @@ def mart_refresh(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None)
     out = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
     refresh_marts(wh, out, DEFAULT_AS_OF.strftime("%Y%m%d"))
     return current_mart(spark, out, "mv_monthly_flight_summary")
+
+
+@raw_job("etl_audit")
+def etl_audit(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Load the transformed flight batch with an audit trail; returns the
+    run-log entry (job, rows written, rows rejected, status)."""
+    import uuid
+
+    from aerostar.operators.audit import audited_load
+
+    work = f"{checkpoint_dir(spark).rstrip('/')}/audit/{uuid.uuid4().hex}"
+    valid, rejected = transform_flights(_batch(spark, sf_dir))
+    audited_load(spark, "flight_load", valid.drop("seq"), rejected.drop("seq"),
+                 f"{work}/fact_flight_load", f"{work}/logs")
+    return (spark.read.parquet(f"{work}/logs/etl_audit_log")
+            .select("job", "rows_written", "rows_rejected", "status"))
+
+
+# Cut-off of the first extract run in the high-water example.
+FIRST_RUN_END = EXTRACT_START
+
+
+@raw_job("incremental_events")
+def incremental_events(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """P09 batch form: a first run extracts the event log up to a cut-off and
+    records its high-water mark in a control table; the next run extracts
+    only the events newer than that mark."""
+    import datetime as _dt
+    import uuid
+
+    from aerostar.streaming.incremental import (high_water_extract, init_control, read_control,
+                                                record_watermark)
+
+    control = f"{checkpoint_dir(spark).rstrip('/')}/control/{uuid.uuid4().hex}"
+    init_control(spark, control)
+    events = read_table(spark, sf_dir, "events")
+    first = high_water_extract(events.filter(F.col("ts") < F.lit(FIRST_RUN_END)),
+                               read_control(spark, control), "events", "ts")
+    record_watermark(first, control, "events", "ts", _dt.datetime(2024, 1, 24))
+    return high_water_extract(events, read_control(spark, control), "events", "ts")
