@@ -10,21 +10,20 @@ from pyspark.sql import functions as F
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
 from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
-                                    derive_delays, derive_maintenance, weather_match,
-                                    lookup_keys, reject_load_factor_range, transform_flights,
-                                    validate_flights)
+                                    derive_delays, derive_maintenance, lookup_keys,
+                                    reject_load_factor_range, transform_flights,
+                                    validate_flights, weather_match)
 from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
                                      scd2_apply)
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
 from aerostar.registry import raw_job
 from aerostar.session import checkpoint_dir
-from aerostar.sources.star import MONTH_PART
-from aerostar.streaming.incremental import stream_increments, upsert_partitions
-from aerostar.sources.batches import (EXTRACT_START, EXTRACT_END, booking_source, customer_batch,
-                                      flight_batch, flight_events, maintenance_events,
-                                      SEVERITY_MAP, flight_departures, weather_observations)
+from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, booking_source,
+                                      customer_batch, flight_batch, flight_departures,
+                                      flight_events, maintenance_events, weather_observations)
 from aerostar.sources.extract import extract_window
-from aerostar.sources.star import Warehouse, derive_star, read_table
+from aerostar.sources.star import MONTH_PART, Warehouse, derive_star, read_table
+from aerostar.streaming.incremental import stream_increments, upsert_partitions
 
 
 def run_etl(wh: Warehouse, batch: DataFrame, as_of: dt.date = DEFAULT_AS_OF,
