@@ -160,3 +160,21 @@ def dq_dates(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
                     .alias("arrival_not_after_departure"))
         names.append("arrival_not_after_departure")
     return _report(j.agg(*aggs), names)
+
+
+def dq_required_defaults(batch: DataFrame, required=("FlightKey", "DateKey", "AircraftKey",
+                                                      "DepartureAirportKey", "ArrivalAirportKey"),
+                         defaulted=("DepartureDelayMin", "ArrivalDelayMin", "CancellationFlag")
+                         ) -> DataFrame:
+    """Records missing a required key (rejected) and records whose
+    optional fields take the documented defaults, counted in one pass."""
+    aggs = [count_if(reduce_or([F.col(c).isNull() for c in required])).alias("missing_required_keys")]
+    aggs += [count_if(F.col(c).isNull()).alias(f"defaulted_{c}") for c in defaulted]
+    return _report(batch.agg(*aggs), ["missing_required_keys"] + [f"defaulted_{c}" for c in defaulted])
+
+
+def reduce_or(conds: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conds:
+        out = out | c
+    return out

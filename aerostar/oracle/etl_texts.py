@@ -358,3 +358,15 @@ ETL_TEXTS["incremental_events"] = """
 SELECT * FROM events
 WHERE ts > (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-24 00:00:00')
 """
+
+ETL_TEXTS["dq_required_defaults"] = with_prelude("""
+SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
+  SELECT 'missing_required_keys' AS CheckName,
+         CAST(COUNT(*) FILTER (WHERE FlightKey IS NULL OR DateKey IS NULL OR AircraftKey IS NULL
+                               OR DepartureAirportKey IS NULL OR ArrivalAirportKey IS NULL) AS BIGINT)
+           AS Failures FROM fbatch
+  UNION ALL SELECT 'defaulted_DepartureDelayMin', COUNT(*) FILTER (WHERE DepartureDelayMin IS NULL) FROM fbatch
+  UNION ALL SELECT 'defaulted_ArrivalDelayMin', COUNT(*) FILTER (WHERE ArrivalDelayMin IS NULL) FROM fbatch
+  UNION ALL SELECT 'defaulted_CancellationFlag', COUNT(*) FILTER (WHERE CancellationFlag IS NULL) FROM fbatch
+) t
+""", _FLIGHT_BATCH)

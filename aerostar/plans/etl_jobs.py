@@ -290,3 +290,9 @@ def incremental_events(spark: SparkSession, sf_dir: str, wh: Warehouse | None =
                                read_control(spark, control), "events", "ts")
     record_watermark(first, control, "events", "ts", _dt.datetime(2024, 1, 24))
     return high_water_extract(events, read_control(spark, control), "events", "ts")
+
+
+@raw_job("dq_required_defaults")
+def dq_required_defaults_job(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Required keys and documented defaults over the flight batch."""
+    return Q.dq_required_defaults(_batch(spark, sf_dir))

@@ -69,3 +69,15 @@ def test_etl_run_optional_scd2_step(spark, wh):
     assert set(out) >= {"extracted", "valid", "rejected", "fact_flight", "dq", "dim_customer"}
     assert out["dq"].count() == 3
     assert out["dim_customer"].filter("IsCurrent").count() >= wh.customer.filter("IsCurrent").count()
+
+
+def test_dq_required_defaults_counts(spark):
+    from aerostar.operators.quality import dq_required_defaults
+    df = spark.createDataFrame(
+        [(1, 20240101, 1, 1, 2, None, 5, None), (None, 20240101, 1, 1, 2, 0, None, False),
+         (2, 20240101, 1, 1, 2, 0, 0, True)],
+        "FlightKey long, DateKey int, AircraftKey long, DepartureAirportKey int, "
+        "ArrivalAirportKey int, DepartureDelayMin int, ArrivalDelayMin int, CancellationFlag boolean")
+    got = {r.CheckName: r.Failures for r in dq_required_defaults(df).collect()}
+    assert got == {"missing_required_keys": 1, "defaulted_DepartureDelayMin": 1,
+                   "defaulted_ArrivalDelayMin": 1, "defaulted_CancellationFlag": 1}
