@@ -11,6 +11,8 @@ from aerostar.llm.common import SPACE, pick, stage
 
 #: Parts into which the byte comparison of one group is dealt.
 SALTS = 32
+#: Groups (24 bytes of key and id each) up to which their keys are broadcast: some 10 MB.
+BROADCAST_GROUPS = 100_000
 
 
 def normalised(text: Column) -> Column:
@@ -44,11 +46,14 @@ def exact_classes(docs: DataFrame, digest: Callable[[Column], Column] = _digest)
                   .filter("n > 1"), "dedup-groups")
 
     # Byte check. A group is dealt over SALTS parts; each part keeps two texts.
-    salted = multi.select("h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-    clash = (base.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-             .join(salted, ["h", "salt"], "left_semi")
-             .groupBy("h", "salt").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
+    rows = base.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    if multi.count() <= BROADCAST_GROUPS:
+        rows = rows.join(F.broadcast(multi.select("h")), "h", "left_semi")
+    else:
+        salted = multi.select("h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        rows = rows.join(salted.hint("merge"), ["h", "salt"], "left_semi")
+    clash = (rows.groupBy("h", "salt").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
              .groupBy("h").agg(*ends).filter("lo <> hi").select("h"))
     clash = stage(clash, "dedup-clash")
 
