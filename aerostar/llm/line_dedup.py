@@ -99,8 +99,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = (F.col(f"c{names.index(n)}") for n in ("doc_id", "text"))
+    # As many documents as have repeats: a merge join at every size.
     joined = rows.withColumn("_print", F.xxhash64(text)).join(
-        drops, (key == drops["doc_id"]) & (F.col("_print") == drops["print"]), "left")
+        drops.hint("merge"), (key == drops["doc_id"]) & (F.col("_print") == drops["print"]), "left")
     joined = joined.withColumn("_at", F.transform(_content(text), lambda x: x["at"]))
     lines, n = F.split(text, "\n"), F.size("_at")
     gone = F.flatten(F.transform("runs", lambda r: F.sequence(r["lo"], r["hi"])))

@@ -168,10 +168,16 @@ def _near(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
     fit = ((DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb"))
            & (flips <= F.floor(total * (DEN - NUM) / F.lit(DEN + NUM))))
     kept = stage(pairs.join(one, "a").join(two, "b").filter(fit).select("a", "b").distinct(), "ngram-pairs")
-    left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
-    return (kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-            .mapInPandas(_verify, "a long, b long"))
+    # The texts that the pairs need are taken out once, by a merge join at every size.
+    wanted = kept.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    texts = stage(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "ngram-texts")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    found = (kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+             .mapInPandas(_verify, "a long, b long"))
+    found = stage(found, "ngram-links")
+    unstage(texts, kept)
+    return found
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -211,7 +217,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     votes = (members.filter("doc_id <> head").groupBy("doc_id", "head").count()
              .groupBy("doc_id").agg(F.max(F.struct("count", -F.col("head"))).alias("best")))
     stars = votes.select((-F.col("best.col2")).alias("a"), F.col("doc_id").alias("b"))
-    first = stage(_near(stars, info, docs), "ngram-links")
+    first = _near(stars, info, docs)
 
     # Rows that share an id but not a set.
     reps = named.select("n", "s1", "s2", "doc_id").join(classes, ["n", "s1", "s2"]).select("doc_id", "rep")
@@ -230,7 +236,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     x = rest.select("key", F.col("doc_id").alias("a"), F.col("probe").alias("pa"), F.col("root").alias("ra"))
     y = rest.select("key", F.col("doc_id").alias("b"), F.col("probe").alias("pb"), F.col("root").alias("rb"))
     cross = (x.join(y, "key").filter("a < b AND ra <> rb AND (pa OR pb)").select("a", "b").distinct())
-    second = stage(_near(cross, info, docs), "ngram-links")
+    second = _near(cross, info, docs)
     if not second.isEmpty():
         labels = components(links.unionByName(second))
 
@@ -254,7 +260,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key = F.col(f"c{names.index('doc_id')}")
     gone = stage(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "ngram-gone")
-    return rows.join(gone, key == gone["_gone"], "left_anti").toDF(*names)
+    return rows.join(gone.hint("merge"), key == gone["_gone"], "left_anti").toDF(*names)
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -301,7 +301,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
               .unionByName(placed.select(F.col("source_id").alias("doc_id"), F.col("y_lo").alias("lo"),
                                          F.col("y_hi").alias("hi"))))
     spans = wanted.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    parts = stage(docs.join(spans, "doc_id").mapInPandas(_cut, "doc_id long, lo int, hi int, part binary"), "passage-parts")
+    parts = stage(docs.join(spans.hint("merge"), "doc_id").mapInPandas(_cut, "doc_id long, lo int, hi int, part binary"), "passage-parts")
     here = parts.select("doc_id", F.col("lo").alias("x_lo"), F.col("hi").alias("x_hi"), F.col("part").alias("here"))
     there = parts.select(F.col("doc_id").alias("source_id"), F.col("lo").alias("y_lo"),
                          F.col("hi").alias("y_hi"), F.col("part").alias("there"))

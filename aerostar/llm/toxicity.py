@@ -102,7 +102,8 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     total = every.count()
     part = lambda most, of: int(min(1.0, most / max(of, 1)) * (1 << 30))
     chosen = known.filter((F.col("toxic") == 1) & (slot < part(MAX_POSITIVE, bad))).select("doc_id")
-    positive = every.join(chosen, "doc_id", "left_semi").withColumn("positive", F.lit(True))
+    # Some MAX_POSITIVE ids of 8 bytes, whatever the size of the tables.
+    positive = every.join(F.broadcast(chosen), "doc_id", "left_semi").withColumn("positive", F.lit(True))
     unlabelled = every.filter(slot < part(MAX_UNLABELLED, total)).withColumn("positive", F.lit(False))
     # A text counts once on either side, however many copies it has.
     sample = positive.unionByName(unlabelled).withColumn("text", F.coalesce("text", F.lit("")))
