@@ -157,29 +157,54 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[ok, ["a", "b"]]
 
 
-def _near(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
-    """The linked ones of ``pairs`` (a, b): pruned by size and parity sketch, then verified on the texts."""
-    one = info.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), *[F.col(f"k{i}").alias(f"a{i}") for i in range(4)])
-    two = info.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), *[F.col(f"k{i}").alias(f"b{i}") for i in range(4)])
-    total = F.col("na") + F.col("nb")
-    flips = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, 4)),
-                F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
-    # Each token of the symmetric difference flips one bit at most.
-    fit = ((DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb"))
-           & (flips <= F.floor(total * (DEN - NUM) / F.lit(DEN + NUM))))
-    kept = stage(pairs.join(one, "a").join(two, "b").filter(fit).select("a", "b").distinct(), "ngram-pairs")
-    # The texts that the pairs need are taken out once, by a merge join at every size.
-    wanted = kept.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "ngram-texts")
+#: Rounds in which the open candidates are checked against a pivot of each key before all pairs are.
+PIVOT_ROUNDS = 2
+
+
+def _side(df: DataFrame, info: DataFrame, side: str) -> DataFrame:
+    """Add to ``df`` the set size and parity sketch of its column ``side`` (a or b)."""
+    return df.join(info.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
+                               *[F.col(f"k{i}").alias(f"k{i}_{side}") for i in range(4)]), side)
+
+
+def _fit():
+    """Whether sets of these sizes and sketches can link: a differing token flips one bit at most."""
+    flips = F.bit_count(F.col("k0_a").bitwiseXOR(F.col("k0_b")))
+    for i in range(1, 4):
+        flips = flips + F.bit_count(F.col(f"k{i}_a").bitwiseXOR(F.col(f"k{i}_b")))
+    return ((DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
+            & (flips <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / F.lit(DEN + NUM))))
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), verified on the texts."""
+    kept = stage(pairs.select("a", "b").distinct(), "ngram-pairs")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
-    found = (kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-             .mapInPandas(_verify, "a long, b long"))
-    found = stage(found, "ngram-links")
-    unstage(texts, kept)
+    found = stage(kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
+                  .mapInPandas(_verify, "a long, b long"), "ngram-links")
+    unstage(kept)
     return found
 
 
+def _voted(stars: DataFrame, info: DataFrame) -> DataFrame:
+    """Of ``stars`` (a, b; one row per shared key), the a with which each b shares most keys."""
+    votes = (stars.groupBy("a", "b").count().groupBy("b")
+             .agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("best")))
+    best = votes.select((-F.col("best.a")).alias("a"), "b")
+    return _side(_side(best, info, "a"), info, "b").filter(_fit())
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of keys that still bring unconnected sets together, with their ``root``."""
+    at = labels.select(F.col("node").alias("doc_id"), "root")
+    tagged = (members.select("key", "doc_id", "probe").join(at, "doc_id", "left")
+              .withColumn("root", F.coalesce("root", "doc_id")))
+    keys = stage(tagged.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                 .filter("lo < hi").select("key"), "ngram-open-keys")
+    return stage(tagged.join(keys, "key"), "ngram-open")
+
+
 def near_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_same.
 
@@ -187,10 +212,11 @@ def near_components(docs: DataFrame) -> DataFrame:
     classes are joined through their smallest id. Each set is cut into hashed
     segments by the scheme of its size band; sets that share a segment key
     (or a one-deletion key) are candidates. First each set is checked against
-    the smallest id of its keys with which it shares most keys; what that links is merged,
-    and then every other pair of candidates that isn't connected yet is
-    checked, so no link between components is lost and a dense group costs
-    one check per member, not one per pair.
+    one of the smallest ids of its keys, the one with which it shares most,
+    then, where a key still holds unconnected sets, against other pivots. In
+    the end every pair of candidates that isn't connected yet is checked, so
+    no link between components is lost, and a dense group costs a few checks
+    per member, not one per pair.
 
     Cases: null or empty texts have 0 shingles and are components of their
     own; a null doc_id gets a null component and links nothing; rows that
@@ -200,12 +226,14 @@ def near_components(docs: DataFrame) -> DataFrame:
     docs = pick(docs, "doc_id", "text")
     binary = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     sets = stage(binary.mapInArrow(_sets, SET_SCHEMA), "ngram-sets")
-    named = sets.filter("doc_id IS NOT NULL AND n > 0")
+    rows = stage(sets.select("doc_id", "n", "s1", "s2"), "ngram-rows")
+    named = rows.filter("doc_id IS NOT NULL AND n > 0")
     classes = stage(named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_same")),
                     "ngram-classes")
-    heads = named.join(classes.select("n", "s1", "s2", F.col("rep").alias("doc_id")),
-                       ["n", "s1", "s2", "doc_id"], "left_semi")
-    info = stage(heads.select("doc_id", "n", "k0", "k1", "k2", "k3").distinct(), "ngram-info")
+    heads = sets.filter("doc_id IS NOT NULL AND n > 0").join(
+        classes.select("n", "s1", "s2", F.col("rep").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi")
+    info = stage(heads.groupBy("doc_id").agg(*[F.min_by(c, "s1").alias(c) for c in ("n", "k0", "k1", "k2", "k3")]),
+                 "ngram-info")
 
     keys = (heads.select("doc_id", "n_probe", F.posexplode("keys").alias("pos", "key"))
             .select("key", "doc_id", (F.col("pos") < F.col("n_probe")).alias("probe")))
@@ -213,37 +241,45 @@ def near_components(docs: DataFrame) -> DataFrame:
                                            F.max("probe").alias("probed"))
                    .filter("head < last AND probed").select("key", "head"), "ngram-shared")
     members = stage(keys.join(shared, "key").select("key", "doc_id", "probe", "head"), "ngram-members")
-
-    votes = (members.filter("doc_id <> head").groupBy("doc_id", "head").count()
-             .groupBy("doc_id").agg(F.max(F.struct("count", -F.col("head"))).alias("best")))
-    stars = votes.select((-F.col("best.col2")).alias("a"), F.col("doc_id").alias("b"))
-    first = _near(stars, info, docs)
+    unstage(sets, shared)
+    # The texts of all candidates are taken out once, by a merge join at every size.
+    wanted = members.select("doc_id").distinct()
+    texts = stage(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "ngram-texts")
 
     # Rows that share an id but not a set.
-    reps = named.select("n", "s1", "s2", "doc_id").join(classes, ["n", "s1", "s2"]).select("doc_id", "rep")
+    reps = named.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep")
     twins = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).filter("a < top")
     twins = stage(reps.join(twins.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")), "ngram-twins")
-    links = first.unionByName(twins)
-    labels = components(links)
 
-    at = labels.select(F.col("node").alias("doc_id"), "root")
-    tagged = (members.select("key", "doc_id", "probe").join(at, "doc_id", "left")
-              .withColumn("root", F.coalesce("root", "doc_id")))
-    open_keys = stage(tagged.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                      .filter("lo < hi").select("key"), "ngram-open")
-    rest = stage(tagged.join(open_keys, "key"), "ngram-rest")
-    unstage(members, shared)
-    x = rest.select("key", F.col("doc_id").alias("a"), F.col("probe").alias("pa"), F.col("root").alias("ra"))
-    y = rest.select("key", F.col("doc_id").alias("b"), F.col("probe").alias("pb"), F.col("root").alias("rb"))
-    cross = (x.join(y, "key").filter("a < b AND ra <> rb AND (pa OR pb)").select("a", "b").distinct())
-    second = _near(cross, info, docs)
-    if not second.isEmpty():
-        labels = components(links.unionByName(second))
+    stars = members.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
+    links = _links(_voted(stars, info), texts).unionByName(twins)
+    labels = components(links)
+    left = _open(members, labels)
+    for turn in range(PIVOT_ROUNDS):
+        # Another pivot of each key: the least by a hash of the round.
+        by = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "root")
+        pivots = stage(left.groupBy("key").agg(F.min(by).alias("p")).select(
+            "key", F.col("p.doc_id").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
+        stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("doc_id").alias("b"))
+        found = _links(_voted(stars, info), texts)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
+            left = _open(left, labels)
+    # What is left is checked pair by pair, except what sizes and sketches rule out.
+    side = lambda name: _side(left.select("key", F.col("doc_id").alias(name), F.col("probe").alias(f"p_{name}"),
+                                          F.col("root").alias(f"r_{name}")), info, name)
+    x, y = side("a"), side("b")
+    cross = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["r_a"] != y["r_b"])
+                   & (x["p_a"] | y["p_b"]) & _fit())
+    found = _links(cross.select("a", "b"), texts)
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
 
     of = labels.select(F.col("node").alias("rep"), "root")
     many = classes.join(of, "rep", "left").select("n", "s1", "s2", "rep", "n_same", "root")
     many = stage(many.filter("n_same > 1 OR root IS NOT NULL"), "ngram-merged")
-    out = sets.select("doc_id", "n", "s1", "s2").join(many, ["n", "s1", "s2"], "left")
+    out = rows.join(many, ["n", "s1", "s2"], "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(known, F.coalesce("root", "rep", "doc_id")).alias("component_id"),
