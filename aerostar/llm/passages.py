@@ -27,7 +27,7 @@ DROP = 4
 GRID = 64
 
 SEED_SCHEMA = "doc_id long, seeds array<long>, places array<int>"
-PIECE = "doc_id long, piece int, xs array<int>, ys array<int>, source_id long"
+PIECE = "doc_id long, xs array<int>, ys array<int>, source_id long"
 
 
 def seeds_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,42 +112,51 @@ def chain(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _promising(spans: list[tuple[int, int]]) -> list[bool]:
-    """Of spans (from, to), which lie in a stretch that may still become a passage."""
-    order = sorted(range(len(spans)), key=lambda i: spans[i])
-    keep, group, end = [False] * len(spans), [], None
+def _promising(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which of the spans lo..hi lie in a stretch that may still become a passage.
 
-    def close():
-        lo, hi = spans[group[0]][0], max(spans[i][1] for i in group)
-        if hi - lo + 2 * WINDOW >= MIN_WORDS:
-            for i in group:
-                keep[i] = True
-
-    for i in order:
-        if group and spans[i][0] - end > MAX_GAP + 2 * WINDOW:
-            close()
-            group, end = [], None
-        group.append(i)
-        end = spans[i][1] if end is None else max(end, spans[i][1])
-    if group:
-        close()
+    Exact copies leave at most WINDOW words between neighbouring anchors, and
+    fewer than that at either end; changed words inside are MAX_GAP's matter.
+    """
+    order = np.lexsort((hi, lo))
+    reach = np.maximum.accumulate(hi[order])
+    fresh = np.concatenate([[True], lo[order][1:] - reach[:-1] > WINDOW + SEED])
+    group = np.cumsum(fresh) - 1
+    start, end = lo[order][fresh], np.concatenate([reach[:-1][fresh[1:]], reach[-1:]])
+    keep = np.zeros(len(lo), dtype=bool)
+    keep[order] = (end - start + 2 * (WINDOW - 1) >= MIN_WORDS)[group]
     return keep
 
 
-def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    values = np.concatenate(parts) if parts else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int32), pa.int32()))
+
+
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, hits) to a row per piece: the chains worth aligning."""
     for batch in batches:
-        out = []
-        for doc_id, hits in zip(batch["doc_id"], batch["hits"], strict=True):
-            h = np.array([(r["source_id"], r["x"], r["y"]) for r in hits], dtype=np.int64)
-            h = h[np.lexsort((h[:, 2], h[:, 1], h[:, 0]))]
+        hits = batch.column(1)
+        offsets = hits.offsets.to_numpy()
+        fields = [hits.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+        ids, xs, ys, sources = [], [], [], []
+        for doc_id, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
+            source, x, y = (f[a:b] for f in fields)
+            order = np.lexsort((y, x, source))
+            source, x, y = source[order], x[order], y[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(source)) + 1, [len(source)]])
             pieces = []
-            for part in np.split(h, np.flatnonzero(np.diff(h[:, 0])) + 1):
-                for path in chain(part[:, 1], part[:, 2]):
-                    pieces.append((int(part[0, 0]), part[path, 1], part[path, 2]))
-            keep = _promising([(int(x[0]), int(x[-1]) + SEED) for _, x, _ in pieces])
-            chosen = [p for p, k in zip(pieces, keep, strict=True) if k]
-            out += [(doc_id, i, x.astype(np.int32), y.astype(np.int32), s) for i, (s, x, y) in enumerate(chosen)]
-        yield pd.DataFrame(out, columns=["doc_id", "piece", "xs", "ys", "source_id"])
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                pieces += [(source[i], x[i:j][path], y[i:j][path]) for path in chain(x[i:j], y[i:j])]
+            keep = _promising(np.array([p[1][0] for p in pieces]), np.array([p[1][-1] for p in pieces]) + SEED)
+            for i in np.flatnonzero(keep):
+                ids.append(doc_id)
+                sources.append(int(pieces[i][0]))
+                xs.append(pieces[i][1])
+                ys.append(pieces[i][2])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(xs), _lists(ys), pa.array(sources, pa.int64())],
+                                         names=["doc_id", "xs", "ys", "source_id"])
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,16 +215,19 @@ def align(a: list[bytes], b: list[bytes], xs, ys) -> tuple[int, int, int, int, i
     return xs[0] - left, xs[-1] + SEED + right, ys[0] - left, ys[-1] + SEED + right, matched + more + also
 
 
-def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "x0", "x1", "source_id", "y0", "y1", "same"]
     for batch in batches:
+        col = {n: batch.column(n) for n in batch.schema.names}
         out = []
-        for r in batch.to_dict("records"):
-            xs = [int(x) - r["x_lo"] for x in r["xs"]]
-            ys = [int(y) - r["y_lo"] for y in r["ys"]]
-            x0, x1, y0, y1, same = align(r["here"].split(), r["there"].split(), xs, ys)
-            out.append((r["doc_id"], x0 + r["x_lo"], x1 + r["x_lo"], r["source_id"],
-                        y0 + r["y_lo"], y1 + r["y_lo"], same))
-        yield pd.DataFrame(out, columns=["doc_id", "x0", "x1", "source_id", "y0", "y1", "same"])
+        for i in range(len(batch)):
+            x_lo, y_lo = col["x_lo"][i].as_py(), col["y_lo"][i].as_py()
+            x0, x1, y0, y1, same = align(col["here"][i].as_py().split(), col["there"][i].as_py().split(),
+                                         [x - x_lo for x in col["xs"][i].as_py()],
+                                         [y - y_lo for y in col["ys"][i].as_py()])
+            out.append((x0 + x_lo, x1 + x_lo, y0 + y_lo, y1 + y_lo, same))
+        x0, x1, y0, y1, same = (pa.array(c, pa.int32()) for c in (zip(*out, strict=True) if out else [()] * 5))
+        yield pa.RecordBatch.from_arrays([col["doc_id"], x0, x1, col["source_id"], y0, y1, same], names=names)
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -286,7 +298,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     hits = rows.join(firsts, "seed").select("doc_id", x.alias("x"), "source_id", "y").filter(
         "NOT (doc_id = source_id AND x = y)")
     chains = stage(hits.groupBy("doc_id").agg(F.collect_list(F.struct("source_id", "x", "y")).alias("hits"))
-                   .mapInPandas(_chains, PIECE), "passage-chains")
+                   .mapInArrow(_chains, PIECE), "passage-chains")
     unstage(seeds, firsts)
 
     def border(column: str, last: str) -> list:
@@ -305,8 +317,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     here = parts.select("doc_id", F.col("lo").alias("x_lo"), F.col("hi").alias("x_hi"), F.col("part").alias("here"))
     there = parts.select(F.col("doc_id").alias("source_id"), F.col("lo").alias("y_lo"),
                          F.col("hi").alias("y_hi"), F.col("part").alias("there"))
-    both = placed.join(here, ["doc_id", "x_lo", "x_hi"]).join(there, ["source_id", "y_lo", "y_hi"])
-    pieces = both.mapInPandas(_aligned, "doc_id long, x0 int, x1 int, source_id long, y0 int, y1 int, same int")
+    both = (placed.join(here, ["doc_id", "x_lo", "x_hi"]).join(there, ["source_id", "y_lo", "y_hi"])
+            .select("doc_id", "source_id", "xs", "ys", "x_lo", "y_lo", "here", "there"))
+    pieces = both.mapInArrow(_aligned, "doc_id long, x0 int, x1 int, source_id long, y0 int, y1 int, same int")
     return (pieces.groupBy("doc_id")
             .agg(F.collect_list(F.struct("x0", "x1", "source_id", "y0", "y1", "same")).alias("pieces"))
             .mapInPandas(_merge, "doc_id long, start int, end int, matched int, source_id long, "

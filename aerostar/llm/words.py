@@ -7,7 +7,7 @@ import xxhash
 
 _MUL = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 #: Words kept by a task before its table is emptied.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 300_000
 
 
 class WordHashes(dict):
