@@ -63,7 +63,8 @@ def train_nnpu(rows: np.ndarray, cols: np.ndarray, n_pos: int, n_all: int, n_fea
     Documents 0..n_pos-1 are positive, the rest unlabelled; (rows, cols) are
     the features present. Logistic loss: the risk of the positives is
     prior * E_p[l(f)], that of the negatives max(0, E_u[l(-f)] - prior * E_p[l(-f)]);
-    where the latter falls below 0 the step goes up its slope instead.
+    where the latter falls below 0 the step goes up its slope instead. Last,
+    the bias is set so that the unlabelled texts score ``prior`` on average.
     """
     w, b = np.zeros(n_features), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     share = np.empty(n_all)
@@ -87,7 +88,16 @@ def train_nnpu(rows: np.ndarray, cols: np.ndarray, n_pos: int, n_all: int, n_fea
         fix = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         w -= fix * m / (np.sqrt(v) + 1e-8)
         b -= fix * mb / (np.sqrt(vb) + 1e-8)
-    return w, b
+    # The unlabelled texts score the prior on average: with little to learn, that is every score.
+    f = (np.bincount(rows, weights=w[cols], minlength=n_all) + b)[~pos]
+    lo, hi = -30.0, 30.0
+    for _ in range(60):
+        shift = (lo + hi) / 2
+        if (1.0 / (1.0 + np.exp(-np.clip(f + shift, -30, 30)))).mean() > prior:
+            hi = shift
+        else:
+            lo = shift
+    return w, b + (lo + hi) / 2
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
