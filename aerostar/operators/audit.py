@@ -43,7 +43,7 @@ def audited_load(spark: SparkSession, job: str, valid: DataFrame, rejected: Data
             (dq.withColumn("job", F.lit(job)).withColumn("checked_at", F.lit(started))
              .write.mode("append").parquet(f"{log_dir}/data_quality_log"))
     except Exception as exc:  # the failure itself is part of the audit trail
-        status, error = "failed", str(exc)[:2000]
+        status, error = "failed", str(exc)
     ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = (job, started, ended, int(written), int(rejected_n), status, error)
     spark.createDataFrame([row], RUN_LOG_SCHEMA).write.mode("append").parquet(

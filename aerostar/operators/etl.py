@@ -154,7 +154,7 @@ def weather_match(flights: DataFrame, observations: DataFrame, weather_dim: Data
                            F.col("__o.condition").alias("__cond"), sev.alias("__sev"))
     keys = weather_dim.select(F.col("WeatherCondition").alias("__cond"),
                               F.col("Severity").alias("__sev"), "WeatherKey")
-    latest = latest.join(F.broadcast(keys), ["__cond", "__sev"], "left")
+    latest = latest.join(keys, ["__cond", "__sev"], "left")
     f = flights.withColumn("__hour", F.date_trunc("hour", F.col("departure_time")))
     j = f.join(latest, (f["departure_airport"] == latest["airport_code"])
                & (f["__hour"] == latest["__ohour"]), "left")

@@ -319,9 +319,9 @@ LEFT JOIN DimWeather w ON w.WeatherCondition = l.condition
 """, """
 obs AS (
   SELECT 'A' || lpad(CAST(user_id % 25 AS VARCHAR), 2, '0') AS airport_code, ts AS t,
-         CASE event_type WHEN 'view' THEN 'Sunny' WHEN 'click' THEN 'Showers'
-              WHEN 'purchase' THEN 'Storm' WHEN 'signup' THEN 'Snowfall'
-              ELSE 'Low Visibility' END AS condition,
+         CASE event_type WHEN 'view' THEN 'Weather 1' WHEN 'click' THEN 'Weather 2'
+              WHEN 'purchase' THEN 'Weather 3' WHEN 'signup' THEN 'Weather 4'
+              ELSE 'Weather 5' END AS condition,
          CASE WHEN value < 100 THEN 'None' WHEN value < 300 THEN 'Moderate' ELSE 'Severe' END AS severity
   FROM events
 ),

@@ -288,8 +288,8 @@ def incremental_events(spark: SparkSession, sf_dir: str, wh: Warehouse | None =
     events = read_table(spark, sf_dir, "events")
     first = high_water_extract(events.filter(F.col("ts") < F.lit(FIRST_RUN_END)),
                                read_control(spark, control), "events", "ts")
-    record_watermark(first, control, "events", "ts", _dt.datetime(2024, 1, 24))
-    return high_water_extract(events, read_control(spark, control), "events", "ts")
+    record_watermark(first, control, "events", "ts", _dt.datetime(2024, 1, 24), "event_id")
+    return high_water_extract(events, read_control(spark, control), "events", "ts", "event_id")
 
 
 @raw_job("dq_required_defaults")

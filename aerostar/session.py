@@ -8,6 +8,7 @@ session is used as is and only missing settings are filled in.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,9 +68,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a fresh scratch folder is created
-    and registered, so lineage cuts never land in a machine-local folder on
-    a real cluster.  Works with a classic session (SparkContext) and with a
+    Where it is unset, a ``local`` master gets a fresh scratch folder; any
+    other raises, so lineage cuts never land in a machine-local folder on a
+    real cluster.  Works with a classic session (SparkContext) and with a
     Spark Connect session (configuration only).
     """
     try:
@@ -79,11 +80,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
-            path = tempfile.mkdtemp(prefix="aerostar-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", path)
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         return path
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="aerostar-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

@@ -142,15 +142,15 @@ def airport_code(key: F.Column) -> F.Column:
 
 
 # Weather condition reported for each event type of the log (own mapping).
-CONDITION_OF_EVENT = {"view": "Sunny", "click": "Showers", "purchase": "Storm",
-                      "signup": "Snowfall", "error": "Low Visibility"}
+CONDITION_OF_EVENT = {"view": "Weather 1", "click": "Weather 2", "purchase": "Weather 3",
+                      "signup": "Weather 4", "error": "Weather 5"}
 # The document's standardisation of raw severities to Low/Medium/High.
 SEVERITY_MAP = {"None": "Low", "Moderate": "Medium", "Severe": "High"}
 
 
 def weather_observations(events: DataFrame) -> DataFrame:
     """Weather readings (P08 source): airport, time, condition, raw severity."""
-    cond = F.lit("Low Visibility")
+    cond = F.lit("Weather 5")
     for event, name in reversed(list(CONDITION_OF_EVENT.items())):
         cond = F.when(F.col("event_type") == event, name).otherwise(cond)
     sev = (F.when(F.col("value") < 100, "None").when(F.col("value") < 300, "Moderate")

@@ -11,9 +11,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, fields, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from aerostar.functions.dates import date_dimension, date_key
 
@@ -28,7 +27,7 @@ MONTH_PART = "DateMonth"
 # inline reference rows, the 25 nations and 5 regions of the source); only
 # these are broadcast by hint.  Every other dimension grows with the data and
 # is left to adaptive execution, which broadcasts it only after measuring it.
-BOUNDED_DIMS = ("date", "airport", "carrier", "fare_class", "weather", "maintenance_type")
+BOUNDED_DIMS = ("date",)
 
 
 @dataclass(frozen=True)
@@ -67,24 +66,23 @@ def _text(prefix: str, num: Column) -> Column:
 
 
 def flight_base(lineitem: DataFrame) -> DataFrame:
-    """One row per (order, line): the shared source of flights and cargo."""
-    agg = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("pk"),
-        F.min("l_suppkey").alias("sk"),
-        F.min("l_shipdate").alias("sd"),
-        F.min("l_quantity").alias("qd"),
-        F.min("l_extendedprice").alias("pd"),
-        F.min("l_discount").alias("disc"),
-        F.min("l_returnflag").alias("rf"),
-        F.min("l_linestatus").alias("ls"),
-    )
-    return agg.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"),
-        "pk", "sk",
-        F.floor("qd").cast("int").alias("q"),
-        F.col("pd").cast("decimal(12,2)").alias("price"),
-        "disc", "rf", "ls",
-        _shifted(F.col("sd")).alias("d"),
+    """Every line item under a unique key: the shared source of flights and cargo.
+
+    (order, line) repeats in the source; the first line in the order of all
+    other columns keeps the plain key, the n-th is moved by (n - 1) * 2^40.
+    """
+    own = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag", "l_linestatus")
+    return lineitem.withColumn("nth", F.row_number().over(own)).select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")
+         + (F.col("nth") - 1).cast("long") * F.lit(1 << 40)).alias("k"),
+        F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"),
+        F.floor("l_quantity").cast("int").alias("q"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        F.col("l_discount").alias("disc"), F.col("l_returnflag").alias("rf"),
+        F.col("l_linestatus").alias("ls"),
+        _shifted(F.col("l_shipdate")).alias("d"),
     )
 
 
@@ -143,11 +141,13 @@ def fact_booking(orders: DataFrame) -> DataFrame:
     d = _shifted(F.col("o_orderdate"))
     price = F.col("o_totalprice").cast("decimal(10,2)")
     cancelled = (F.col("o_orderstatus") == "P") & (ok % 3 == 0)
-    return orders.filter(F.col("o_custkey") % 50 != 1).select(
+    # Customers 1, 51, 101... have no bookings: theirs go to the customer before.
+    customer = F.col("o_custkey") - F.when(F.col("o_custkey") % 50 == 1, 1).otherwise(0)
+    return orders.select(
         ok.alias("BookingKey"),
         (ok % 200).cast("int").alias("FlightKey"),
         date_key(d).alias("DateKey"),
-        F.col("o_custkey").alias("CustomerKey"),
+        customer.alias("CustomerKey"),
         (1 + ok % 5).cast("int").alias("FareClassKey"),
         F.date_add(d, (-(ok % 60)).cast("int")).alias("BookingDate"),
         d.alias("TravelDate"),
@@ -179,8 +179,9 @@ def fact_maintenance(events: DataFrame) -> DataFrame:
 
 def dim_flight(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
-    return part.filter(pk % 97 != 0).select(
-        pk.alias("FlightKey"),
+    # Every 97th schedule row carries a key that no fact has: its facts are orphans.
+    return part.select(
+        F.when(pk % 97 == 0, -1 - pk).otherwise(pk).alias("FlightKey"),
         _text("FL", 1000 + pk).alias("FlightNumber"),
         (pk % 5).cast("int").alias("CarrierKey"),
     )
@@ -271,58 +272,44 @@ def dim_customer(customer: DataFrame) -> DataFrame:
     )
 
 
-# Inline reference dimensions (own values, keys 1..n).
-FARE_CLASS_ROWS = [
-    (1, "S", "Saver", "Economy", "Low", False, True, 0, False),
-    (2, "E", "Economy Flex", "Economy", "Medium", True, True, 1, False),
-    (3, "P", "Premium Flex", "Premium Economy", "Medium", True, False, 2, True),
-    (4, "B", "Business Flex", "Business", "High", True, False, 2, True),
-    (5, "R", "Residence", "First", "Premium", True, False, 3, True),
-]
-WEATHER_ROWS = [
-    (1, "Sunny", "Low", "Low", "No weather impact"),
-    (2, "Showers", "Medium", "Medium", "Intermittent rain"),
-    (3, "Storm", "High", "High", "Convective storm"),
-    (4, "Snowfall", "Medium", "Medium", "Snow on runways"),
-    (5, "Low Visibility", "High", "High", "Fog or haze"),
-]
-MAINTENANCE_TYPE_ROWS = [
-    (1, "LINE", "Routine", "Line check", True, 6.0),
-    (2, "HEAVY", "Major", "Heavy check", True, 96.0),
-    (3, "POWERPLANT", "Engine", "Engine shop visit", True, 36.0),
-    (4, "AOG", "Unscheduled", "Aircraft on ground repair", False, 10.0),
-]
-
-FARE_CLASS_SCHEMA = T.StructType([
-    T.StructField("FareClassKey", T.IntegerType()),
-    T.StructField("FareCode", T.StringType()),
-    T.StructField("ClassName", T.StringType()),
-    T.StructField("CabinClass", T.StringType()),
-    T.StructField("PriceBand", T.StringType()),
-    T.StructField("RefundableFlag", T.BooleanType()),
-    T.StructField("ChangeFeeFlag", T.BooleanType()),
-    T.StructField("BaggageAllowance", T.IntegerType()),
-    T.StructField("PriorityBoarding", T.BooleanType()),
-])
-WEATHER_SCHEMA = T.StructType([
-    T.StructField("WeatherKey", T.IntegerType()),
-    T.StructField("WeatherCondition", T.StringType()),
-    T.StructField("Severity", T.StringType()),
-    T.StructField("ImpactLevel", T.StringType()),
-    T.StructField("Description", T.StringType()),
-])
-MAINTENANCE_TYPE_SCHEMA = T.StructType([
-    T.StructField("MaintenanceTypeKey", T.IntegerType()),
-    T.StructField("MaintenanceCode", T.StringType()),
-    T.StructField("MaintenanceCategory", T.StringType()),
-    T.StructField("Description", T.StringType()),
-    T.StructField("IsScheduled", T.BooleanType()),
-    T.StructField("AverageDurationHours", T.DoubleType()),
-])
-
-
-def _inline(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+# The three reference dimensions are derived from the regions, one row each.
+def dim_fare_class(region: DataFrame) -> DataFrame:
+    rk = F.col("r_regionkey")
+    return region.select(
+        (1 + rk).cast("int").alias("FareClassKey"),
+        _text("R", rk).alias("FareCode"),
+        F.concat(F.lit("Fare "), F.col("r_name")).alias("ClassName"),
+        _text("Cabin ", rk % 3).alias("CabinClass"),
+        _text("Band ", rk % 2).alias("PriceBand"),
+        (rk % 2 == 0).alias("RefundableFlag"),
+        (rk % 2 == 1).alias("ChangeFeeFlag"),
+        (rk % 4).cast("int").alias("BaggageAllowance"),
+        (rk >= 3).alias("PriorityBoarding"),
+    )
+
+
+def dim_weather(region: DataFrame) -> DataFrame:
+    rk = F.col("r_regionkey")
+    severity = F.when(rk % 3 == 0, "Low").when(rk % 3 == 1, "Medium").otherwise("High")
+    return region.select(
+        (1 + rk).cast("int").alias("WeatherKey"),
+        _text("Weather ", 1 + rk).alias("WeatherCondition"),
+        severity.alias("Severity"),
+        severity.alias("ImpactLevel"),
+        F.concat(F.lit("As seen in "), F.col("r_name")).alias("Description"),
+    )
+
+
+def dim_maintenance_type(region: DataFrame) -> DataFrame:
+    rk = F.col("r_regionkey")
+    return region.filter(rk < 4).select(
+        (1 + rk).cast("int").alias("MaintenanceTypeKey"),
+        _text("MT", rk).alias("MaintenanceCode"),
+        _text("Category ", rk % 2).alias("MaintenanceCategory"),
+        F.col("r_name").alias("Description"),
+        (rk != 3).alias("IsScheduled"),
+        (6 * (1 + rk)).cast("decimal(5,2)").alias("AverageDurationHours"),
+    )
 
 
 def derive_star(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> Warehouse:
@@ -333,18 +320,16 @@ def derive_star(spark: SparkSession, sf_dir: str, base: DataFrame | None = None)
     read = lambda name: read_table(spark, sf_dir, name)
     if base is None:
         base = flight_base(read("lineitem"))
-    mt = _inline(spark, MAINTENANCE_TYPE_ROWS, MAINTENANCE_TYPE_SCHEMA).withColumn(
-        "AverageDurationHours", F.col("AverageDurationHours").cast("decimal(5,2)"))
     return Warehouse(
         date=date_dimension(spark),
         airport=dim_airport(read("nation"), read("region")),
         carrier=dim_carrier(read("region")),
         aircraft=dim_aircraft(read("supplier")),
         customer=dim_customer(read("customer")),
-        fare_class=_inline(spark, FARE_CLASS_ROWS, FARE_CLASS_SCHEMA),
+        fare_class=dim_fare_class(read("region")),
         flight=dim_flight(read("part")),
-        weather=_inline(spark, WEATHER_ROWS, WEATHER_SCHEMA),
-        maintenance_type=mt,
+        weather=dim_weather(read("region")),
+        maintenance_type=dim_maintenance_type(read("region")),
         fact_flight=fact_flight(base),
         fact_booking=fact_booking(read("orders")),
         fact_cargo=fact_cargo(base),

@@ -64,9 +64,9 @@ def test_weather_match(spark, wh):
     flights = spark.createDataFrame([(1, "A01", dt.datetime(2024, 1, 1, 8, 40))],
                                     "id int, departure_airport string, departure_time timestamp")
     obs = spark.createDataFrame([
-        ("A01", dt.datetime(2024, 1, 1, 8, 5), "Storm", "Severe"),
-        ("A01", dt.datetime(2024, 1, 1, 8, 50), "Showers", "Moderate"),
-        ("A01", dt.datetime(2024, 1, 1, 9, 5), "Sunny", "None"),
+        ("A01", dt.datetime(2024, 1, 1, 8, 5), "Weather 3", "Severe"),
+        ("A01", dt.datetime(2024, 1, 1, 8, 50), "Weather 2", "Moderate"),
+        ("A01", dt.datetime(2024, 1, 1, 9, 5), "Weather 1", "None"),
     ], "airport_code string, timestamp timestamp, condition string, severity string")
     out = weather_match(flights, obs, wh.weather,
                         {"None": "Low", "Moderate": "Medium", "Severe": "High"}).first()
