@@ -230,18 +230,21 @@ def near_components(docs: DataFrame) -> DataFrame:
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     classes = stage(named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_same")),
                     "ngram-classes")
-    heads = sets.filter("doc_id IS NOT NULL AND n > 0").join(
-        classes.select("n", "s1", "s2", F.col("rep").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi")
+    # Written once: the keys are read twice below, and the sets can go before.
+    heads = stage(sets.filter("doc_id IS NOT NULL AND n > 0").join(
+        classes.select("n", "s1", "s2", F.col("rep").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi"),
+        "ngram-heads")
+    unstage(sets)
     info = stage(heads.groupBy("doc_id").agg(*[F.min_by(c, "s1").alias(c) for c in ("n", "k0", "k1", "k2", "k3")]),
                  "ngram-info")
 
     keys = (heads.select("doc_id", "n_probe", F.posexplode("keys").alias("pos", "key"))
             .select("key", "doc_id", (F.col("pos") < F.col("n_probe")).alias("probe")))
-    shared = stage(keys.groupBy("key").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"),
-                                           F.max("probe").alias("probed"))
-                   .filter("head < last AND probed").select("key", "head"), "ngram-shared")
-    members = stage(keys.join(shared, "key").select("key", "doc_id", "probe", "head"), "ngram-members")
-    unstage(sets, shared)
+    # Nearly every key is held once, so the rows of this aggregate carry two small numbers only.
+    shared = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.max("probe").alias("probed"))
+                   .filter("held > 1 AND probed").select("key"), "ngram-shared")
+    members = stage(keys.join(shared, "key"), "ngram-members")
+    unstage(heads, shared)
     # The texts of all candidates are taken out once, by a merge join at every size.
     wanted = members.select("doc_id").distinct()
     texts = stage(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "ngram-texts")
@@ -251,7 +254,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     twins = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).filter("a < top")
     twins = stage(reps.join(twins.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")), "ngram-twins")
 
-    stars = members.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
+    heads = members.groupBy("key").agg(F.min("doc_id").alias("a"))
+    stars = members.join(heads, "key").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     links = _links(_voted(stars, info), texts).unionByName(twins)
     labels = components(links)
     left = _open(members, labels)
