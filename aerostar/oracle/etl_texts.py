@@ -13,7 +13,8 @@ _BATCH_ORDER = ("FlightKey, DateKey, AircraftKey, DepartureAirportKey, ArrivalAi
 
 _FLIGHT_BATCH = f"""
 fbatch AS (
-  SELECT l_orderkey * 8 + l_linenumber AS FlightFactKey, l_partkey AS FlightKey,
+  SELECT CASE WHEN l_orderkey % 50 = 0 THEN -(l_orderkey * 8 + l_linenumber)
+              ELSE l_orderkey * 8 + l_linenumber END AS FlightFactKey, l_partkey AS FlightKey,
          CAST(year(dd) * 10000 + month(dd) * 100 + day(dd) AS INTEGER) AS DateKey,
          l_suppkey AS AircraftKey,
          CAST(l_partkey % 25 AS INTEGER) AS DepartureAirportKey,
@@ -68,7 +69,7 @@ _COLLAPSE = (",\ncoll AS (\n  SELECT FlightFactKey,\n" + ",\n".join(
     [f"         arg_min({c}, seq) AS {c}" for c in _FIRST]
     + [f"         arg_max({c}, seq) AS {c}" for c in _LAST])
     + "\n  FROM fvalid GROUP BY FlightFactKey\n),\n"
-    + f"tgt AS (SELECT * FROM FactFlight WHERE DateKey <= {AS_OF.year * 10000 + AS_OF.month * 100 + AS_OF.day})")
+    + "tgt AS (SELECT * FROM FactFlight)")
 
 
 def _upd(c: str) -> str:

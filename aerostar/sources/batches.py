@@ -30,13 +30,19 @@ FLIGHT_BATCH_COLS = (
 )
 
 
+def flight_key() -> F.Column:
+    """Key of a batch record; every 50th order brings flights that no stored fact has (negative keys)."""
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return F.when(F.col("l_orderkey") % 50 == 0, -key).otherwise(key)
+
+
 def flight_batch(lineitem: DataFrame) -> DataFrame:
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     q = F.floor("l_quantity").cast("int")
     d = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
     seats = (F.lit(150) + pk % 200).cast("int")
     rows = lineitem.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("FlightFactKey"),
+        flight_key().alias("FlightFactKey"),
         pk.alias("FlightKey"),
         date_key(d).alias("DateKey"),
         sk.alias("AircraftKey"),
