@@ -108,19 +108,26 @@ def derive_maintenance(src: DataFrame) -> DataFrame:
     })
 
 
-def lookup_keys(df: DataFrame, dim: DataFrame, business_col: str, dim_business_col: str,
-                key_col: str, out_col: str | None = None,
-                current_only: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Business key -> surrogate key; misses go to rejects.
+def with_key(df: DataFrame, dim: DataFrame, business_col: str, dim_business_col: str,
+             key_col: str, out_col: str | None = None, current_only: bool = True) -> DataFrame:
+    """P05 in one pass: every row with its surrogate key, or null and a RejectReason.
 
     The dimension side is reduced to (business key, surrogate key) of the
     current rows; adaptive execution broadcasts it only if it is small.
     """
     d = dim.filter(F.col("IsCurrent")) if current_only and "IsCurrent" in dim.columns else dim
-    d = d.select(F.col(dim_business_col).alias("__bk"), F.col(key_col).alias(out_col or key_col))
+    out = out_col or key_col
+    d = d.select(F.col(dim_business_col).alias("__bk"), F.col(key_col).alias(out))
     j = df.join(d, df[business_col] == d["__bk"], "left").drop("__bk")
-    hit = F.col(out_col or key_col).isNotNull()
-    return j.filter(hit), j.filter(~hit).withColumn("RejectReason", F.lit(f"unknown_{business_col}"))
+    return j.withColumn("RejectReason", F.when(F.col(out).isNull(), f"unknown_{business_col}"))
+
+
+def lookup_keys(df: DataFrame, dim: DataFrame, business_col: str, dim_business_col: str,
+                key_col: str, out_col: str | None = None,
+                current_only: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Business key -> surrogate key; (hits, rejects)."""
+    j = with_key(df, dim, business_col, dim_business_col, key_col, out_col, current_only)
+    return j.filter("RejectReason IS NULL").drop("RejectReason"), j.filter("RejectReason IS NOT NULL")
 
 
 def aggregate_children(parent: DataFrame, children: DataFrame, key: str,

@@ -176,8 +176,9 @@ FROM bsrc
 """, _BOOKING_SOURCE)
 
 ETL_TEXTS["booking_key_lookup"] = with_prelude("""
-SELECT b.booking_id, b.customer_id, c.CustomerKey
-FROM bsrc b JOIN DimCustomer c ON b.customer_id = c.CustomerID AND c.IsCurrent
+SELECT b.booking_id, b.customer_id, c.CustomerKey,
+       CASE WHEN c.CustomerKey IS NULL THEN 'unknown_customer_id' END AS RejectReason
+FROM bsrc b LEFT JOIN DimCustomer c ON b.customer_id = c.CustomerID AND c.IsCurrent
 """, _BOOKING_SOURCE)
 
 ETL_TEXTS["dq_duplicates"] = with_prelude("""

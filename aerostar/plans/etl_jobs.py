@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
 from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
-                                    derive_delays, derive_maintenance, lookup_keys,
+                                    derive_delays, derive_maintenance,
                                     reject_load_factor_range, transform_flights,
-                                    validate_flights, weather_match)
+                                    validate_flights, weather_match, with_key)
 from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
                                      scd2_apply)
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
@@ -126,11 +126,10 @@ def booking_totals(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None
 
 @raw_job("booking_key_lookup")
 def booking_key_lookup(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
-    """Reservation customer IDs resolved to current customer keys (hits)."""
+    """Reservation customer IDs resolved to current customer keys; misses carry a reason."""
     wh = wh or derive_star(spark, sf_dir)
     src = booking_source(read_table(spark, sf_dir, "orders")).select("booking_id", "customer_id")
-    hits, _ = lookup_keys(src, wh.customer, "customer_id", "CustomerID", "CustomerKey")
-    return hits
+    return with_key(src, wh.customer, "customer_id", "CustomerID", "CustomerKey")
 
 
 @raw_job("dq_duplicates")
