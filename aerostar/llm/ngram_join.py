@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from aerostar.llm.common import pick, stage, unstage
 from aerostar.llm.components import components
-from aerostar.llm.words import WordHashes, gram_hashes, hashes, mix, words
+from aerostar.llm.words import direct_hashes, gram_hashes, mix, words
 
 SHINGLE = 4
 #: Two sets link when NUM * union <= DEN * intersection; 85/100.
@@ -54,9 +54,16 @@ def scheme(band: int) -> tuple[int, int]:
     return max(weight - DELETION_SEGMENTS, 1), DELETION_SEGMENTS
 
 
-def signature(tokens: np.ndarray, band: int, need: int) -> tuple[np.ndarray, np.ndarray]:
+def segment_of(tokens: np.ndarray, m: int) -> np.ndarray:
+    """Segment (0 to m - 1) of each token: its upper 32 bits, scaled; tokens are hashes already."""
+    at = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    return at.astype(np.uint16 if m <= 1 << 16 else np.int64)
+
+
+def signature(tokens: np.ndarray, value: np.ndarray, band: int, need: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys that probe, the other keys) of a set in the scheme of ``band``.
 
+    ``value`` holds another hash of each token, summed up in each segment.
     Tokens are hashed into segments. Two sets that differ in fewer than
     ``need`` tokens agree on a segment, or differ by one token in a segment
     with deletions, among any segments whose weights (1, with deletions 2)
@@ -65,9 +72,9 @@ def signature(tokens: np.ndarray, band: int, need: int) -> tuple[np.ndarray, np.
     cost most.
     """
     m, d = scheme(band)
-    at = (mix(tokens, 1000 + band) % np.uint64(m)).astype(np.int64)
+    at = segment_of(tokens, m)
     order = np.argsort(at, kind="stable")
-    at, value = at[order], mix(tokens, 7)[order]
+    at, value = at[order], value[order]
     size = np.bincount(at, minlength=m)
     total = np.zeros(m, dtype=np.uint64)
     filled = np.flatnonzero(size)
@@ -100,14 +107,15 @@ def signatures(tokens: np.ndarray) -> tuple[np.ndarray, int]:
     """
     n = len(tokens)
     band = band_of(n)
+    value = mix(tokens, 7)
     probes, rest = [], []
     if most_apart(2 * BANDS[band][1]):
-        a, b = signature(tokens, band, most_apart(2 * n) + 1)
+        a, b = signature(tokens, value, band, most_apart(2 * n) + 1)
         probes.append(a)
         rest.append(b)
     largest = n * DEN // NUM
     if largest >= BANDS[band + 1][0]:
-        a, _ = signature(tokens, band + 1, most_apart(n + largest) + 1)
+        a, _ = signature(tokens, value, band + 1, most_apart(n + largest) + 1)
         probes.append(a)
     n_probe = sum(map(len, probes))
     keys = np.concatenate([*probes, *rest]) if probes else np.zeros(0, np.uint64)
@@ -119,14 +127,14 @@ SET_SCHEMA = ("doc_id long, n long, s1 long, s2 long, k0 long, k1 long, k2 long,
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
     for batch in batches:
         rows, keys = [], []
         for text in batch.column(1):
-            tokens = np.unique(gram_hashes(hashes(words(text.as_py()), known), SHINGLE))
+            tokens = np.sort(gram_hashes(direct_hashes(words(text.as_py())), SHINGLE))
+            tokens = tokens[np.diff(tokens, prepend=~tokens[:1]) != 0]
             with np.errstate(over="ignore"):
-                sums = [int(mix(tokens, s).sum(dtype=np.uint64)) for s in (21, 22)]
-            odd = np.bincount((mix(tokens, 23) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+                sums = [int(x.sum(dtype=np.uint64)) for x in (tokens, mix(tokens, 22))]
+            odd = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.uint8), minlength=SKETCH_BITS) & 1
             sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
             got, n_probe = signatures(tokens)
             rows.append((len(tokens), *np.array(sums, dtype=np.uint64).view(np.int64).tolist(), *sketch.tolist(), n_probe))

@@ -39,6 +39,11 @@ def hashes(tokens: list[bytes], known: WordHashes) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
 
 
+def direct_hashes(tokens: list[bytes]) -> np.ndarray:
+    """The same hashes without a table: quicker where most words of a task are rare."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), dtype=np.uint64, count=len(tokens))
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of ``n`` words; of the whole sequence when it has 1..n-1 words."""
     if len(h) == 0:
