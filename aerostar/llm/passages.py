@@ -112,22 +112,6 @@ def chain(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _promising(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Which of the spans lo..hi lie in a stretch that may still become a passage.
-
-    Exact copies leave at most WINDOW words between neighbouring anchors, and
-    fewer than that at either end; changed words inside are MAX_GAP's matter.
-    """
-    order = np.lexsort((hi, lo))
-    reach = np.maximum.accumulate(hi[order])
-    fresh = np.concatenate([[True], lo[order][1:] - reach[:-1] > WINDOW + SEED])
-    group = np.cumsum(fresh) - 1
-    start, end = lo[order][fresh], np.concatenate([reach[:-1][fresh[1:]], reach[-1:]])
-    keep = np.zeros(len(lo), dtype=bool)
-    keep[order] = (end - start + 2 * (WINDOW - 1) >= MIN_WORDS)[group]
-    return keep
-
-
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     values = np.concatenate(parts) if parts else np.zeros(0)
@@ -135,7 +119,11 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, hits) to a row per piece: the chains worth aligning."""
+    """Rows (doc_id, hits) to a row per chain.
+
+    All of them are aligned: a lone anchor can lie in a passage whose other
+    seeds were all changed, and only the texts tell.
+    """
     for batch in batches:
         hits = batch.column(1)
         offsets = hits.offsets.to_numpy()
@@ -146,15 +134,12 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((y, x, source))
             source, x, y = source[order], x[order], y[order]
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(source)) + 1, [len(source)]])
-            pieces = []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                pieces += [(source[i], x[i:j][path], y[i:j][path]) for path in chain(x[i:j], y[i:j])]
-            keep = _promising(np.array([p[1][0] for p in pieces]), np.array([p[1][-1] for p in pieces]) + SEED)
-            for i in np.flatnonzero(keep):
-                ids.append(doc_id)
-                sources.append(int(pieces[i][0]))
-                xs.append(pieces[i][1])
-                ys.append(pieces[i][2])
+                for path in chain(x[i:j], y[i:j]):
+                    ids.append(doc_id)
+                    sources.append(int(source[i]))
+                    xs.append(x[i:j][path])
+                    ys.append(y[i:j][path])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(xs), _lists(ys), pa.array(sources, pa.int64())],
                                          names=["doc_id", "xs", "ys", "source_id"])
 
@@ -276,8 +261,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     Each occurrence of a seed is joined to the seed's first one (smallest id,
     then place), so a passage in thousands of documents gives one match per
     occurrence. The matches of a document form collinear chains per source;
-    chains are cut out of both texts, aligned and extended; neighbouring
-    pieces, also of different sources, make a passage. Any MIN_WORDS words in
+    chains, also lone anchors, are cut out of both texts, aligned and extended;
+    neighbouring pieces, also of different sources, make a passage. Any MIN_WORDS words in
     a row that occurred before are found.
 
     Cases: null and empty texts, texts of fewer than SEED words, and rows
@@ -302,8 +287,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     unstage(seeds, firsts)
 
     def border(column: str, last: str) -> list:
-        lo = F.greatest(F.lit(0), F.element_at(column, 1) - 2 * WINDOW)
-        hi = F.element_at(column, -1) + SEED + 2 * WINDOW
+        # A lone anchor may have to grow to MIN_WORDS on one side.
+        lo = F.greatest(F.lit(0), F.element_at(column, 1) - MIN_WORDS)
+        hi = F.element_at(column, -1) + SEED + MIN_WORDS
         return [(F.floor(lo / GRID) * GRID).cast("int").alias(f"{last}_lo"),
                 (F.ceil(hi / GRID) * GRID).cast("int").alias(f"{last}_hi")]
 

@@ -268,6 +268,40 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
     assert {r.matched for r in got} == {60, 58}
 
 
+def _planted(rng, n, kept):
+    """(words, the same with words changed inside, both ends unchanged)."""
+    clean = [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    fuzzy = list(clean)
+    for at in rng.choice(np.arange(1, n - 1), n - int(np.ceil(n * kept)), replace=False):
+        fuzzy[at] = f"z{rng.integers(0, 10**9)}"
+    return clean, fuzzy
+
+
+def test_fuzzy_passages_that_share_a_seed_are_found(spark):
+    rng = np.random.default_rng(8)
+    known, rows, planted = passages.WordHashes(), [], {}
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    for k in range(400):
+        clean, fuzzy = _planted(rng, int(rng.integers(50, 101)), rng.uniform(0.8, 0.95))
+        if k % 8 == 0:  # three changes near each end
+            clean = text(60)
+            fuzzy = list(clean)
+            for at in (4, 9, 14, 45, 50, 55):
+                fuzzy[at] = f"z{k}"
+        a, b = text(40) + clean + text(40), text(30) + fuzzy + text(30)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        seeds = [passages.seeds_of(passages.hashes([x.encode() for x in w], known))[0] for w in (a, b)]
+        if len(np.intersect1d(*seeds)):
+            planted[2 * k + 1] = (30, 30 + len(fuzzy))
+    assert len(planted) > 300
+    got = collections.defaultdict(set)
+    for r in passages.repeated_passages(frame(spark, rows)).collect():
+        assert r.doc_id % 2 == 1 and r.source_id == r.doc_id - 1
+        got[r.doc_id].update(range(r.start, r.end))
+    covered = [len(got[d] & set(range(lo, hi))) / (hi - lo) for d, (lo, hi) in planted.items()]
+    assert np.mean([c > 0 for c in covered]) > 0.97 and np.mean(covered) > 0.95
+
+
 def test_chain_prefers_the_collinear_anchors():
     xs, ys = np.array([0, 6, 12, 13, 18]), np.array([100, 106, 7, 112, 118])
     assert sorted(len(p) for p in passages.chain(xs, ys)) == [1, 4]
