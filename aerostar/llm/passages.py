@@ -200,51 +200,153 @@ def align(a: list[bytes], b: list[bytes], xs, ys) -> tuple[int, int, int, int, i
     return xs[0] - left, xs[-1] + SEED + right, ys[0] - left, ys[-1] + SEED + right, matched + more + also
 
 
+def stretches(same: np.ndarray, size: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Longest runs of cells of which IDENTITY is matched, in order: (from, to) of each.
+
+    A cell has ``size`` words, ``same`` of them matched. The longest run is
+    taken, then those left and right of it; each begins and ends with a
+    matched cell and has ``least`` words or more.
+    """
+    score = np.concatenate([[0], np.cumsum(100 * same - round(100 * IDENTITY) * size)])
+    words_to = np.concatenate([[0], np.cumsum(size)])
+    hits = np.flatnonzero(same)
+    out, todo = [], [(0, len(same))]
+    while todo:
+        lo, hi = todo.pop()
+        inside = hits[np.searchsorted(hits, lo):np.searchsorted(hits, hi)]
+        if not len(inside):
+            continue
+        lo, hi = int(inside[0]), int(inside[-1]) + 1
+        if words_to[hi] - words_to[lo] < least:
+            continue
+        # The farthest end whose score is not below the start's.
+        part = score[lo:hi + 1]
+        ends = len(part) - 1 - np.searchsorted(np.maximum.accumulate(part[::-1]), part)
+        reach = words_to[lo + ends] - words_to[lo:hi + 1]
+        start = int(reach.argmax())
+        i, j = lo + start, lo + int(ends[start])
+        if words_to[j] - words_to[i] < least:
+            continue
+        todo += [(lo, i), (j, hi)]
+        inside = hits[np.searchsorted(hits, i):np.searchsorted(hits, j)]
+        i, j = int(inside[0]), int(inside[-1]) + 1
+        if words_to[j] - words_to[i] >= least:
+            out.append((i, j))
+    return sorted(out)
+
+
+def _pairs(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+    """Places of the words that the best alignment of two gaps matches, as many as _common counts."""
+    if len(a) == len(b):
+        out = [(i, i) for i, (x, y) in enumerate(zip(a, b, strict=True)) if x == y]
+        if 2 * len(out) >= len(a):
+            return out
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        above, row = rows[-1], [0]
+        for j, y in enumerate(b):
+            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+        rows.append(row)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif rows[i - 1][j] >= rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
+def pieces(a: list[bytes], b: list[bytes], xs, ys) -> list[tuple[int, int, int, int, int]]:
+    """The alignment of a chain as align gives it, or its stretches that agree where the whole doesn't."""
+    x0, x1, y0, y1, same = align(a, b, xs, ys)
+    if same >= IDENTITY * (x1 - x0):
+        return [(x0, x1, y0, y1, same)]
+    at = np.full(x1 - x0, -1)
+
+    def put(x: int, y: int, n: int) -> None:
+        at[x - x0:x - x0 + n] = np.arange(y, y + n)
+
+    def side(x: int, y: int, n: int) -> None:
+        for k in range(n):
+            if a[x + k] == b[y + k]:
+                at[x + k - x0] = y + k
+
+    side(x0, y0, xs[0] - x0)
+    put(xs[0], ys[0], SEED)
+    for i in range(1, len(xs)):
+        near = min(xs[i] - xs[i - 1], ys[i] - ys[i - 1])
+        if near > SEED:
+            x, y = xs[i - 1] + SEED, ys[i - 1] + SEED
+            for p, q in _pairs(a[x:xs[i]], b[y:ys[i]]):
+                at[x + p - x0] = y + q
+        near = min(near, SEED)
+        put(xs[i] + SEED - near, ys[i] + SEED - near, near)
+    side(xs[-1] + SEED, ys[-1] + SEED, x1 - xs[-1] - SEED)
+    hit = (at >= 0).astype(np.int64)
+    return [(x0 + i, x0 + j, int(at[i]), int(at[j - 1]) + 1, int(hit[i:j].sum()))
+            for i, j in stretches(hit, np.ones_like(hit), SEED)]
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "x0", "x1", "source_id", "y0", "y1", "same"]
     for batch in batches:
         col = {n: batch.column(n) for n in batch.schema.names}
-        out = []
+        out, row = [], []
         for i in range(len(batch)):
             x_lo, y_lo = col["x_lo"][i].as_py(), col["y_lo"][i].as_py()
-            x0, x1, y0, y1, same = align(col["here"][i].as_py().split(), col["there"][i].as_py().split(),
-                                         [x - x_lo for x in col["xs"][i].as_py()],
-                                         [y - y_lo for y in col["ys"][i].as_py()])
-            out.append((x0 + x_lo, x1 + x_lo, y0 + y_lo, y1 + y_lo, same))
+            for x0, x1, y0, y1, same in pieces(col["here"][i].as_py().split(), col["there"][i].as_py().split(),
+                                               [x - x_lo for x in col["xs"][i].as_py()],
+                                               [y - y_lo for y in col["ys"][i].as_py()]):
+                out.append((x0 + x_lo, x1 + x_lo, y0 + y_lo, y1 + y_lo, same))
+                row.append(i)
+        row = pa.array(row, pa.int64())
         x0, x1, y0, y1, same = (pa.array(c, pa.int32()) for c in (zip(*out, strict=True) if out else [()] * 5))
-        yield pa.RecordBatch.from_arrays([col["doc_id"], x0, x1, col["source_id"], y0, y1, same], names=names)
+        yield pa.RecordBatch.from_arrays([col["doc_id"].take(row), x0, x1, col["source_id"].take(row), y0, y1, same],
+                                         names=names)
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ["doc_id", "start", "end", "matched", "source_id", "source_start", "source_end", "source_ids"]
     for batch in batches:
         out = []
-        for doc_id, pieces in zip(batch["doc_id"], batch["pieces"], strict=True):
+        for doc_id, found_here in zip(batch["doc_id"], batch["pieces"], strict=True):
             group, end = [], None
 
-            def close():
-                lo, hi, same, upto = group[0]["x0"], end, 0, group[0]["x0"]
+            def told(doc_id, some, lo, hi, same):
+                main = max(some, key=lambda p: (p["same"], -p["source_id"], -p["x0"]))
+                out.append((doc_id, lo, hi, same, main["source_id"], main["y0"], main["y1"],
+                            sorted({int(p["source_id"]) for p in some})))
+
+            def close(doc_id, group):
+                # Cells: the words between the pieces, and what each piece adds.
+                same, size, upto = [], [], group[0]["x0"]
                 for p in group:
                     fresh = max(0, p["x1"] - max(p["x0"], upto))
-                    same += min(p["same"], fresh)
+                    same += [0, min(p["same"], fresh)]
+                    size += [max(0, p["x0"] - upto), fresh]
                     upto = max(upto, p["x1"])
-                if hi - lo >= MIN_WORDS and same >= IDENTITY * (hi - lo):
-                    main = max(group, key=lambda p: (p["same"], -p["source_id"], -p["x0"]))
-                    out.append((doc_id, lo, hi, same, main["source_id"], main["y0"], main["y1"],
-                                sorted({int(p["source_id"]) for p in group})))
-
-            for p in sorted((r.asDict() if hasattr(r, "asDict") else r for r in pieces),
+                same, size = np.array(same), np.array(size)
+                start, found = group[0]["x0"], [(0, len(same))]
+                if same.sum() < IDENTITY * size.sum():
+                    found = stretches(same, size, MIN_WORDS)
+                ends = start + np.concatenate([[0], np.cumsum(size)])
+                for i, j in found:
+                    lo, hi = int(ends[i]), int(ends[j])
+                    if hi - lo >= MIN_WORDS:
+                        told(doc_id, [p for p in group if p["x0"] < hi and p["x1"] > lo], lo, hi, int(same[i:j].sum()))
+
+            for p in sorted((r.asDict() if hasattr(r, "asDict") else r for r in found_here),
                             key=lambda p: (p["x0"], -p["x1"], p["source_id"], p["y0"])):
-                # Pieces that agree with each other join; a poor one doesn't drag down its neighbour.
-                if p["same"] < IDENTITY * (p["x1"] - p["x0"]):
-                    continue
                 if group and p["x0"] - end > (1 - IDENTITY) * MAX_GAP:
-                    close()
+                    close(doc_id, group)
                     group, end = [], None
                 group.append(p)
                 end = p["x1"] if end is None else max(end, p["x1"])
             if group:
-                close()
+                close(doc_id, group)
         yield pd.DataFrame(out, columns=names)
 
 
@@ -262,7 +364,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     then place), so a passage in thousands of documents gives one match per
     occurrence. The matches of a document form collinear chains per source;
     chains, also lone anchors, are cut out of both texts, aligned and extended;
-    neighbouring pieces, also of different sources, make a passage. Any MIN_WORDS words in
+    one that agrees only in parts is cut into its stretches that do. Neighbouring
+    pieces, also of different sources, make a passage. Any MIN_WORDS words in
     a row that occurred before are found.
 
     Cases: null and empty texts, texts of fewer than SEED words, and rows

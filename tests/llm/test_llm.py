@@ -302,6 +302,39 @@ def test_fuzzy_passages_that_share_a_seed_are_found(spark):
     assert np.mean([c > 0 for c in covered]) > 0.97 and np.mean(covered) > 0.95
 
 
+def test_exact_passage_beside_a_sparsely_shared_region_is_found(spark):
+    rng = np.random.default_rng(9)
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, places = [], {}
+    for k in range(60):
+        a, b = text(60), text(0)
+        b += a
+        for _ in range(1 + k % 6):  # a form: 12 changed words, 12 fixed ones
+            fixed = text(12)
+            a, b = a + text(12) + fixed, b + text(12) + fixed
+        if k % 2:
+            a, b = a[::-1], b[::-1]
+        rows += [(2 * k, " ".join(text(20) + a + text(20))), (2 * k + 1, " ".join(text(30) + b + text(30)))]
+        places[2 * k + 1] = (30 + len(b) - 60, 30 + len(b)) if k % 2 else (30, 90)
+    got = collections.defaultdict(set)
+    for r in passages.repeated_passages(frame(spark, rows)).collect():
+        assert r.end - r.start >= passages.MIN_WORDS and r.matched >= passages.IDENTITY * (r.end - r.start)
+        got[r.doc_id].update(range(r.start, r.end))
+    assert all(set(range(lo, hi)) <= got[d] for d, (lo, hi) in places.items())
+
+
+def test_longest_stretches_that_agree():
+    rng = np.random.default_rng(10)
+    for _ in range(300):
+        same = (rng.random(rng.integers(0, 40)) < 0.7).astype(np.int64)
+        size = np.ones_like(same)
+        good = [(i, j) for i in range(len(same)) for j in range(i + 6, len(same) + 1)
+                if same[i] and same[j - 1] and 10 * same[i:j].sum() >= 8 * (j - i)]
+        got = passages.stretches(same, size, 6)
+        assert set(got) <= set(good) and all(b <= c for (_, b), (c, _) in zip(got, got[1:]))
+        assert bool(got) == bool(good)
+
+
 def test_chain_prefers_the_collinear_anchors():
     xs, ys = np.array([0, 6, 12, 13, 18]), np.array([100, 106, 7, 112, 118])
     assert sorted(len(p) for p in passages.chain(xs, ys)) == [1, 4]
