@@ -74,6 +74,25 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "this program is free software you can redistribute it and or modify it under the terms of the "
         "gnu general public license as published by the free software foundation either version 2 of "
         "the license or at your option any later version",),
+    # The same as the headers write it, with ; and : that end sentences.
+    "gpl_free": ("this program is free software",),
+    "gpl3_terms": (
+        "you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation either version 3 of the license or at your option any "
+        "later version",),
+    "gpl2_terms": (
+        "you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation either version 2 of the license or at your option any "
+        "later version",),
+    "gpl_terms": (
+        "you can redistribute it and or modify it under the terms of the gnu general public license as "
+        "published by the free software foundation",),
+    "gpl3_later": ("either version 3 of the license or at your option any later version",),
+    "gpl2_later": ("either version 2 of the license or at your option any later version",),
+    "gpl_useful": (
+        "this program is distributed in the hope that it will be useful but without any warranty",),
+    "gpl_implied": (
+        "without even the implied warranty of merchantability or fitness for a particular purpose",),
     "gpl_hope": (
         "this program is distributed in the hope that it will be useful but without any warranty without "
         "even the implied warranty of merchantability or fitness for a particular purpose",),
@@ -81,7 +100,9 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "lgpl_name": ("licensed under the gnu lesser general public license version 3",
                   "licensed under the gnu lesser general public license version 2.1"),
     "agpl_name": ("licensed under the gnu affero general public license version 3",),
+    # "v. 2.0" ends a sentence after its v; only version 2.0 says "source code form".
     "mpl_name": ("this source code form is subject to the terms of the mozilla public license v. 2.0",
+                 "this source code form is subject to the terms of the mozilla public license v",
                  "licensed under the mozilla public license version 2.0"),
     "cc_by_nc": ("licensed under cc by nc 4.0", "this work is licensed under cc by nc 4.0"),
     "cc_by_sa": ("licensed under cc by sa 4.0", "this work is licensed under cc by sa 4.0"),
@@ -110,6 +131,18 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache_name", "apache_comply", "apache_copy")),
     ("GPL-3.0-or-later", ("gpl3_grant", "gpl_hope", "gpl_details")),
     ("GPL-2.0-or-later", ("gpl2_grant", "gpl_hope", "gpl_details")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl3_terms", "gpl_useful", "gpl_implied", "gpl_details")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms", "gpl3_later", "gpl_useful", "gpl_implied", "gpl_details")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl2_terms", "gpl_useful", "gpl_implied", "gpl_details")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms", "gpl2_later", "gpl_useful", "gpl_implied", "gpl_details")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl3_terms")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms", "gpl3_later")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl2_terms")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms", "gpl2_later")),
+    ("GPL-3.0-or-later", ("gpl3_terms",)),
+    ("GPL-3.0-or-later", ("gpl_terms", "gpl3_later")),
+    ("GPL-2.0-or-later", ("gpl2_terms",)),
+    ("GPL-2.0-or-later", ("gpl_terms", "gpl2_later")),
     ("GPL-3.0-or-later", ("gpl3_grant",)),
     ("GPL-2.0-or-later", ("gpl2_grant",)),
     ("Apache-2.0", ("apache_name",)),
@@ -133,7 +166,9 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 #: Each known sentence holds one of these; texts without any are not taken apart.
-CLUES = r"(?i)licen[sc]e|copyright|redistribut|rights[\x20\x09-\x0D]+reserved|permission|warranty"
+CLUES = r"(?i)licen[sc]e|copyright|redistribut|rights[\x20\x09-\x0D]+reserved|permission|warranty|free[^a-z0-9]+software"
+#: The colon of an SPDX tag ends no sentence: a bare "MIT" or "mit" is none of a licence.
+_TAG = r"(?i)(spdx-license-identifier:)[\x20\x09]+"
 _END = r"([.!?;:])[\x20\x09-\x0D]+"
 
 
@@ -195,7 +230,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     empty table gives no rows.
     """
     rows = pick(docs, "doc_id", "text")
-    hinted = F.when(F.col("text").rlike(CLUES), F.col("text"))
+    hinted = F.when(F.col("text").rlike(CLUES), F.regexp_replace("text", _TAG, "$1"))
     rows = rows.select("doc_id", hinted.alias("text"))
     flat = F.regexp_replace("text", SPACE, " ")
     rows = rows.withColumn("by_line", _sequence(F.col("text"))).withColumn("by_text", _sequence(flat))

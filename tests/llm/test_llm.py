@@ -128,6 +128,42 @@ def test_license_sentences_hold_a_clue_and_full_texts_match(spark):
     assert (rows[3].verdict, rows[4].verdict, rows[5].verdict) == ("reserved", "none", "unknown")
 
 
+GPL = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+
+
+def test_license_headers_and_tags_as_they_are_written(spark):
+    headers = [(GPL % (":", ",", 3), "GPL-3.0-or-later"), (GPL % (";", ";", 2), "GPL-2.0-or-later"),
+               (GPL % (";", ",", 2), "GPL-2.0-or-later"), (GPL % (":", ";", 3), "GPL-3.0-or-later"),
+               (MPL, "MPL-2.0"), (APACHE, "Apache-2.0")]
+    tags = [(f"{a}SPDX-License-Identifier:{gap}{tag}{b}", name) for a, b in (("// ", "\nint x;"), ("/* ", " */\n"), ("", ""))
+            for gap in (" ", "") for tag, name in (
+                ("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-3.0-only", "GPL-3.0"), ("GPL-3.0", "GPL-3.0"),
+                ("GPL-3.0-or-later", "GPL-3.0"), ("BSD-3-Clause", "BSD-3-Clause"))]
+    cases = headers + tags
+    rows = {r.doc_id: r for r in license_rules.scan_licenses(frame(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect()}
+    assert [rows[i].licenses for i in range(len(cases))] == [name for _, name in cases]
+    assert all(r.verdict == "licensed" and r.n_left == 0 for r in rows.values())
+
+
 def test_mix_is_near_its_targets_and_within_three_copies(spark):
     docs = frame(spark, [(i, "w " * (1 + i * i % 97), "abc"[min(i % 9, 2)]) for i in range(3000)]
                  + [(9000, "w", None), (9001, None, "z")])
