@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -14,9 +15,17 @@ from aerostar.llm.common import pick, stage, unstage
 from aerostar.llm.components import components
 from aerostar.llm.words import direct_hashes, gram_hashes, mix, words
 
-SHINGLE = 4
-#: Two sets link when NUM * union <= DEN * intersection; 85/100.
-NUM, DEN = 85, 100
+
+class Rule(NamedTuple):
+    """Words of a shingle; two sets link when num * union <= den * intersection."""
+
+    shingle: int
+    num: int
+    den: int
+
+
+#: The rule of the query.
+OP9 = Rule(4, 85, 100)
 #: Sizes of a band differ by this factor at most.
 BAND = 1.6
 #: One segment of a scheme is indexed with its one-deletion neighbourhood.
@@ -26,9 +35,9 @@ COMMON = 0.05
 SKETCH_BITS = 256
 
 
-def most_apart(total: int) -> int:
+def most_apart(total: int, rule: Rule = OP9) -> int:
     """Largest symmetric difference of two linked sets whose sizes add up to ``total``."""
-    return total * (DEN - NUM) // (DEN + NUM)
+    return total * (rule.den - rule.num) // (rule.den + rule.num)
 
 
 def _bands() -> tuple[tuple[int, int], ...]:
@@ -47,9 +56,9 @@ def band_of(n: int) -> int:
     return next(i for i, (_, hi) in enumerate(BANDS) if n <= hi)
 
 
-def scheme(band: int) -> tuple[int, int]:
+def scheme(band: int, rule: Rule = OP9) -> tuple[int, int]:
     """(segments, of them with deletions) of a band: weights 1 and 2 exceed its most differences."""
-    need = most_apart(2 * BANDS[band][1]) + 1
+    need = most_apart(2 * BANDS[band][1], rule) + 1
     weight = need + need // 20 + 1
     return max(weight - DELETION_SEGMENTS, 1), DELETION_SEGMENTS
 
@@ -60,7 +69,8 @@ def segment_of(tokens: np.ndarray, m: int) -> np.ndarray:
     return at.astype(np.uint16 if m <= 1 << 16 else np.int64)
 
 
-def signature(tokens: np.ndarray, value: np.ndarray, band: int, need: int) -> tuple[np.ndarray, np.ndarray]:
+def signature(tokens: np.ndarray, value: np.ndarray, band: int, need: int,
+              rule: Rule = OP9) -> tuple[np.ndarray, np.ndarray]:
     """(keys that probe, the other keys) of a set in the scheme of ``band``.
 
     ``value`` holds another hash of each token, summed up in each segment.
@@ -71,7 +81,7 @@ def signature(tokens: np.ndarray, value: np.ndarray, band: int, need: int) -> tu
     cheapest that reach it; small segments, which many sets share by chance,
     cost most.
     """
-    m, d = scheme(band)
+    m, d = scheme(band, rule)
     at = segment_of(tokens, m)
     order = np.argsort(at, kind="stable")
     at, value = at[order], value[order]
@@ -99,7 +109,7 @@ def signature(tokens: np.ndarray, value: np.ndarray, band: int, need: int) -> tu
     return probe, rest
 
 
-def signatures(tokens: np.ndarray) -> tuple[np.ndarray, int]:
+def signatures(tokens: np.ndarray, rule: Rule = OP9) -> tuple[np.ndarray, int]:
     """All keys of a set, those that probe first, and how many these are.
 
     In its own band a set probes for smaller partners and is found by larger
@@ -109,13 +119,13 @@ def signatures(tokens: np.ndarray) -> tuple[np.ndarray, int]:
     band = band_of(n)
     value = mix(tokens, 7)
     probes, rest = [], []
-    if most_apart(2 * BANDS[band][1]):
-        a, b = signature(tokens, value, band, most_apart(2 * n) + 1)
+    if most_apart(2 * BANDS[band][1], rule):
+        a, b = signature(tokens, value, band, most_apart(2 * n, rule) + 1, rule)
         probes.append(a)
         rest.append(b)
-    largest = n * DEN // NUM
+    largest = n * rule.den // rule.num
     if largest >= BANDS[band + 1][0]:
-        a, _ = signature(tokens, value, band + 1, most_apart(n + largest) + 1)
+        a, _ = signature(tokens, value, band + 1, most_apart(n + largest, rule) + 1, rule)
         probes.append(a)
     n_probe = sum(map(len, probes))
     keys = np.concatenate([*probes, *rest]) if probes else np.zeros(0, np.uint64)
@@ -126,17 +136,17 @@ SET_SCHEMA = ("doc_id long, n long, s1 long, s2 long, k0 long, k1 long, k2 long,
               "n_probe int, keys array<long>")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows, keys = [], []
         for text in batch.column(1):
-            tokens = np.sort(gram_hashes(direct_hashes(words(text.as_py())), SHINGLE))
+            tokens = np.sort(gram_hashes(direct_hashes(words(text.as_py())), rule.shingle))
             tokens = tokens[np.diff(tokens, prepend=~tokens[:1]) != 0]
             with np.errstate(over="ignore"):
                 sums = [int(x.sum(dtype=np.uint64)) for x in (tokens, mix(tokens, 22))]
             odd = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.uint8), minlength=SKETCH_BITS) & 1
             sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
-            got, n_probe = signatures(tokens)
+            got, n_probe = signatures(tokens, rule)
             rows.append((len(tokens), *np.array(sums, dtype=np.uint64).view(np.int64).tolist(), *sketch.tolist(), n_probe))
             keys.append(got.view(np.int64))
         cols = list(zip(*rows, strict=True)) or [()] * 8
@@ -147,11 +157,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "s1", "s2", "k0", "k1", "k2", "k3", "n_probe", "keys"])
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verify(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
     """Links among pairs of texts, by the shingles themselves."""
     def grams(text) -> frozenset:
         w = words(text)
-        return frozenset(zip(*[w[j:] for j in range(SHINGLE)], strict=False)) if len(w) >= SHINGLE else frozenset([tuple(w)] if w else [])
+        return frozenset(zip(*[w[j:] for j in range(rule.shingle)], strict=False)) if len(w) >= rule.shingle else frozenset([tuple(w)] if w else [])
 
     last = (None, frozenset())
     for batch in batches:
@@ -161,7 +171,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 last = ((a, left), grams(left))
             x, y = last[1], grams(right)
             both = len(x & y)
-            ok[i] = both > 0 and DEN * both >= NUM * (len(x) + len(y) - both)
+            ok[i] = both > 0 and rule.den * both >= rule.num * (len(x) + len(y) - both)
         yield batch.loc[ok, ["a", "b"]]
 
 
@@ -175,32 +185,32 @@ def _side(df: DataFrame, info: DataFrame, side: str) -> DataFrame:
                                *[F.col(f"k{i}").alias(f"k{i}_{side}") for i in range(4)]), side)
 
 
-def _fit():
+def _fit(rule: Rule):
     """Whether sets of these sizes and sketches can link: a differing token flips one bit at most."""
     flips = F.bit_count(F.col("k0_a").bitwiseXOR(F.col("k0_b")))
     for i in range(1, 4):
         flips = flips + F.bit_count(F.col(f"k{i}_a").bitwiseXOR(F.col(f"k{i}_b")))
-    return ((DEN * F.least("n_a", "n_b") >= NUM * F.greatest("n_a", "n_b"))
-            & (flips <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / F.lit(DEN + NUM))))
+    return ((rule.den * F.least("n_a", "n_b") >= rule.num * F.greatest("n_a", "n_b"))
+            & (flips <= F.floor((F.col("n_a") + F.col("n_b")) * (rule.den - rule.num) / F.lit(rule.den + rule.num))))
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The linked ones of ``pairs`` (a, b), verified on the texts."""
     kept = stage(pairs.select("a", "b").distinct(), "ngram-pairs")
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     found = stage(kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-                  .mapInPandas(_verify, "a long, b long"), "ngram-links")
+                  .mapInPandas(lambda batches: _verify(batches, rule), "a long, b long"), "ngram-links")
     unstage(kept)
     return found
 
 
-def _voted(stars: DataFrame, info: DataFrame) -> DataFrame:
+def _voted(stars: DataFrame, info: DataFrame, rule: Rule) -> DataFrame:
     """Of ``stars`` (a, b; one row per shared key), the a with which each b shares most keys."""
     votes = (stars.groupBy("a", "b").count().groupBy("b")
              .agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("best")))
     best = votes.select((-F.col("best.a")).alias("a"), "b")
-    return _side(_side(best, info, "a"), info, "b").filter(_fit())
+    return _side(_side(best, info, "a"), info, "b").filter(_fit(rule))
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -213,7 +223,7 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(tagged.join(keys, "key"), "ngram-open")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
+def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_same.
 
     Documents with the same shingle set form a class (n_same: its rows);
@@ -233,7 +243,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     """
     docs = pick(docs, "doc_id", "text")
     binary = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    sets = stage(binary.mapInArrow(_sets, SET_SCHEMA), "ngram-sets")
+    sets = stage(binary.mapInArrow(lambda batches: _sets(batches, rule), SET_SCHEMA), "ngram-sets")
     rows = stage(sets.select("doc_id", "n", "s1", "s2"), "ngram-rows")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
     classes = stage(named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_same")),
@@ -264,7 +274,7 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     heads = members.groupBy("key").agg(F.min("doc_id").alias("a"))
     stars = members.join(heads, "key").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
-    links = _links(_voted(stars, info), texts).unionByName(twins)
+    links = _links(_voted(stars, info, rule), texts, rule).unionByName(twins)
     labels = components(links)
     left = _open(members, labels)
     for turn in range(PIVOT_ROUNDS):
@@ -273,7 +283,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         pivots = stage(left.groupBy("key").agg(F.min(by).alias("p")).select(
             "key", F.col("p.doc_id").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
         stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("doc_id").alias("b"))
-        found = _links(_voted(stars, info), texts)
+        found = _links(_voted(stars, info, rule), texts, rule)
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
@@ -283,8 +293,8 @@ def near_components(docs: DataFrame) -> DataFrame:
                                           F.col("root").alias(f"r_{name}")), info, name)
     x, y = side("a"), side("b")
     cross = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["r_a"] != y["r_b"])
-                   & (x["p_a"] | y["p_b"]) & _fit())
-    found = _links(cross.select("a", "b"), texts)
+                   & (x["p_a"] | y["p_b"]) & _fit(rule))
+    found = _links(cross.select("a", "b"), texts, rule)
     if not found.isEmpty():
         labels = components(links.unionByName(found))
 
@@ -298,12 +308,12 @@ def near_components(docs: DataFrame) -> DataFrame:
                       F.coalesce("n_same", F.lit(1)).cast("long").alias("n_same"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id.
 
     Rows without an id or without words stay. Rows that repeat an id stay or go together.
     """
-    found = near_components(docs)
+    found = near_components(docs, rule)
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key = F.col(f"c{names.index('doc_id')}")

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from aerostar.llm.common import stage, table
 from aerostar.llm.line_dedup import dedup_lines
 from aerostar.llm.mixing import mixed
-from aerostar.llm.ngram_join import one_of_each
+from aerostar.llm.ngram_join import Rule, one_of_each
 from aerostar.llm.packing import pack
 from aerostar.llm.toxicity import without_toxic
 
+#: Near duplicates share 0.8 of their five-word shingles; op9 has a rule of its own.
+NEAR = Rule(5, 80, 100)
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifiers reject go."""
@@ -36,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    return one_of_each(docs)
+    return one_of_each(docs, NEAR)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

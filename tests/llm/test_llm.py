@@ -291,6 +291,24 @@ def test_ngram_join_equals_brute_force(spark):
     assert got == _components_by_hand(rows)
 
 
+def test_pipeline_near_duplicates_by_five_words_at_080(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(120):
+        w = [f"t{x}" for x in rng.integers(0, 10**9, int(rng.integers(60, 260)) if k % 2 else 150)]
+        near = list(w)
+        # Of 150 words, three changes leave 131/161 of the five-word shingles and 135/159 of the four-word ones.
+        for at in (rng.integers(0, len(w), rng.integers(1, 8)) if k % 2 else (30, 70, 110)):
+            near[at] = f"z{k}"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(near))]
+    grams = {d: {tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    gone = {d + 1 for d in grams if d % 2 == 0
+            and 100 * len(grams[d] & grams[d + 1]) >= 80 * len(grams[d] | grams[d + 1])}
+    assert 60 < len(gone) < 120
+    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, frame(spark, rows), SMALL)
+    assert {r.doc_id for r in got.collect()} == set(grams) - gone
+
+
 def test_passages_are_found_and_clean_documents_left_alone(spark):
     rng = np.random.default_rng(7)
     text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
