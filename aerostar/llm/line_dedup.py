@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostar.llm.common import pick, stage
+from aerostar.llm.common import pick, stage, word_count
 
 #: A fingerprint hashes this many lines.
 GRAM = 2
@@ -59,25 +59,50 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             .select("doc_id", "print", F.unhex("s.key").alias("key"), "s.lo", "s.n"))
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def long_marks(docs: DataFrame, words: int) -> DataFrame:
+    """As fingerprints: each run of fewer than MIN_RUN lines that has ``words`` words or more."""
+    rows = (pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+            .select("doc_id", F.xxhash64("text").alias("print"), _content(F.col("text")).alias("c")))
+    rows = (rows.withColumn("m", F.size("c")).filter("m > 0")
+            .withColumn("w", F.transform("c", lambda x: word_count(x["line"])))
+            .filter(F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x) >= words)
+            .withColumn("h", F.transform("c", lambda x: F.md5(x["line"].cast("binary")))))
+
+    def spans_of(n: int) -> Column:
+        def span(i: Column) -> Column:
+            size = sum((F.get("w", i + j) for j in range(1, n)), F.get("w", i))
+            return F.when((i + n <= F.col("m")) & (size >= words),
+                          F.struct(_gram(F.col("h"), i, n).alias("key"), i.alias("lo"), F.lit(n).alias("n")))
+
+        return F.array_compact(F.transform(F.sequence(F.lit(0), F.col("m") - 1), span))
+
+    spans = F.concat(*[spans_of(n) for n in range(1, MIN_RUN)])
+    return (rows.select("doc_id", "print", F.explode(spans).alias("s"))
+            .select("doc_id", "print", F.unhex("s.key").alias("key"), "s.lo", "s.n"))
+
+
+def repeated_runs(docs: DataFrame, long_words: int | None = None) -> DataFrame:
     """doc_id, print, runs: the runs (lo, hi) of content lines that repeat earlier ones."""
-    marks = fingerprints(docs)
+    marks = fingerprints(docs).withColumn("long", F.lit(False))
+    if long_words is not None:
+        # A run shorter than MIN_RUN has so many words if and only if it holds one of these.
+        marks = marks.unionByName(long_marks(docs, long_words).withColumn("long", F.lit(True)))
     here = F.struct("doc_id", "print", "lo")
     firsts = stage(marks.groupBy("key").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("times"))
                    .filter("times > 1").select("key", "first"), "line-firsts")
     later = marks.join(firsts, "key").filter(here > F.col("first"))
-    lines = later.select("doc_id", "print", F.explode(
+    lines = later.select("doc_id", "print", "long", F.explode(
         F.sequence(F.col("lo"), F.col("lo") + F.col("n") - 1)).alias("line"))
     nth = F.dense_rank().over(Window.partitionBy("doc_id", "print").orderBy("line"))
     runs = (lines.withColumn("island", F.col("line") - nth)
             .groupBy("doc_id", "print", "island")
-            .agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
-            .filter(F.col("hi") - F.col("lo") + 1 >= MIN_RUN))
+            .agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.max("long").alias("long"))
+            .filter((F.col("hi") - F.col("lo") + 1 >= MIN_RUN) | F.col("long")))
     return runs.groupBy("doc_id", "print").agg(
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, long_words: int | None = None) -> DataFrame:
     """All columns of ``docs`` with the cleaned ``text``, then n_lines and n_removed.
 
     The lines of a document that hold more than white space are hashed,
@@ -87,7 +112,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     what earlier places share. Matched lines in a row, MIN_RUN or more, are
     deleted, each with the blank lines that follow it. A run of MIN_RUN lines
     that occurred before is always found; a single repeated line, or a run
-    shorter than MIN_RUN, stays.
+    shorter than MIN_RUN, stays, unless it has ``long_words`` words or more.
 
     Cases: rows with null id or text are returned as they are and match
     nothing; rows that repeat id and text are one document, neither is later;
@@ -95,7 +120,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     content lines (null text: 0). Columns of ``docs`` named like the two new
     ones give way to them.
     """
-    drops = stage(repeated_runs(docs), "line-drops")
+    drops = stage(repeated_runs(docs, long_words), "line-drops")
     names = docs.columns
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key, text = (F.col(f"c{names.index(n)}") for n in ("doc_id", "text"))

@@ -19,6 +19,8 @@ from aerostar.llm.toxicity import without_toxic
 
 #: Near duplicates share 0.8 of their five-word shingles; op9 has a rule of its own.
 NEAR = Rule(5, 80, 100)
+#: Repeated runs of one or two lines go if they have so many words; the rule of op5 is its SQL's, three lines.
+LONG_RUN = 50
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     n_chars follows the text where it changed.
     """
-    cleaned = dedup_lines(docs)
+    cleaned = dedup_lines(docs, LONG_RUN)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     length = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
     return cleaned.filter(left).withColumn("n_chars", length.cast("long")).select(*docs.columns)

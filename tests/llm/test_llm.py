@@ -202,6 +202,21 @@ def test_line_dedup_finds_every_repeated_run(spark):
         assert rows[i].n_lines == len(lines) and rows[i].n_removed == len(lines) - len(kept)
 
 
+def test_pipeline_line_dedup_takes_long_runs_of_one_or_two_lines(spark):
+    rng = np.random.default_rng(12)
+    line = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**9, n))
+    one, a, b, short, c, d = line(60), line(25), line(30), line(49), line(20), line(20)
+    rows = [(1, one), (2, "x\n" + a + "\n\n" + b), (3, short), (4, c + "\n" + d), (5, "y\n" + one), (6, one),
+            (7, a + "\n" + b), (8, a + "\nz\n" + b + "\n" + short), (9, c + "\n" + d + "\nv"),
+            (10, "p\n" + one + "\nq\n" + one), (None, one), (11, " " + one + "\t\nu")]
+    docs = frame(spark, rows)
+    plain = docs.toDF(*["other" if c == "Text" else c for c in docs.columns])
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, plain, SMALL).collect()}
+    want = dict(rows) | {5: "y", 10: "p\nq", 11: "u"}
+    assert got == {i: t for i, t in want.items() if i not in (6, 7)}
+    assert line_dedup.dedup_lines(frame(spark, rows)).filter("n_removed > 0").count() == 0
+
+
 def test_url_rules_and_learned_verdicts(spark):
     urls = [f"http://h{i}.{d}/{p}/{i}" for i in range(60) for d, p in (
         ("example.net", "de"), ("EXAMPLE.net", "en"), ("x.org", "fr"), ("example.com", "de"), ("other.io", "q"))]
