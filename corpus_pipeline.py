@@ -57,7 +57,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
           ("source_mix", source_mix), ("packing", packing)]
 
-#: SQL can't express the classifiers; tests hold each stage against plain versions.
+#: SQL can't express the classifiers; tests hold near duplicates and long runs of lines against plain versions.
 ORACLE_SQL = None
 
 

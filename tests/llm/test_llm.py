@@ -371,6 +371,23 @@ def test_fuzzy_passages_that_share_a_seed_are_found(spark):
     assert np.mean([c > 0 for c in covered]) > 0.97 and np.mean(covered) > 0.95
 
 
+def test_every_window_that_occurred_before_is_covered(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: passages.words(r.text) for r in docs.collect()}
+    seen, must, n = set(), collections.defaultdict(set), passages.MIN_WORDS
+    for d in sorted(texts):
+        for i in range(len(texts[d]) - n + 1):
+            window = tuple(texts[d][i:i + n])
+            if window in seen:
+                must[d].update(range(i, i + n))
+            seen.add(window)
+    got = collections.defaultdict(set)
+    for r in passages.repeated_passages(docs).collect():
+        got[r.doc_id].update(range(r.start, r.end))
+        assert r.end - r.start >= n and r.matched >= passages.IDENTITY * (r.end - r.start)
+    assert must and all(must[d] <= got[d] for d in must)
+
+
 def test_exact_passage_beside_a_sparsely_shared_region_is_found(spark):
     rng = np.random.default_rng(9)
     text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
