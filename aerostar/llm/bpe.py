@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -18,7 +17,7 @@ from aerostar.llm.common import pick, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Entries that a task keeps of each of its tables before it empties them.
-KEPT_PIECES, KEPT_PAIRS = 600_000, 600_000
+KEPT_PIECES, KEPT_PAIRS = 500_000, 400_000
 #: Longer pieces are encoded each time they come up.
 LONGEST_KEPT = 64
 #: Unicode white space. A place after another character and before one of these ends a piece of the pattern.
@@ -30,14 +29,14 @@ class Vocabulary:
     """Tokens by rank. Every single byte must be a token and rank below all merged ones,
     and a merged token must come from two of lower rank."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int] | None] | None = None):
         self.rank = ranks
         self.token = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         merged = min((r for t, r in ranks.items() if len(t) > 1), default=len(ranks))
         if not all(ranks.get(bytes([b]), merged) < merged for b in range(256)):
             raise ValueError("each single byte must be a token and rank below the merged tokens")
-        self.parts = {r: self._parts(t, r) for r, t in self.token.items() if len(t) > 1}
+        self.parts = parts or {r: self._parts(t, r) for r, t in self.token.items() if len(t) > 1}
 
     def _parts(self, token: bytes, rank: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None where merging never gets there."""
@@ -213,26 +212,21 @@ class Prefixes:
         return self.encoder.tokens(self.data, self.last)
 
 
-@lru_cache(maxsize=2)
-def _shared(path: str) -> Vocabulary:
-    return read_vocabulary(path)
-
-
-_ENCODERS: dict = {}
-
+def _ship(df: DataFrame, path: str | None):
+    """The ranks as a broadcast: a file of fixed size, read by the driver alone.
 
-def _encoder(shared, pattern: str) -> Encoder:
-    """One encoder a Python worker and vocabulary, so its tables serve all its tasks."""
-    key = shared.id if hasattr(shared, "id") else id(shared), pattern
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value, pattern)
-    return _ENCODERS[key]
+    Plain values travel, so executors need no copy of this package.
+    """
+    v = read_vocabulary(path or public_tokenizers.path(VOCABULARY))
+    return df.sparkSession.sparkContext.broadcast({"rank": v.rank, "parts": v.parts})
 
 
-def _ship(df: DataFrame, path: str | None):
-    """The vocabulary as a broadcast: a file of fixed size, read by the driver alone."""
-    return df.sparkSession.sparkContext.broadcast(_shared(path or public_tokenizers.path(VOCABULARY)))
+def _encoder(shared, pattern: str = public_tokenizers.PATTERN) -> Encoder:
+    """One encoder a Python worker, kept with the broadcast, so that its tables serve all tasks."""
+    kept = shared.value
+    if pattern not in kept:
+        kept[pattern] = Encoder(Vocabulary(kept["rank"], kept["parts"]), pattern)
+    return kept[pattern]
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -269,7 +263,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     shared = _ship(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(shared, public_tokenizers.PATTERN)
+        enc = _encoder(shared)
         for batch in batches:
             out = [enc.decoded(x.as_py() or b"") for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
@@ -300,7 +294,7 @@ def edit(encoded: DataFrame, edits: DataFrame, path: str | None = None) -> DataF
         F.coalesce("hit", F.lit(False)).alias("hit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(shared, public_tokenizers.PATTERN)
+        enc = _encoder(shared)
         for batch in batches:
             rows = [enc.edited(r["text"], r["ids"], r["at"], r["removed"], r["added"]) if r["hit"]
                     else (r["text"], r["ids"], 0) for r in batch.to_pylist()]
