@@ -7,11 +7,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostar.llm.common import pick, stage, unstage
-from aerostar.llm.words import WordHashes, gram_hashes, hashes, mix, words
+from aerostar.llm.words import direct_hashes, gram_hashes, mix, words
+from aerostar.operators.keys import assign_keys
 
 #: Words of a seed; one seed is taken from each window of so many positions.
 SEED, WINDOW = 6, 10
@@ -43,11 +44,10 @@ def seeds_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
     for batch in batches:
         seeds, places = [], []
         for text in batch.column(1):
-            s, p = seeds_of(hashes(words(text.as_py()), known))
+            s, p = seeds_of(direct_hashes(words(text.as_py())))
             # A seed's first place in its text is marked by its sign: ~p for the others.
             first = np.zeros(len(s), dtype=bool)
             first[np.unique(s, return_index=True)[1]] = True
@@ -62,7 +62,7 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "seeds", "places"])
 
 
-def chain(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
+def chain(xs: np.ndarray, ys: np.ndarray) -> list[list[int]]:
     """Collinear chains of anchors (xs ascending): places of the anchors of each.
 
     The best chain that ends in an anchor adds GAIN to the best earlier one
@@ -72,25 +72,25 @@ def chain(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
     """
     n = len(xs)
     if n == 1:
-        return [np.array([0])]
+        return [[0]]
     dx, dy = np.diff(xs), np.diff(ys)
     if (dx > 0).all() and (dy > 0).all() and (np.maximum(dx, dy) <= MAX_GAP).all():
-        return [np.arange(n)]  # in order and close: every step gains
-    level = np.unique(ys, return_inverse=True)[1] + 1
-    size = int(level.max())
+        return [list(range(n))]  # in order and close: every step gains
+    level = (np.unique(ys, return_inverse=True)[1] + 1).tolist()
+    xs, ys, size = xs.tolist(), ys.tolist(), max(level)
     tree: list[tuple[float, int]] = [(-np.inf, -1)] * (size + 1)
     score, before = [0.0] * n, [-1] * n
     waiting: list[int] = []
     for i in range(n):
         if waiting and xs[waiting[0]] < xs[i]:
             for j in waiting:
-                item, at = (score[j] + COST * (xs[j] + ys[j]) / 2, j), int(level[j])
+                item, at = (score[j] + COST * (xs[j] + ys[j]) / 2, j), level[j]
                 while at <= size:
                     if tree[at] < item:
                         tree[at] = item
                     at += at & -at
             waiting = []
-        top, at = (-np.inf, -1), int(level[i]) - 1
+        top, at = (-np.inf, -1), level[i] - 1
         while at > 0:
             if tree[at] > top:
                 top = tree[at]
@@ -106,18 +106,17 @@ def chain(xs: np.ndarray, ys: np.ndarray) -> list[np.ndarray]:
             path.append(i)
             i = before[i]
         if path:
-            path = np.array(path[::-1])
-            apart = np.maximum(np.diff(xs[path]), np.diff(ys[path])) > MAX_GAP
-            out += np.split(path, np.flatnonzero(apart) + 1)
+            path.reverse()
+            part = path[:1]
+            for p, q in zip(path, path[1:], strict=False):
+                if max(xs[q] - xs[p], ys[q] - ys[p]) > MAX_GAP:
+                    out.append(part)
+                    part = []
+                part.append(q)
+            out.append(part)
     return out
 
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    values = np.concatenate(parts) if parts else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(np.int32), pa.int32()))
-
-
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, hits) to a row per chain.
 
@@ -127,21 +126,35 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hits = batch.column(1)
         offsets = hits.offsets.to_numpy()
-        fields = [hits.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
-        ids, xs, ys, sources = [], [], [], []
-        for doc_id, a, b in zip(batch.column(0).to_pylist(), offsets[:-1], offsets[1:], strict=True):
-            source, x, y = (f[a:b] for f in fields)
-            order = np.lexsort((y, x, source))
-            source, x, y = source[order], x[order], y[order]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(source)) + 1, [len(source)]])
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                for path in chain(x[i:j], y[i:j]):
-                    ids.append(doc_id)
-                    sources.append(int(source[i]))
-                    xs.append(x[i:j][path])
-                    ys.append(y[i:j][path])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(xs), _lists(ys), pa.array(sources, pa.int64())],
-                                         names=["doc_id", "xs", "ys", "source_id"])
+        fields = [hits.values.field(i).to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64) for i in range(3)]
+        doc = np.repeat(np.arange(len(batch)), np.diff(offsets))
+        order = np.lexsort((fields[2], fields[1], fields[0], doc))
+        doc, source, x, y = doc[order], *(f[order] for f in fields)
+        # Groups of a document and a source; those in order and close are one chain each.
+        same = (np.diff(doc) == 0) & (np.diff(source) == 0)
+        dx, dy = np.diff(x), np.diff(y)
+        plain = (dx > 0) & (dy > 0) & (np.maximum(dx, dy) <= MAX_GAP)
+        starts = np.concatenate([np.zeros(min(1, len(x)), np.int64), np.flatnonzero(~same) + 1])
+        ends = np.append(starts[1:], len(x))
+        odd = np.unique(np.cumsum(~same)[same & ~plain])
+        at, sizes, done = [], [], 0
+        for g in [*odd.tolist(), len(starts)]:
+            if g > done:
+                at.append(np.arange(starts[done], ends[g - 1]))
+                sizes.append(ends[done:g] - starts[done:g])
+            if g < len(starts):
+                paths = chain(x[starts[g]:ends[g]], y[starts[g]:ends[g]])
+                at.append(starts[g] + np.array([i for path in paths for i in path]))
+                sizes.append(np.array([len(path) for path in paths]))
+            done = g + 1
+        at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        first = at[bounds[:-1]]
+        lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v[at].astype(np.int32), pa.int32())) for v in (x, y)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(doc[first], pa.int64())), *lists, pa.array(source[first], pa.int64())],
+            names=["doc_id", "xs", "ys", "source_id"])
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -292,12 +305,17 @@ def pieces(a: list[bytes], b: list[bytes], xs, ys) -> list[tuple[int, int, int,
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "x0", "x1", "source_id", "y0", "y1", "same"]
+    told, there = None, []
     for batch in batches:
         col = {n: batch.column(n) for n in batch.schema.names}
         out, row = [], []
         for i in range(len(batch)):
+            # Rows come by the source's part, so its words are split once for a run of them.
+            part = col["there"][i].as_py()
+            if part != told:
+                told, there = part, part.split()
             x_lo, y_lo = col["x_lo"][i].as_py(), col["y_lo"][i].as_py()
-            for x0, x1, y0, y1, same in pieces(col["here"][i].as_py().split(), col["there"][i].as_py().split(),
+            for x0, x1, y0, y1, same in pieces(col["here"][i].as_py().split(), there,
                                                [x - x_lo for x in col["xs"][i].as_py()],
                                                [y - y_lo for y in col["ys"][i].as_py()]):
                 out.append((x0 + x_lo, x1 + x_lo, y0 + y_lo, y1 + y_lo, same))
@@ -350,8 +368,23 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=names)
 
 
+def _texts(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(node, doc_id, text_no, text) of each different text of an id, and the first three of them
+    where ids repeat, else None. Nodes ascend by doc_id, then by text_no (from 0, by the text's hash)."""
+    docs = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.select(F.col("doc_id").alias("node"), "doc_id", F.lit(0).alias("text_no"), "text"), None
+    # By the text itself, so that texts of one hash stay apart.
+    texts = docs.withColumn("print", F.xxhash64("text")).distinct()
+    numbered = assign_keys(texts, "node", ["doc_id", "print", "text"])
+    own = Window.partitionBy("doc_id").orderBy("node")
+    texts = stage(numbered.withColumn("text_no", F.row_number().over(own) - 1).select("node", "doc_id", "text_no", "text"),
+                  "passage-texts")
+    return texts, texts.select("node", "doc_id", "text_no")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start, end, matched, source_id, source_start, source_end, source_ids.
+    """doc_id, text_no, start, end, matched, source_id, source_text_no, source_start, source_end, source_ids.
 
     Each row is a passage of at least MIN_WORDS words (start..end-1) of a
     document that repeats, exactly or with changes, what an earlier document
@@ -369,12 +402,26 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     a row that occurred before are found.
 
     Cases: null and empty texts, texts of fewer than SEED words, and rows
-    with a null id have no passages; of rows that share an id the one with
-    the smallest text takes part; an empty table gives no rows.
+    with a null id have no passages; rows that repeat id and text are one; of
+    rows that share an id with different texts each is searched and is a
+    source, in the order of ``text_no`` (0 where an id has one text); an empty
+    table gives no rows.
     """
-    docs = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts, of = _texts(docs)
+    found = _repeated(texts.select(F.col("node").alias("doc_id"), "text"))
+    order = ["doc_id", "text_no", "start", "end", "matched", "source_id", "source_text_no", "source_start", "source_end", "source_ids"]
+    if of is None:
+        return found.withColumns({"text_no": F.lit(0), "source_text_no": F.lit(0)}).select(order)
+    found = stage(found.withColumn("row", F.monotonically_increasing_id()), "passage-found")
+    many = (found.select("row", F.explode("source_ids").alias("node")).join(of, "node")
+            .groupBy("row").agg(F.array_sort(F.collect_set("doc_id")).alias("source_ids")))
+    theirs = of.select(F.col("node").alias("source_node"), F.col("doc_id").alias("source_id"), F.col("text_no").alias("source_text_no"))
+    return (found.drop("source_ids").withColumnRenamed("doc_id", "node").withColumnRenamed("source_id", "source_node")
+            .join(of, "node").join(theirs, "source_node").join(many, "row").select(order))
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """The passages of texts that have a key (doc_id) each."""
     docs = docs.withColumn("text", F.col("text").cast("binary"))
     seeds = stage(docs.mapInArrow(_seed_rows, SEED_SCHEMA), "passage-seeds")
     rows = (seeds.select("doc_id", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
@@ -417,8 +464,13 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """doc_id and ``text`` without the words of its passages; runs of white space become one space."""
-    docs = pick(docs, "doc_id", "text")
-    spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    rows = pick(docs, "doc_id", "text")
+    texts, of = _texts(rows)
+    spans = passages.groupBy("doc_id", "text_no").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    if of is None:
+        docs = rows.join(spans.drop("text_no"), "doc_id", "left")
+    else:
+        docs = rows.join(texts.drop("node").join(spans, ["doc_id", "text_no"]).drop("text_no"), ["doc_id", "text"], "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -433,7 +485,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
                 texts.append(text)
             yield batch[["doc_id"]].assign(text=texts)
 
-    return docs.join(spans, "doc_id", "left").mapInPandas(cut, "doc_id long, text string")
+    return docs.select("doc_id", "text", "spans").mapInPandas(cut, "doc_id long, text string")
 
 
 def op8_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -209,9 +209,13 @@ def test_pipeline_line_dedup_takes_long_runs_of_one_or_two_lines(spark):
     rows = [(1, one), (2, "x\n" + a + "\n\n" + b), (3, short), (4, c + "\n" + d), (5, "y\n" + one), (6, one),
             (7, a + "\n" + b), (8, a + "\nz\n" + b + "\n" + short), (9, c + "\n" + d + "\nv"),
             (10, "p\n" + one + "\nq\n" + one), (None, one), (11, " " + one + "\t\nu")]
-    docs = frame(spark, rows)
-    plain = docs.toDF(*["other" if c == "Text" else c for c in docs.columns])
-    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, plain, SMALL).collect()}
+    docs = frame(spark, rows).withColumn("n_removed", F.lit(7)).withColumn("n_lines", F.lit("own"))
+    out = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SMALL)
+    assert out.columns == docs.columns
+    kept = out.collect()
+    assert {(r.n_removed, r.n_lines, r.Text) for r in kept} == {(7, "own", "x")}
+    got = {r.doc_id: r.text for r in kept}
+    assert {r.doc_id: r.n_chars for r in kept} == {i: len(t) for i, t in got.items()}
     want = dict(rows) | {5: "y", 10: "p\nq", 11: "u"}
     assert got == {i: t for i, t in want.items() if i not in (6, 7)}
     assert line_dedup.dedup_lines(frame(spark, rows)).filter("n_removed > 0").count() == 0
@@ -306,6 +310,20 @@ def test_ngram_join_equals_brute_force(spark):
     assert got == _components_by_hand(rows)
 
 
+def test_ngram_join_links_every_text_of_a_repeated_id(spark):
+    rng = np.random.default_rng(13)
+    rows, want = [], {}
+    for k in range(0, 40, 4):
+        one, two = ([f"t{x}" for x in rng.integers(0, 10**9, 80)] for _ in range(2))
+        near = [w[:40] + ["changed"] + w[41:] for w in (one, two)]
+        rows += [(k, " ".join(one)), (k, " ".join(two)), (k, " ".join(two)), (k + 1, " ".join(near[0])), (k + 2, " ".join(near[1])),
+                 (k + 3, " ".join(reversed(one)))]
+        want |= {k: k, k + 1: k, k + 2: k, k + 3: k + 3}
+    found = ngram_join.near_components(frame(spark, rows)).collect()
+    assert len(found) == len(rows) and {r.doc_id: r.component_id for r in found} == want
+    assert {r.doc_id for r in ngram_join.one_of_each(frame(spark, rows)).collect()} == {i for i, c in want.items() if i == c}
+
+
 def test_pipeline_near_duplicates_by_five_words_at_080(spark):
     rng = np.random.default_rng(11)
     rows = []
@@ -337,6 +355,43 @@ def test_passages_are_found_and_clean_documents_left_alone(spark):
     assert {r.matched for r in got} == {60, 58}
 
 
+def test_passages_of_every_text_of_a_repeated_id(spark):
+    rng = np.random.default_rng(14)
+    text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    a, b = text(80), text(90)
+    first, second, third = text(30) + a, text(5) + a + text(9), text(20) + b
+    rows = [(1, " ".join(first)), (2, " ".join(text(100))), (2, " ".join(second)), (2, " ".join(second)), (3, " ".join(text(60))),
+            (3, " ".join(third)), (4, " ".join(text(7) + b))]
+    docs = frame(spark, rows)
+    got = passages.repeated_passages(docs)
+    assert {(r.doc_id, r.start, r.end, r.source_id, tuple(r.source_ids)) for r in got.collect()} == {
+        (2, 5, 85, 1, (1,)), (4, 7, 97, 3, (3,))}
+    cut = collections.Counter((r.doc_id, r.text) for r in passages.cut_passages(docs, got).collect())
+    want = collections.Counter(rows)
+    want = collections.Counter({(i, " ".join(second[:5] + second[85:]) if t == " ".join(second) else
+                                 " ".join(t.split()[:7]) if i == 4 else t): n for (i, t), n in want.items()})
+    assert cut == want
+
+
+def test_chains_of_a_batch_are_those_of_its_groups():
+    import pyarrow as pa
+    rng = np.random.default_rng(15)
+    docs = [[{"source_id": int(rng.integers(0, 4)), "x": int(rng.integers(0, 90)), "y": int(rng.integers(0, 90))}
+             for _ in range(rng.integers(0, 30))] if k % 3 else
+            [{"source_id": 1, "x": 5 * j, "y": 7 * j + 2} for j in range(k)] for k in range(40)]
+    kind = pa.list_(pa.struct([("source_id", pa.int64()), ("x", pa.int32()), ("y", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100, 140), pa.int64()), pa.array(docs, kind)], names=["doc_id", "hits"])
+    want = []
+    for i, hits in enumerate(docs):
+        for s in {h["source_id"] for h in hits}:
+            at = sorted((h["x"], h["y"]) for h in hits if h["source_id"] == s)
+            xs, ys = (np.array(v) for v in zip(*at))
+            want += [(100 + i, xs[p].tolist(), ys[p].tolist(), s) for p in map(np.array, passages.chain(xs, ys))]
+    for some in (batch, batch.slice(7, 20)):
+        got = [tuple(r.values()) for out in passages._chains([some]) for r in out.to_pylist()]
+        assert sorted(got) == sorted(w for w in want if w[0] in some.column(0).to_pylist())
+
+
 def _planted(rng, n, kept):
     """(words, the same with words changed inside, both ends unchanged)."""
     clean = [f"w{x}" for x in rng.integers(0, 10**9, n)]
@@ -348,7 +403,7 @@ def _planted(rng, n, kept):
 
 def test_fuzzy_passages_that_share_a_seed_are_found(spark):
     rng = np.random.default_rng(8)
-    known, rows, planted = passages.WordHashes(), [], {}
+    rows, planted = [], {}
     text = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
     for k in range(400):
         clean, fuzzy = _planted(rng, int(rng.integers(50, 101)), rng.uniform(0.8, 0.95))
@@ -359,7 +414,7 @@ def test_fuzzy_passages_that_share_a_seed_are_found(spark):
                 fuzzy[at] = f"z{k}"
         a, b = text(40) + clean + text(40), text(30) + fuzzy + text(30)
         rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
-        seeds = [passages.seeds_of(passages.hashes([x.encode() for x in w], known))[0] for w in (a, b)]
+        seeds = [passages.seeds_of(passages.direct_hashes([x.encode() for x in w]))[0] for w in (a, b)]
         if len(np.intersect1d(*seeds)):
             planted[2 * k + 1] = (30, 30 + len(fuzzy))
     assert len(planted) > 300
