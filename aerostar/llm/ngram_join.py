@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +131,7 @@ def signatures(tokens: np.ndarray, rule: Rule = OP9) -> tuple[np.ndarray, int]:
     return keys, n_probe
 
 
-SET_SCHEMA = ("doc_id long, n long, s1 long, s2 long, k0 long, k1 long, k2 long, k3 long, "
+SET_SCHEMA = ("doc_id long, print long, n long, s1 long, s2 long, k0 long, k1 long, k2 long, k3 long, "
               "n_probe int, keys array<long>")
 
 
@@ -152,27 +151,27 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
         cols = list(zip(*rows, strict=True)) or [()] * 8
         offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
         values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        arrays = [batch.column(0), *[pa.array(c, pa.int64()) for c in cols[:7]], pa.array(cols[7], pa.int32()),
+        arrays = [batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in cols[:7]], pa.array(cols[7], pa.int32()),
                   pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "s1", "s2", "k0", "k1", "k2", "k3", "n_probe", "keys"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "print", "n", "s1", "s2", "k0", "k1", "k2", "k3", "n_probe", "keys"])
 
 
-def _verify(batches: Iterator[pd.DataFrame], rule: Rule) -> Iterator[pd.DataFrame]:
-    """Links among pairs of texts, by the shingles themselves."""
+def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Links among pairs of texts, by the shingles themselves; a pair of texts at a time."""
     def grams(text) -> frozenset:
         w = words(text)
         return frozenset(zip(*[w[j:] for j in range(rule.shingle)], strict=False)) if len(w) >= rule.shingle else frozenset([tuple(w)] if w else [])
 
     last = (None, frozenset())
     for batch in batches:
-        ok = np.zeros(len(batch), dtype=bool)
-        for i, (a, left, right) in enumerate(zip(batch["a"], batch["left"], batch["right"], strict=True)):
-            if last[0] != (a, left):
-                last = ((a, left), grams(left))
-            x, y = last[1], grams(right)
+        ok = []
+        for a, left, right in zip(batch.column("a").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
+            if last[0] != a:
+                last = (a, grams(left.as_py()))
+            x, y = last[1], grams(right.as_py())
             both = len(x & y)
-            ok[i] = both > 0 and rule.den * both >= rule.num * (len(x) + len(y) - both)
-        yield batch.loc[ok, ["a", "b"]]
+            ok.append(both > 0 and rule.den * both >= rule.num * (len(x) + len(y) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
 #: Rounds in which the open candidates are checked against a pivot of each key before all pairs are.
@@ -181,7 +180,7 @@ PIVOT_ROUNDS = 2
 
 def _side(df: DataFrame, info: DataFrame, side: str) -> DataFrame:
     """Add to ``df`` the set size and parity sketch of its column ``side`` (a or b)."""
-    return df.join(info.select(F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"),
+    return df.join(info.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
                                *[F.col(f"k{i}").alias(f"k{i}_{side}") for i in range(4)]), side)
 
 
@@ -197,10 +196,10 @@ def _fit(rule: Rule):
 def _links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The linked ones of ``pairs`` (a, b), verified on the texts."""
     kept = stage(pairs.select("a", "b").distinct(), "ngram-pairs")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
     found = stage(kept.join(right, "b").join(left, "a").select("a", "b", "left", "right")
-                  .mapInPandas(lambda batches: _verify(batches, rule), "a long, b long"), "ngram-links")
+                  .mapInArrow(lambda batches: _verify(batches, rule), "a long, b long"), "ngram-links")
     unstage(kept)
     return found
 
@@ -215,9 +214,8 @@ def _voted(stars: DataFrame, info: DataFrame, rule: Rule) -> DataFrame:
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of keys that still bring unconnected sets together, with their ``root``."""
-    at = labels.select(F.col("node").alias("doc_id"), "root")
-    tagged = (members.select("key", "doc_id", "probe").join(at, "doc_id", "left")
-              .withColumn("root", F.coalesce("root", "doc_id")))
+    tagged = (members.select("key", "node", "probe").join(labels.select("node", "root"), "node", "left")
+              .withColumn("root", F.coalesce("root", "node")))
     keys = stage(tagged.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                  .filter("lo < hi").select("key"), "ngram-open-keys")
     return stage(tagged.join(keys, "key"), "ngram-open")
@@ -226,70 +224,73 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_same.
 
-    Documents with the same shingle set form a class (n_same: its rows);
-    classes are joined through their smallest id. Each set is cut into hashed
-    segments by the scheme of its size band; sets that share a segment key
-    (or a one-deletion key) are candidates. First each set is checked against
-    one of the smallest ids of its keys, the one with which it shares most,
-    then, where a key still holds unconnected sets, against other pivots. In
-    the end every pair of candidates that isn't connected yet is checked, so
-    no link between components is lost, and a dense group costs a few checks
-    per member, not one per pair.
+    Rows with the same shingle set form a class (n_same: its rows): sets are
+    the same when their sizes and two 64-bit sums over hashes of their
+    shingles are; this is the one place where hashes alone decide. Each class
+    is a node, also if its rows share their ids with rows of other classes.
+    Each set is cut into hashed segments by the scheme of its size band; sets
+    that share a segment key (or a one-deletion key) are candidates. First
+    each set is checked against one node of each of its keys, the one with
+    which it shares most, then, where a key still holds unconnected sets,
+    against other pivots. In the end every pair of candidates that isn't
+    connected yet is checked, so no link between components is lost, and a
+    dense group costs a few checks per member, not one per pair.
 
     Cases: null or empty texts have 0 shingles and are components of their
     own; a null doc_id gets a null component and links nothing; rows that
     share an id are one document, linked by whatever either row links to; an
     empty table gives no rows.
     """
-    docs = pick(docs, "doc_id", "text")
-    binary = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    sets = stage(binary.mapInArrow(lambda batches: _sets(batches, rule), SET_SCHEMA), "ngram-sets")
-    rows = stage(sets.select("doc_id", "n", "s1", "s2"), "ngram-rows")
+    docs = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text")).withColumn(
+        "print", F.xxhash64("text"))
+    found = docs.select("doc_id", "text", "print").mapInArrow(lambda batches: _sets(batches, rule), SET_SCHEMA)
+    sets = stage(found.withColumn("row", F.monotonically_increasing_id()), "ngram-sets")
+    rows = stage(sets.select("doc_id", "n", "s1", "s2", "row"), "ngram-rows")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
-    classes = stage(named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_same")),
-                    "ngram-classes")
+    # A class is known by the row that stands for it: of the smallest id.
+    classes = stage(named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.min_by("row", "doc_id").alias("node"),
+                                                              F.count(F.lit(1)).alias("n_same")), "ngram-classes")
     # Written once: the keys are read twice below, and the sets can go before.
-    heads = stage(sets.filter("doc_id IS NOT NULL AND n > 0").join(
-        classes.select("n", "s1", "s2", F.col("rep").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi"),
-        "ngram-heads")
+    heads = stage(sets.withColumnRenamed("row", "node").join(classes.select("node"), "node", "left_semi"), "ngram-heads")
     unstage(sets)
-    info = stage(heads.groupBy("doc_id").agg(*[F.min_by(c, "s1").alias(c) for c in ("n", "k0", "k1", "k2", "k3")]),
-                 "ngram-info")
+    info = stage(heads.select("node", "doc_id", "print", "n", "k0", "k1", "k2", "k3"), "ngram-info")
 
-    keys = (heads.select("doc_id", "n_probe", F.posexplode("keys").alias("pos", "key"))
-            .select("key", "doc_id", (F.col("pos") < F.col("n_probe")).alias("probe")))
+    keys = (heads.select("node", "n_probe", F.posexplode("keys").alias("pos", "key"))
+            .select("key", "node", (F.col("pos") < F.col("n_probe")).alias("probe")))
     # Nearly every key is held once, so the rows of this aggregate carry two small numbers only.
     shared = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.max("probe").alias("probed"))
                    .filter("held > 1 AND probed").select("key"), "ngram-shared")
     members = stage(keys.join(shared, "key"), "ngram-members")
     unstage(heads, shared)
-    # The texts of all candidates are taken out once, by a merge join at every size.
-    wanted = members.select("doc_id").distinct()
-    texts = stage(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), "ngram-texts")
+    # The texts of all candidates are taken out once, by a merge join at every size; rows that repeat
+    # both id and text give one.
+    wanted = info.select("node", "doc_id", "print").join(members.select("node").distinct(), "node", "left_semi")
+    texts = stage(docs.join(wanted.hint("merge"), ["doc_id", "print"]).groupBy("doc_id", "print", "node")
+                  .agg(F.first("text").alias("text")).select("node", "text"), "ngram-texts")
 
     # Rows that share an id but not a set.
-    reps = named.join(classes, ["n", "s1", "s2"]).select("doc_id", "rep")
-    twins = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("top")).filter("a < top")
-    twins = stage(reps.join(twins.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")), "ngram-twins")
+    of_id = named.join(classes, ["n", "s1", "s2"]).select("doc_id", "node")
+    twins = of_id.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top")
+    twins = stage(of_id.join(twins.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")), "ngram-twins")
 
-    heads = members.groupBy("key").agg(F.min("doc_id").alias("a"))
-    stars = members.join(heads, "key").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
+    heads = members.groupBy("key").agg(F.min("node").alias("a"))
+    stars = members.join(heads, "key").filter("node <> a").select("a", F.col("node").alias("b"))
     links = _links(_voted(stars, info, rule), texts, rule).unionByName(twins)
     labels = components(links)
     left = _open(members, labels)
     for turn in range(PIVOT_ROUNDS):
         # Another pivot of each key: the least by a hash of the round.
-        by = F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "root")
+        by = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")
         pivots = stage(left.groupBy("key").agg(F.min(by).alias("p")).select(
-            "key", F.col("p.doc_id").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
-        stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("doc_id").alias("b"))
+            "key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
+        stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("node").alias("b"))
         found = _links(_voted(stars, info, rule), texts, rule)
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
             left = _open(left, labels)
     # What is left is checked pair by pair, except what sizes and sketches rule out.
-    side = lambda name: _side(left.select("key", F.col("doc_id").alias(name), F.col("probe").alias(f"p_{name}"),
+    side = lambda name: _side(left.select("key", F.col("node").alias(name), F.col("probe").alias(f"p_{name}"),
                                           F.col("root").alias(f"r_{name}")), info, name)
     x, y = side("a"), side("b")
     cross = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["r_a"] != y["r_b"])
@@ -298,13 +299,15 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     if not found.isEmpty():
         labels = components(links.unionByName(found))
 
-    of = labels.select(F.col("node").alias("rep"), "root")
-    many = classes.join(of, "rep", "left").select("n", "s1", "s2", "rep", "n_same", "root")
-    many = stage(many.filter("n_same > 1 OR root IS NOT NULL"), "ngram-merged")
+    # A component is named by the smallest id of its classes.
+    placed = classes.join(labels.select("node", "root"), "node", "left")
+    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
+    many = placed.join(least, "root", "left").select("n", "s1", "s2", "rep", "n_same", "least")
+    many = stage(many.filter("n_same > 1 OR least IS NOT NULL"), "ngram-merged")
     out = rows.join(many, ["n", "s1", "s2"], "left")
     known = F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(known, F.coalesce("root", "rep", "doc_id")).alias("component_id"),
+                      F.when(known, F.coalesce("least", "rep", "doc_id")).alias("component_id"),
                       F.coalesce("n_same", F.lit(1)).cast("long").alias("n_same"))
 
 

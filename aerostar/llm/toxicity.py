@@ -24,6 +24,8 @@ CLEAR, SUPPORT, FALLBACK = 5.0, 0.02, 16
 CLASSIFIERS = 3
 STEPS, RATE, DECAY = 300, 0.05, 1e-4
 THRESHOLD = 0.3
+#: Texts that a task of the filter holds as Python values at once.
+ROWS = 512
 _EDGE = b".,;:!?\"'()[]{}-_*#"
 
 
@@ -229,7 +231,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
         for batch in batches:
-            yield batch.filter(pa.array(scorer(batch.column(at).to_pylist()) < THRESHOLD))
+            for lo in range(0, batch.num_rows, ROWS):  # few texts at a time as Python values
+                part = batch.slice(lo, ROWS)
+                yield part.filter(pa.array(scorer(part.column(at).to_pylist()) < THRESHOLD))
 
     return rows.mapInArrow(keep, rows.schema).toDF(*names)
 
