@@ -33,10 +33,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     n_chars follows the text where it changed.
     """
-    cleaned = dedup_lines(docs, LONG_RUN)
+    names = docs.columns
+    at = {names.index("doc_id"): "doc_id", names.index("text"): "text"}
+    cleaned = dedup_lines(docs.toDF(*[at.get(i, f"c{i}") for i in range(len(names))]), LONG_RUN)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    length = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text"))
-    return cleaned.filter(left).withColumn("n_chars", length.cast("long")).select(*docs.columns)
+    size = f"c{names.index('n_chars')}"
+    length = F.when(F.col("n_removed") == 0, F.col(size)).otherwise(F.length("text"))
+    return (cleaned.filter(left).withColumn(size, length.cast("long"))
+            .select(*[at.get(i, f"c{i}") for i in range(len(names))]).toDF(*names))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
