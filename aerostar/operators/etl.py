@@ -50,8 +50,8 @@ def validate_flights(batch: DataFrame) -> DataFrame:
 
 
 def transform_flights(batch: DataFrame, late: int = ON_TIME_MINUTES) -> tuple[DataFrame, DataFrame]:
-    """Add LoadFactor and OnTimeFlag, split into (valid, rejected)."""
-    enriched = validate_flights(batch.withColumns({
+    """Documented defaults (P12), LoadFactor and OnTimeFlag; split into (valid, rejected)."""
+    enriched = validate_flights(apply_defaults(batch).withColumns({
         "LoadFactor": load_factor(F.col("SeatsFilled"), F.col("SeatsAvailable")),
         "OnTimeFlag": F.col("ArrivalDelayMin") <= late,
     }))

@@ -146,20 +146,22 @@ def dq_current_versions(dim: DataFrame, business_key: str = "CustomerID") -> Dat
 
 
 def dq_dates(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    """Date keys missing from the calendar, future dates, and (where the
-    actual times exist) arrivals not after departures."""
+    """Date keys missing from the calendar, future dates, and arrivals not after their departure.
+
+    The actual times are whole timestamps, so a flight that lands after
+    midnight is in order; flights without times (cancelled) are left out.
+    A fact without these columns fails instead of passing unchecked.
+    """
     ff = wh.fact_flight
+    if missing := {"ActualDepartureTime", "ActualArrivalTime"} - set(ff.columns):
+        raise ValueError(f"the flight facts have no {', '.join(sorted(missing))}")
     days = F.broadcast(wh.date.select("DateKey", (F.col("Date") > F.lit(as_of)).alias("_future"))
                        .withColumn("_known", F.lit(True)))
-    j = ff.join(days, "DateKey", "left")
-    aggs = [count_if(F.col("_known").isNull()).alias("date_not_in_calendar"),
-            count_if(F.col("_future")).alias("future_dates")]
-    names = ["date_not_in_calendar", "future_dates"]
-    if {"ActualDepartureTime", "ActualArrivalTime"} <= set(ff.columns):
-        aggs.append(count_if(F.col("ActualArrivalTime") <= F.col("ActualDepartureTime"))
-                    .alias("arrival_not_after_departure"))
-        names.append("arrival_not_after_departure")
-    return _report(j.agg(*aggs), names)
+    counts = ff.join(days, "DateKey", "left").agg(
+        count_if(F.col("_known").isNull()).alias("date_not_in_calendar"),
+        count_if(F.col("_future")).alias("future_dates"),
+        count_if(F.col("ActualArrivalTime") <= F.col("ActualDepartureTime")).alias("arrival_not_after_departure"))
+    return _report(counts, ["date_not_in_calendar", "future_dates", "arrival_not_after_departure"])
 
 
 def dq_required_defaults(batch: DataFrame, required=("FlightKey", "DateKey", "AircraftKey",

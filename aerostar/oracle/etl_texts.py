@@ -7,26 +7,30 @@ from aerostar.oracle.texts import AS_OF
 
 ETL_TEXTS: dict[str, str] = {}
 
+# Nulls come first, as in the job's order.
 _BATCH_ORDER = ("FlightKey, DateKey, AircraftKey, DepartureAirportKey, ArrivalAirportKey, "
                 "CarrierKey, DepartureDelayMin, ArrivalDelayMin, SeatsAvailable, SeatsFilled, "
-                "Revenue, FuelCost, DistanceMiles, CancellationFlag")
+                "Revenue, FuelCost, DistanceMiles, CancellationFlag").replace(",", " NULLS FIRST,") + " NULLS FIRST"
 
 _FLIGHT_BATCH = f"""
 fbatch AS (
   SELECT CASE WHEN l_orderkey % 50 = 0 THEN -(l_orderkey * 8 + l_linenumber)
-              ELSE l_orderkey * 8 + l_linenumber END AS FlightFactKey, l_partkey AS FlightKey,
+              ELSE l_orderkey * 8 + l_linenumber END AS FlightFactKey,
+         CASE WHEN l_orderkey % 499 <> 3 THEN l_partkey END AS FlightKey,
          CAST(year(dd) * 10000 + month(dd) * 100 + day(dd) AS INTEGER) AS DateKey,
-         l_suppkey AS AircraftKey,
+         CASE WHEN l_orderkey % 503 <> 5 THEN l_suppkey END AS AircraftKey,
          CAST(l_partkey % 25 AS INTEGER) AS DepartureAirportKey,
          CAST((l_partkey + 1 + l_partkey % 4) % 25 AS INTEGER) AS ArrivalAirportKey,
          CAST(l_suppkey % 5 AS INTEGER) AS CarrierKey,
-         q - 5 AS DepartureDelayMin, q * 2 - 10 AS ArrivalDelayMin,
-         CAST(150 + l_partkey % 200 AS INTEGER) AS SeatsAvailable,
-         CAST(150 + l_partkey % 200 - q AS INTEGER) AS SeatsFilled,
+         CASE WHEN l_orderkey % 523 <> 13 THEN q - 5 END AS DepartureDelayMin,
+         CASE WHEN l_orderkey % 541 <> 17 THEN q * 2 - 10 END AS ArrivalDelayMin,
+         CAST(CASE WHEN l_orderkey % 521 = 11 THEN 0 ELSE 150 + l_partkey % 200 END AS INTEGER) AS SeatsAvailable,
+         CAST(CASE WHEN l_orderkey % 509 = 7 THEN 153 + l_partkey % 200 WHEN l_orderkey % 557 = 23 THEN -4
+                   ELSE 150 + l_partkey % 200 - q END AS INTEGER) AS SeatsFilled,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS Revenue,
          CAST(q * 500 AS DECIMAL(10,2)) AS FuelCost,
          CAST(200 + l_partkey % 2800 AS INTEGER) AS DistanceMiles,
-         l_discount >= 0.095 AS CancellationFlag
+         CASE WHEN l_orderkey % 547 <> 19 THEN l_discount >= 0.095 END AS CancellationFlag
   FROM (SELECT *, CAST(FLOOR(l_quantity) AS INTEGER) AS q,
                CAST(CAST(l_shipdate AS DATE) + 9131 AS DATE) AS dd FROM lineitem)
 ),
@@ -35,8 +39,10 @@ fseq AS (
   FROM fbatch
 ),
 fvalid AS (
-  SELECT *, CAST(ROUND(100.0 * SeatsFilled / SeatsAvailable, 2) AS DECIMAL(5,2)) AS LoadFactor,
-         ArrivalDelayMin <= 15 AS OnTimeFlag
+  SELECT * REPLACE (COALESCE(DepartureDelayMin, 0) AS DepartureDelayMin, COALESCE(ArrivalDelayMin, 0) AS ArrivalDelayMin,
+                    COALESCE(CancellationFlag, FALSE) AS CancellationFlag),
+         CAST(ROUND(100.0 * SeatsFilled / SeatsAvailable, 2) AS DECIMAL(5,2)) AS LoadFactor,
+         COALESCE(ArrivalDelayMin, 0) <= 15 AS OnTimeFlag
   FROM fseq
   WHERE FlightKey IS NOT NULL AND DateKey IS NOT NULL AND AircraftKey IS NOT NULL
     AND DepartureAirportKey IS NOT NULL AND ArrivalAirportKey IS NOT NULL
@@ -56,9 +62,11 @@ ETL_TEXTS["flight_validate"] = with_prelude("""
 SELECT FlightFactKey, FlightKey, DateKey, AircraftKey, DepartureAirportKey, ArrivalAirportKey,
        CarrierKey, DepartureDelayMin, ArrivalDelayMin, SeatsAvailable, SeatsFilled,
        CAST(Revenue AS DOUBLE) AS Revenue, CAST(FuelCost AS DOUBLE) AS FuelCost, DistanceMiles,
-       CancellationFlag, 'rejected' AS RejectReason
-FROM fbatch
-WHERE COALESCE(SeatsAvailable, 0) < COALESCE(SeatsFilled, 0) OR COALESCE(SeatsAvailable, 0) = 0
+       CancellationFlag, RejectReason
+FROM (SELECT *, CASE WHEN FlightKey IS NULL THEN 'missing_FlightKey' WHEN AircraftKey IS NULL THEN 'missing_AircraftKey'
+                     WHEN SeatsFilled > SeatsAvailable THEN 'seats_filled_exceed_available'
+                     WHEN SeatsAvailable = 0 THEN 'no_seats_available' END AS RejectReason FROM fbatch)
+WHERE RejectReason IS NOT NULL
 """, _FLIGHT_BATCH)
 
 _FIRST = ["FlightKey", "DateKey", "AircraftKey", "DepartureAirportKey", "ArrivalAirportKey",
@@ -78,7 +86,7 @@ def _upd(c: str) -> str:
 
 ETL_TEXTS["flight_upsert"] = with_prelude(f"""
 SELECT t.FlightFactKey, t.FlightKey, t.DateKey, t.AircraftKey, t.DepartureAirportKey,
-       t.ArrivalAirportKey, t.CarrierKey, t.WeatherKey,
+       t.ArrivalAirportKey, t.CarrierKey, t.WeatherKey, t.ActualDepartureTime, t.ActualArrivalTime,
        {_upd("DepartureDelayMin")} AS DepartureDelayMin,
        {_upd("ArrivalDelayMin")} AS ArrivalDelayMin,
        t.AirTimeMin, t.SeatsAvailable,
@@ -90,7 +98,7 @@ SELECT t.FlightFactKey, t.FlightKey, t.DateKey, t.AircraftKey, t.DepartureAirpor
 FROM tgt t LEFT JOIN coll c ON t.FlightFactKey = c.FlightFactKey
 UNION ALL
 SELECT c.FlightFactKey, c.FlightKey, c.DateKey, c.AircraftKey, c.DepartureAirportKey,
-       c.ArrivalAirportKey, c.CarrierKey, NULL, c.DepartureDelayMin, c.ArrivalDelayMin,
+       c.ArrivalAirportKey, c.CarrierKey, NULL, NULL, NULL, c.DepartureDelayMin, c.ArrivalDelayMin,
        NULL, c.SeatsAvailable, c.SeatsFilled, CAST(c.LoadFactor AS DOUBLE),
        CAST(c.Revenue AS DOUBLE), CAST(c.FuelCost AS DOUBLE), NULL, NULL,
        c.CancellationFlag, NULL, NULL, c.DistanceMiles
@@ -143,9 +151,10 @@ _body, _ctes = _scd2(["LoyaltyTier", "Email", "Phone"], True)
 ETL_TEXTS["customer_scd2_phone"] = with_prelude(_body, _customer_batch(True) + _ctes)
 
 ETL_TEXTS["insert_if_absent"] = with_prelude("""
-SELECT FlightKey, FlightNumber, CarrierKey FROM DimFlight
+SELECT FlightKey, FlightNumber, CarrierKey, DepartureAirportKey, ArrivalAirportKey FROM DimFlight
 UNION ALL
-SELECT p_partkey, 'FL' || CAST(1000 + p_partkey AS VARCHAR), CAST(p_partkey % 5 AS INTEGER)
+SELECT p_partkey, 'FL' || CAST(1000 + p_partkey AS VARCHAR), CAST(p_partkey % 5 AS INTEGER),
+       CAST(p_partkey % 25 AS INTEGER), CAST((p_partkey + 1 + p_partkey % 4) % 25 AS INTEGER)
 FROM part WHERE p_partkey NOT IN (SELECT FlightKey FROM DimFlight)
 """)
 
@@ -218,6 +227,7 @@ SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
   FROM FactFlight
   UNION ALL SELECT 'future_dates', COUNT(*) FROM FactFlight ff
   JOIN DimDate d ON ff.DateKey = d.DateKey WHERE d.Date > DATE '{AS_OF.isoformat()}'
+  UNION ALL SELECT 'arrival_not_after_departure', COUNT(*) FROM FactFlight WHERE ActualArrivalTime <= ActualDepartureTime
 ) t
 """)
 
@@ -346,16 +356,53 @@ from aerostar.oracle.texts import TEXTS as _REPORT_TEXTS  # noqa: E402
 
 ETL_TEXTS["mart_refresh"] = _REPORT_TEXTS["monthly_flight_summary"]
 
+_MARTS = {"mv_monthly_flight_summary": "monthly_flight_summary", "mv_route_performance": "route_performance",
+          "mv_customer_ltv": "customer_ltv", "mv_aircraft_utilization": "aircraft_utilization_mart",
+          "mv_daily_operations": "daily_operations"}
+ETL_TEXTS["mart_rows"] = "\nUNION ALL\n".join(
+    f"SELECT '{mart}' AS Mart, COUNT(*) AS Rows FROM ({_REPORT_TEXTS[report]}) t" for mart, report in _MARTS.items())
+
 ETL_TEXTS["etl_audit"] = with_prelude("""
-SELECT 'flight_load' AS job,
-       (SELECT COUNT(*) FROM fvalid) AS rows_written,
-       (SELECT COUNT(*) FROM fbatch WHERE COALESCE(SeatsAvailable, 0) < COALESCE(SeatsFilled, 0)
-           OR COALESCE(SeatsAvailable, 0) = 0 OR FlightKey IS NULL OR DateKey IS NULL
-           OR AircraftKey IS NULL OR DepartureAirportKey IS NULL OR ArrivalAirportKey IS NULL)
-         AS rows_rejected,
-       'success' AS status
+SELECT 'flight_load' AS job, n_valid AS rows_written, n_all AS rows_processed, n_new AS rows_inserted,
+       n_valid - n_new AS rows_updated, n_all - n_valid AS rows_rejected,
+       CAST(mark.d AS BIGINT) AS watermark_key, CAST(mark.k AS BIGINT) AS watermark_id, 'success' AS status
+FROM (SELECT (SELECT COUNT(*) FROM fbatch) AS n_all, (SELECT COUNT(*) FROM fvalid) AS n_valid,
+             (SELECT COUNT(DISTINCT FlightFactKey) FROM fvalid
+              WHERE FlightFactKey NOT IN (SELECT FlightFactKey FROM FactFlight)) AS n_new,
+             (SELECT max({'d': DateKey, 'k': FlightFactKey}) FROM fbatch) AS mark)
 """, _FLIGHT_BATCH)
 
+_ALL_FKS = [(table, key, column, dim, dim_key) for table, key, columns in (
+    ("FactFlight", "FlightFactKey", _FKS),
+    ("FactBooking", "BookingKey", [("FlightKey", "DimFlight", "FlightKey"), ("DateKey", "DimDate", "DateKey"),
+                                   ("CustomerKey", "DimCustomer", "CustomerKey"),
+                                   ("FareClassKey", "DimFareClass", "FareClassKey")]),
+    ("FactCargo", "CargoKey", [("FlightKey", "DimFlight", "FlightKey"), ("DateKey", "DimDate", "DateKey"),
+                               ("DepartureAirportKey", "DimAirport", "AirportKey"),
+                               ("ArrivalAirportKey", "DimAirport", "AirportKey")]),
+    ("FactMaintenance", "MaintenanceKey", [("AircraftKey", "DimAircraft", "AircraftKey"), ("DateKey", "DimDate", "DateKey"),
+                                           ("MaintenanceTypeKey", "DimMaintenanceType", "MaintenanceTypeKey")]),
+    ("DimFlight", "FlightKey", [("CarrierKey", "DimCarrier", "CarrierKey"),
+                                ("DepartureAirportKey", "DimAirport", "AirportKey"),
+                                ("ArrivalAirportKey", "DimAirport", "AirportKey")]),
+) for column, dim, dim_key in columns]
+
+ETL_TEXTS["dq_foreign_keys"] = with_prelude("SELECT CheckName, Failures, Failures = 0 AS Passed FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{table}.{column}' AS CheckName, COUNT(*) AS Failures FROM {table} f WHERE f.{column} IS NOT NULL "
+    f"AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{dim_key} = f.{column})" for table, _, column, dim, dim_key in _ALL_FKS) + ") t")
+
+
+def _missing(table: str) -> str:
+    key = next(k for t, k, *_ in _ALL_FKS if t == table)
+    names = ", ".join(
+        f"CASE WHEN f.{c} IS NOT NULL AND f.{c} NOT IN (SELECT {dim_key} FROM {dim} WHERE {dim_key} IS NOT NULL) THEN '{c}' END"
+        for t, _, c, dim, dim_key in _ALL_FKS if t == table)
+    return (f"SELECT '{table}' AS TableName, CAST(f.{key} AS BIGINT) AS RowKey, concat_ws(',', {names}) AS MissingKeys FROM {table} f")
+
+
+ETL_TEXTS["dq_quarantine"] = with_prelude("SELECT * FROM (" + "\nUNION ALL\n".join(
+    _missing(t) for t in dict.fromkeys(t for t, *_ in _ALL_FKS)) + ") t WHERE MissingKeys <> ''")
+
 ETL_TEXTS["incremental_events"] = """
 SELECT * FROM events
 WHERE ts > (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-24 00:00:00')

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,12 @@ from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, po
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
 from aerostar.registry import raw_job
 from aerostar.session import checkpoint_dir
-from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, booking_source,
+from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, arrivals, booking_source,
                                       customer_batch, flight_batch, flight_departures,
                                       flight_events, maintenance_events, weather_observations)
 from aerostar.sources.extract import extract_window
-from aerostar.sources.star import MONTH_PART, Warehouse, derive_star, read_table
-from aerostar.streaming.incremental import stream_increments, upsert_partitions
+from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, read_table
+from aerostar.streaming.incremental import stream_increments
 
 
 def run_etl(wh: Warehouse, batch: DataFrame, as_of: dt.date = DEFAULT_AS_OF,
@@ -102,7 +103,7 @@ def _all_flights(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     return part.select(pk.alias("FlightKey"),
                        F.concat(F.lit("FL"), (1000 + pk).cast("string")).alias("FlightNumber"),
-                       (pk % 5).cast("int").alias("CarrierKey"))
+                       (pk % 5).cast("int").alias("CarrierKey"), *_airport_keys(pk))
 
 
 @raw_job("extract_window")
@@ -181,34 +182,36 @@ def load_factor_rejects(spark: SparkSession, sf_dir: str, wh: Warehouse | None =
 
 @raw_job("flight_upsert_stream")
 def flight_upsert_stream(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
-    """P09 + P10 on the real tables: all flight facts are stored
-    month-partitioned; the raw line items then arrive as a
-    file stream (``Trigger.AvailableNow``) and every micro-batch is
-    transformed (E01) and upserted into the touched months only.  The table
-    read back equals the batch upsert E03.  It is kept in a fresh folder under
+    """P09 + P10 on the real tables: all flight facts are committed as the
+    first version of a month table; the raw line items then arrive as a file
+    stream (``Trigger.AvailableNow``) in two arrivals, the first record of
+    each key, then the later ones, so the second micro-batch brings late
+    updates. Every micro-batch is transformed
+    (E01) and commits the months that it touches as a new version. The last
+    version equals the batch upsert E03. It is kept in a fresh folder under
     the shared checkpoint folder, from which the returned DataFrame reads.
     """
     import uuid
 
+    from aerostar.streaming.months import MONTH, commit, read_months, upsert_months
+
     wh = wh or derive_star(spark, sf_dir)
     work = f"{checkpoint_dir(spark).rstrip('/')}/flight_upsert_stream/{uuid.uuid4().hex}"
     table = f"{work}/fact_flight"
-    seed = wh.fact_flight
-    seed = seed.drop(MONTH_PART) if MONTH_PART in seed.columns else seed
-    (seed.withColumn(MONTH_PART, (F.col("DateKey") / 100).cast("int"))
-     .write.mode("overwrite").partitionBy(MONTH_PART).parquet(table))
+    seed = wh.fact_flight.drop(MONTH_PART).withColumn(MONTH, (F.col("DateKey") / 100).cast("int"))
+    commit(table, seed, -1)
 
+    lines = read_table(spark, sf_dir, "lineitem")
     def apply(micro_batch: DataFrame, batch_id: int) -> None:
         valid, _ = transform_flights(flight_batch(micro_batch))
-        upsert_partitions(micro_batch.sparkSession, table, valid, batch_id)
+        upsert_months(table, valid, batch_id, seed.schema)
 
-    # A file source streams a folder or a glob; the one-character class makes
-    # the path a glob that matches exactly the line-item file.
-    source = f"{sf_dir.rstrip('/')}/[l]ineitem.parquet"
-    schema = read_table(spark, sf_dir, "lineitem").schema
-    stream_increments(spark, source, schema, f"{work}/_stream_checkpoint", apply,
-                      base_path=sf_dir).awaitTermination()
-    return as_report(spark.read.parquet(table).drop(MONTH_PART))
+    arrivals(lines).write.partitionBy("arrival").parquet(f"{work}/outbox")
+    for n in (1, 2):
+        spark.read.schema(lines.schema).parquet(f"{work}/outbox/arrival={n}").write.parquet(f"{work}/lineitem/{n}")
+        # A run for each arrival: a schedule's runs, each of which takes the files that are new.
+        stream_increments(spark, f"{work}/lineitem/*", lines.schema, f"{work}/_stream_checkpoint", apply).awaitTermination()
+    return as_report(read_months(spark, table, seed.schema).drop(MONTH))
 
 
 @raw_job("flight_delays")
@@ -250,20 +253,39 @@ def mart_refresh(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None)
     return current_mart(spark, out, "mv_monthly_flight_summary")
 
 
+@raw_job("mart_rows")
+def mart_rows(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """E10 for all marts: refreshed twice under one label, the first refresh read back by a reader pinned to it."""
+    import uuid
+
+    from aerostar.plans.marts import MARTS, current_mart, mart_versions, refresh_marts
+
+    wh = wh or derive_star(spark, sf_dir)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
+    label = DEFAULT_AS_OF.strftime("%Y%m%d")
+    refresh_marts(wh, out, label)
+    pinned = mart_versions(spark, out)[-1]
+    held = [current_mart(spark, out, name, pinned).agg(F.lit(name).alias("Mart"), F.count(F.lit(1)).alias("Rows")) for name in MARTS]
+    refresh_marts(wh, out, label)
+    return reduce(DataFrame.unionByName, held)
+
+
 @raw_job("etl_audit")
 def etl_audit(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
-    """Load the transformed flight batch with an audit trail; returns the
-    run-log entry (job, rows written, rows rejected, status)."""
+    """Load the transformed flight batch with an audit trail; returns the run's entry of the audit log."""
     import uuid
 
-    from aerostar.operators.audit import audited_load
+    from aerostar.operators.audit import audited_upsert
+    from aerostar.operators.upsert import FLIGHT_INSERT_COLS, FLIGHT_UPDATE_COLS
 
+    wh = wh or derive_star(spark, sf_dir)
     work = f"{checkpoint_dir(spark).rstrip('/')}/audit/{uuid.uuid4().hex}"
     valid, rejected = transform_flights(_batch(spark, sf_dir))
-    audited_load(spark, "flight_load", valid.drop("seq"), rejected.drop("seq"),
-                 f"{work}/fact_flight_load", f"{work}/logs")
-    return (spark.read.parquet(f"{work}/logs/etl_audit_log")
-            .select("job", "rows_written", "rows_rejected", "status"))
+    audited_upsert(spark, "flight_load", wh.fact_flight.select("FlightFactKey"), valid, rejected, f"{work}/load", f"{work}/logs",
+                   "FlightFactKey", FLIGHT_UPDATE_COLS, FLIGHT_INSERT_COLS, "seq", "DateKey")
+    return spark.read.parquet(f"{work}/logs/etl_audit_log").select(
+        "job", (F.col("rows_processed") - F.col("rows_rejected")).alias("rows_written"), "rows_processed", "rows_inserted",
+        "rows_updated", "rows_rejected", "watermark_key", "watermark_id", "status")
 
 
 # Cut-off of the first extract run in the high-water example.

@@ -8,6 +8,7 @@ their default parameters (``as_of = 2024-12-31``, ``year = 2024``,
 
 from __future__ import annotations
 
+from aerostar.operators import integrity as I
 from aerostar.operators import quality as Q
 from aerostar.plans import analytics as A
 from aerostar.plans import dashboard as V
@@ -34,7 +35,7 @@ _REPORTS = (
     R.top_routes_by_revenue, R.loyalty_tier_summary, R.fleet_summary, R.table_counts,
     R.kpi_overview,
     # Q04, P13, P14, P16
-    Q.dq_report, Q.dq_referential, Q.dq_ranges, Q.dq_dates,
+    Q.dq_report, Q.dq_referential, Q.dq_ranges, Q.dq_dates, I.dq_foreign_keys,
 )
 
 for _fn in _REPORTS:
@@ -46,3 +47,5 @@ job("dq_invalid_load_factors")(lambda wh: Q.dq_range(wh.fact_flight, "LoadFactor
 job("dq_future_dates")(lambda wh: Q.dq_future(wh.fact_flight, wh.date))
 # SCD2 ambiguity check: customers with several current versions.
 job("dq_current_versions")(lambda wh: Q.dq_current_versions(wh.customer, "CustomerID"))
+# The rows that are rejected for an orphaned key.
+job("dq_quarantine")(I.quarantined)

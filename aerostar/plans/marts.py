@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,36 +154,54 @@ MARTS = {
 }
 
 
-POINTER = "_current"
+VERSIONS = "_versions"
 
 
-def refresh_marts(wh: Warehouse, out_dir: str, version: str,
-                  as_of: dt.date = DEFAULT_AS_OF) -> dict[str, str]:
-    """Recompute every mart into ``out_dir/<mart>/v=<version>``.
+def refresh_marts(wh: Warehouse, out_dir: str, label: str, as_of: dt.date = DEFAULT_AS_OF) -> dict[str, str]:
+    """Recompute every mart into a folder of its own and publish them together.
 
-    Each mart is written to a new version folder; only after that write has
-    finished is the mart's one-row pointer table ``_current`` replaced, and
-    readers go through the pointer (``current_mart``).  A failed or retried
-    refresh therefore never exposes a half-written mart and never overwrites
-    the version being read.
+    A refresh has a number, one more than the last, and writes
+    ``<mart>/v=<label>-<number>-<random>``: nothing that a reader may hold is
+    ever written again, also if the label repeats. When all marts are
+    written, one file with a row a mart is added to the append-only list
+    ``_versions``; until then readers see the refresh before. A failed
+    refresh leaves folders that nothing lists.
     """
     spark = wh.fact_flight.sparkSession
+    number = (mart_versions(spark, out_dir) or [0])[-1] + 1
     paths = {}
     for name, (fn, partition_by) in MARTS.items():
         df = fn(wh, as_of=as_of) if name == "mv_daily_operations" else fn(wh)
-        path = f"{out_dir.rstrip('/')}/{name}/v={version}"
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+        path = f"{out_dir.rstrip('/')}/{name}/v={label}-{number}-{uuid.uuid4().hex[:8]}"
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(path)
-        (spark.range(1).select(F.lit(version).alias("version"))
-         .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}/{POINTER}"))
         paths[name] = path
+    listed = [(number, label, name, path) for name, path in paths.items()]
+    (spark.createDataFrame(listed, "version long, label string, mart string, path string").coalesce(1)
+     .write.mode("append").parquet(f"{out_dir.rstrip('/')}/{VERSIONS}"))
     return paths
 
 
-def current_mart(spark, out_dir: str, name: str) -> DataFrame:
-    """The version of mart ``name`` that the last finished refresh published."""
-    base = f"{out_dir.rstrip('/')}/{name}"
-    version = spark.read.parquet(f"{base}/{POINTER}").first()["version"]
-    return spark.read.parquet(f"{base}/v={version}")
+def _listed(spark, out_dir: str) -> DataFrame:
+    try:
+        return spark.read.parquet(f"{out_dir.rstrip('/')}/{VERSIONS}")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # anything but "no refresh yet"
+            raise
+        return spark.createDataFrame([], "version long, label string, mart string, path string")
+
+
+def mart_versions(spark, out_dir: str) -> list[int]:
+    """The published refreshes, in order."""
+    return [r.version for r in _listed(spark, out_dir).select("version").distinct().orderBy("version").collect()]
+
+
+def current_mart(spark, out_dir: str, name: str, version: int | None = None) -> DataFrame:
+    """Mart ``name`` of the refresh ``version`` (default: the last one published)."""
+    rows = _listed(spark, out_dir).filter(F.col("mart") == name)
+    if version is not None:
+        rows = rows.filter(F.col("version") == version)
+    found = rows.agg(F.max_by("path", "version").alias("path")).first()["path"]
+    if found is None:
+        raise ValueError(f"no published version of {name} in {out_dir}")
+    return spark.read.parquet(found)

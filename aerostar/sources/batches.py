@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import date_key
@@ -36,30 +36,52 @@ def flight_key() -> F.Column:
     return F.when(F.col("l_orderkey") % 50 == 0, -key).otherwise(key)
 
 
-def flight_batch(lineitem: DataFrame) -> DataFrame:
+# Fixed values: (modulus, remainder) of the orders whose records are bad or incomplete.
+BAD_RECORDS = {
+    "no_flight": (499, 3), "no_aircraft": (503, 5), "overfull": (509, 7), "no_seats": (521, 11),
+    "no_departure_delay": (523, 13), "no_arrival_delay": (541, 17), "no_cancellation": (547, 19), "negative_seats": (557, 23),
+}
+
+
+def _unless(rule: str, value, bad=None):
+    """``value``, in the records of a bad order ``bad`` (default: null)."""
+    modulus, rest = BAD_RECORDS[rule]
+    return F.when(F.col("l_orderkey") % modulus == rest, F.lit(None) if bad is None else bad).otherwise(value)
+
+
+def flight_batch(lineitem: DataFrame, *carried: str) -> DataFrame:
+    """Flight records as they arrive, some bad or incomplete (BAD_RECORDS); ``carried`` columns go along."""
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     q = F.floor("l_quantity").cast("int")
     d = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
     seats = (F.lit(150) + pk % 200).cast("int")
     rows = lineitem.select(
         flight_key().alias("FlightFactKey"),
-        pk.alias("FlightKey"),
+        _unless("no_flight", pk).alias("FlightKey"),
         date_key(d).alias("DateKey"),
-        sk.alias("AircraftKey"),
+        _unless("no_aircraft", sk).alias("AircraftKey"),
         *_airport_keys(pk),
         (sk % 5).cast("int").alias("CarrierKey"),
-        (q - 5).alias("DepartureDelayMin"),
-        (q * 2 - 10).alias("ArrivalDelayMin"),
-        seats.alias("SeatsAvailable"),
-        (seats - q).cast("int").alias("SeatsFilled"),
+        _unless("no_departure_delay", q - 5).alias("DepartureDelayMin"),
+        _unless("no_arrival_delay", q * 2 - 10).alias("ArrivalDelayMin"),
+        _unless("no_seats", seats, F.lit(0)).alias("SeatsAvailable"),
+        _unless("overfull", _unless("negative_seats", seats - q, F.lit(-4)), seats + 3).cast("int").alias("SeatsFilled"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("Revenue"),
         (q * 500).cast("decimal(10,2)").alias("FuelCost"),
         (F.lit(200) + pk % 2800).cast("int").alias("DistanceMiles"),
-        (F.col("l_discount") >= 0.095).alias("CancellationFlag"),
+        _unless("no_cancellation", F.col("l_discount") >= 0.095).alias("CancellationFlag"),
+        *carried,
     )
     return rows.withColumn("seq", F.struct(*[F.col(c) for c in FLIGHT_BATCH_COLS[1:]]))
 
 
+def arrivals(lineitem: DataFrame) -> DataFrame:
+    """The lines with ``arrival``: 1 for the first of each batch key in the order of its records, else 2."""
+    named = flight_batch(lineitem.withColumn("_line", F.struct(*lineitem.columns)), "_line")
+    nth = F.row_number().over(Window.partitionBy("FlightFactKey").orderBy("seq"))
+    return named.withColumn("arrival", F.when(nth == 1, 1).otherwise(2)).select("_line.*", "arrival")
+
+
 def crm_tier(balance) -> F.Column:
     """The CRM's tier rule: bands of account balance."""
     return (F.when(balance >= 7500, "Platinum").when(balance >= 5000, "Gold")

@@ -87,32 +87,62 @@ def flight_base(lineitem: DataFrame) -> DataFrame:
 
 
 def _airport_keys(pk: Column) -> list[Column]:
+    """Departure and arrival airport of a schedule key."""
     return [
         (pk % 25).cast("int").alias("DepartureAirportKey"),
         ((pk + 1 + pk % 4) % 25).cast("int").alias("ArrivalAirportKey"),
     ]
 
 
+# Fixed values: (modulus, remainder) of the fact keys whose stored row breaks a quality rule.
+BAD_FLIGHTS = {
+    "seats": (1009, 11), "departure_delay": (1013, 17), "arrival_delay": (1019, 19), "revenue": (1021, 23),
+    "carrier": (997, 5), "arrival_airport": (991, 7), "weather": (983, 9), "aircraft": (977, 3), "times": (967, 13),
+}
+# A key that no dimension has.
+UNKNOWN_KEY = 99
+
+
+def bad_flight(rule: str) -> Column:
+    modulus, rest = BAD_FLIGHTS[rule]
+    return F.col("k") % modulus == rest
+
+
 def fact_flight(base: DataFrame) -> DataFrame:
+    """Flights, with a few rows that break a quality rule each (BAD_FLIGHTS).
+
+    Cancelled flights have no actual times; late ones arrive after midnight.
+    """
     pk, sk, q, k = F.col("pk"), F.col("sk"), F.col("q"), F.col("k")
     seats = (F.lit(150) + pk % 200).cast("int")
-    filled = (seats - q).cast("int")
+    filled = F.when(bad_flight("seats"), seats + 3).otherwise(seats - q).cast("int")
+    late = F.when(bad_flight("departure_delay"), 1500).otherwise(q - 5).cast("int")
+    later = F.when(bad_flight("arrival_delay"), -75).otherwise(q * 2 - 10).cast("int")
+    departs = F.unix_timestamp(F.col("d").cast("timestamp")) + (pk % 24) * 3600
+    left = departs + late * 60
+    arrived = F.when(bad_flight("times"), left - 1200).otherwise(departs + (30 + pk % 300 + later) * 60)
+    flown = ~(F.col("disc") >= 0.095)
+    departure, arrival = _airport_keys(pk)
     load = F.round(F.lit(100).cast("decimal(3,0)") * filled / seats, 2).cast("decimal(5,2)")
     return base.select(
         k.alias("FlightFactKey"),
         pk.alias("FlightKey"),
         date_key(F.col("d")).alias("DateKey"),
-        sk.alias("AircraftKey"),
-        *_airport_keys(pk),
-        (sk % 5).cast("int").alias("CarrierKey"),
-        F.when(k % 8 == 7, F.lit(None)).otherwise(1 + k % 5).cast("int").alias("WeatherKey"),
-        (q - 5).alias("DepartureDelayMin"),
-        (q * 2 - 10).alias("ArrivalDelayMin"),
+        F.when(bad_flight("aircraft"), -1 - sk).otherwise(sk).alias("AircraftKey"),
+        departure,
+        F.when(bad_flight("arrival_airport"), UNKNOWN_KEY).otherwise(arrival).cast("int").alias("ArrivalAirportKey"),
+        F.when(bad_flight("carrier"), UNKNOWN_KEY).otherwise(sk % 5).cast("int").alias("CarrierKey"),
+        F.when(bad_flight("weather"), UNKNOWN_KEY).when(k % 8 == 7, F.lit(None)).otherwise(1 + k % 5)
+        .cast("int").alias("WeatherKey"),
+        F.when(flown, F.timestamp_seconds(left)).cast("timestamp_ntz").alias("ActualDepartureTime"),
+        F.when(flown, F.timestamp_seconds(arrived)).cast("timestamp_ntz").alias("ActualArrivalTime"),
+        late.alias("DepartureDelayMin"),
+        later.alias("ArrivalDelayMin"),
         (F.lit(30) + pk % 300).cast("int").alias("AirTimeMin"),
         seats.alias("SeatsAvailable"),
         filled.alias("SeatsFilled"),
         load.alias("LoadFactor"),
-        F.col("price").alias("Revenue"),
+        F.when(bad_flight("revenue"), -F.col("price")).otherwise(F.col("price")).cast("decimal(12,2)").alias("Revenue"),
         (q * 500).cast("decimal(10,2)").alias("FuelCost"),
         (q * 200).cast("decimal(10,2)").alias("CrewCost"),
         (F.lit(1000) + pk % 500).cast("decimal(10,2)").alias("AirportFees"),
@@ -180,10 +210,14 @@ def fact_maintenance(events: DataFrame) -> DataFrame:
 def dim_flight(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     # Every 97th schedule row carries a key that no fact has: its facts are orphans.
+    # Every 89th arrives at an airport that isn't known.
+    departure, arrival = _airport_keys(pk)
     return part.select(
         F.when(pk % 97 == 0, -1 - pk).otherwise(pk).alias("FlightKey"),
         _text("FL", 1000 + pk).alias("FlightNumber"),
         (pk % 5).cast("int").alias("CarrierKey"),
+        departure,
+        F.when(pk % 89 == 4, UNKNOWN_KEY).otherwise(arrival).cast("int").alias("ArrivalAirportKey"),
     )
 
 

@@ -1,11 +1,12 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from aerostar.operators.audit import audited_load
+from aerostar.operators.audit import audited_load, audited_upsert
 from aerostar.operators.etl import aggregate_children, derive_delays, weather_match
-from aerostar.plans.marts import refresh_marts
+from aerostar.plans.marts import current_mart, mart_versions, refresh_marts
 from aerostar.sources.extract import read_schedule, schedule_to_dim_flight
 
 CSV = """FlightNumber,CarrierCode,DepartureAirport,ArrivalAirport,ScheduledDeparture,ScheduledArrival,DistanceMiles
@@ -33,10 +34,51 @@ def test_refresh_marts_writes_versions(spark, wh, scratch):
     assert set(paths) == {"mv_monthly_flight_summary", "mv_route_performance", "mv_customer_ltv",
                           "mv_aircraft_utilization", "mv_daily_operations"}
     assert spark.read.parquet(paths["mv_monthly_flight_summary"]).count() > 0
-    from aerostar.plans.marts import current_mart
-    refresh_marts(wh, scratch, "20250101")
-    cur = current_mart(spark, scratch, "mv_customer_ltv")
-    assert cur.count() == spark.read.parquet(f"{scratch}/mv_customer_ltv/v=20250101").count()
+    assert mart_versions(spark, scratch) == [1]
+
+
+def test_a_reader_keeps_its_version_through_refreshes_of_the_same_label(spark, wh, scratch):
+    first = refresh_marts(wh, scratch, "20241231")
+    held = current_mart(spark, scratch, "mv_customer_ltv", mart_versions(spark, scratch)[-1])
+    before = sorted(map(tuple, held.select("CustomerID", "TotalBookings").collect())) if "CustomerID" in held.columns else held.count()
+    fewer = wh.with_tables(customer=wh.customer.filter("CustomerKey % 2 = 0"))
+    second = refresh_marts(fewer, scratch, "20241231")
+    assert not set(first.values()) & set(second.values()) and mart_versions(spark, scratch) == [1, 2]
+    after = sorted(map(tuple, held.select("CustomerID", "TotalBookings").collect())) if "CustomerID" in held.columns else held.count()
+    assert after == before
+    latest = current_mart(spark, scratch, "mv_customer_ltv")
+    assert latest.count() < held.count() == current_mart(spark, scratch, "mv_customer_ltv", 1).count()
+
+
+def test_a_refresh_that_fails_publishes_nothing(spark, wh, scratch):
+    refresh_marts(wh, scratch, "a")
+    bad = wh.with_tables(fact_flight=wh.fact_flight.withColumn(
+        "Revenue", F.raise_error(F.lit("lost")).cast("decimal(12,2)")))
+    with pytest.raises(Exception, match="lost"):
+        refresh_marts(bad, scratch, "b")
+    assert mart_versions(spark, scratch) == [1]
+    assert current_mart(spark, scratch, "mv_monthly_flight_summary").count() > 0
+    with pytest.raises(ValueError):
+        current_mart(spark, scratch, "mv_customer_ltv", 9)
+
+
+def test_an_audited_upsert_tells_inserts_updates_and_rejects(spark, scratch):
+    kind = "k long, day int, a int, u int, seq int"
+    valid = spark.createDataFrame([(1, 20240105, 1, 10, 1), (1, 20240107, 1, 11, 2), (2, 20240106, 2, 20, 1), (2, 20240101, 3, 21, 2)], kind)
+    bad = spark.createDataFrame([(9, 20240109, 0, 0, 1, "why")], kind + ", RejectReason string")
+    known = spark.createDataFrame([(1,), (1,), (7,)], "k long")
+    dq = spark.createDataFrame([("c", 0)], "CheckName string, Failures int")
+    args = (known, valid, bad, f"{scratch}/load", f"{scratch}/logs", "k", ["u"], ["k", "day", "a", "u"], "seq", "day")
+    out = audited_upsert(spark, "j", *args, dq=dq)
+    assert [out[c] for c in ("rows_processed", "rows_inserted", "rows_updated", "rows_rejected")] == [5, 1, 3, 1]
+    assert (out["watermark_key"], out["watermark_id"], out["status"]) == (20240109, 9, "success")
+    load = {(r.k, r.LoadAction): (r.a, r.u) for r in spark.read.parquet(f"{scratch}/load").collect()}
+    assert load == {(1, "update"): (1, 11), (2, "insert"): (2, 21), (9, "reject"): (0, 0)}
+    assert [r.RejectReason for r in spark.read.parquet(f"{scratch}/logs/etl_error_log").collect()] == ["why"]
+    assert spark.read.parquet(f"{scratch}/logs/data_quality_log").count() == 1
+    with pytest.raises(RuntimeError):  # the folder is taken: nothing is loaded, the entry says so
+        audited_upsert(spark, "j", *args)
+    assert sorted(r.status for r in spark.read.parquet(f"{scratch}/logs/etl_audit_log").collect()) == ["failed", "success"]
 
 
 def test_audit_log(spark, scratch):

@@ -13,14 +13,14 @@ def test_transform_and_reject_reasons(spark):
         (2, None, 20240101, 1, 1, 2, 1, 0, 16, 200, 150),  # missing FlightKey
         (3, 1, 20240101, 1, 1, 2, 1, 0, 0, 0, 0),          # zero seats
         (4, 1, 20240101, 1, 1, 2, 1, 0, 0, 100, 120),      # filled > available
-        (5, 1, 20240101, 1, 1, 2, 1, 0, None, 120, 120),   # equal seats valid, NULL delay
+        (5, 1, 20240101, 1, 1, 2, 1, 0, None, 120, 120),   # equal seats valid, NULL delay: 0
         (6, 1, 20240101, 1, 1, 2, 1, 0, 0, 3, 1),          # 33.333.. -> 33.33
     ]
     valid, rejected = transform_flights(spark.createDataFrame(rows, COLS))
     v = {r.FlightFactKey: r for r in valid.collect()}
     assert sorted(v) == [1, 5, 6]
     assert v[1].LoadFactor == Decimal("75.00") and v[1].OnTimeFlag is True
-    assert v[5].LoadFactor == Decimal("100.00") and v[5].OnTimeFlag is None
+    assert v[5].LoadFactor == Decimal("100.00") and v[5].OnTimeFlag is True  # the default
     assert v[6].LoadFactor == Decimal("33.33")
     reasons = {r.FlightFactKey: r.RejectReason for r in rejected.collect()}
     assert reasons == {2: "missing_FlightKey", 3: "no_seats_available",
