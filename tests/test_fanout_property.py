@@ -25,7 +25,7 @@ def _facts(spark, wh, flights, maints):
                         fees, False, False, False, 500))
     m_rows = [(100 + i, ac, dk, 1, dt.date(dk // 10000, dk // 100 % 100, dk % 100), cost, down, 1)
               for i, (ac, dk, cost, down) in enumerate(maints)]
-    ff = spark.createDataFrame(ff_rows, wh.fact_flight.schema)
+    ff = spark.createDataFrame(ff_rows, wh.fact_flight.drop("ActualDepartureTime", "ActualArrivalTime").schema)
     fm = spark.createDataFrame(m_rows, wh.fact_maintenance.schema)
     return wh.with_tables(fact_flight=ff, fact_maintenance=fm)
 

@@ -23,7 +23,8 @@ from tools.compare import compare
 STAR_TABLES = {"fact_flight": "FactFlight", "fact_booking": "FactBooking", "fact_cargo": "FactCargo",
                "fact_maintenance": "FactMaintenance", "flight": "DimFlight", "airport": "DimAirport",
                "carrier": "DimCarrier", "aircraft": "DimAircraft", "customer": "DimCustomer",
-               "date": "DimDate", "fare_class": "DimFareClass", "weather": "DimWeather"}
+               "date": "DimDate", "fare_class": "DimFareClass", "weather": "DimWeather",
+               "maintenance_type": "DimMaintenanceType"}
 
 
 def _body(text: str) -> str:
