@@ -174,8 +174,9 @@ def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-#: Rounds in which the open candidates are checked against a pivot of each key before all pairs are.
-PIVOT_ROUNDS = 2
+#: Rounds, while they find links, in which the open candidates are checked against a pivot of each key
+#: before all pairs are.
+PIVOT_ROUNDS = 5
 
 
 def _side(df: DataFrame, info: DataFrame, side: str) -> DataFrame:
@@ -204,12 +205,20 @@ def _links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return found
 
 
-def _voted(stars: DataFrame, info: DataFrame, rule: Rule) -> DataFrame:
-    """Of ``stars`` (a, b; one row per shared key), the a with which each b shares most keys."""
-    votes = (stars.groupBy("a", "b").count().groupBy("b")
-             .agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("best")))
-    best = votes.select((-F.col("best.a")).alias("a"), "b")
-    return _side(_side(best, info, "a"), info, "b").filter(_fit(rule))
+def _voted(stars: DataFrame, info: DataFrame, rule: Rule, fit_first: bool) -> DataFrame:
+    """Of ``stars`` (a, b; one row per shared key), the a with which each b shares most keys.
+
+    ``fit_first``: only among those that sizes and sketches don't rule out; else the choice comes first,
+    which spares two joins of all stars.
+    """
+    def fitting(pairs: DataFrame) -> DataFrame:
+        return _side(_side(pairs, info, "a"), info, "b").filter(_fit(rule))
+
+    votes = stars.groupBy("a", "b").count()
+    best = ((fitting(votes) if fit_first else votes).groupBy("b")
+            .agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("best"))
+            .select((-F.col("best.a")).alias("a"), "b"))
+    return best if fit_first else fitting(best)
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -275,7 +284,7 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
 
     heads = members.groupBy("key").agg(F.min("node").alias("a"))
     stars = members.join(heads, "key").filter("node <> a").select("a", F.col("node").alias("b"))
-    links = _links(_voted(stars, info, rule), texts, rule).unionByName(twins)
+    links = _links(_voted(stars, info, rule, False), texts, rule).unionByName(twins)
     labels = components(links)
     left = _open(members, labels)
     for turn in range(PIVOT_ROUNDS):
@@ -284,11 +293,12 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
         pivots = stage(left.groupBy("key").agg(F.min(by).alias("p")).select(
             "key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
         stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("node").alias("b"))
-        found = _links(_voted(stars, info, rule), texts, rule)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-            left = _open(left, labels)
+        found = _links(_voted(stars, info, rule, True), texts, rule)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        labels = components(links)
+        left = _open(left, labels)
     # What is left is checked pair by pair, except what sizes and sketches rule out.
     side = lambda name: _side(left.select("key", F.col("node").alias(name), F.col("probe").alias(f"p_{name}"),
                                           F.col("root").alias(f"r_{name}")), info, name)
