@@ -7,6 +7,8 @@ expression, and rejected rows are kept with a reason instead of failing the job.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -130,6 +132,44 @@ def lookup_keys(df: DataFrame, dim: DataFrame, business_col: str, dim_business_c
     return j.filter("RejectReason IS NULL").drop("RejectReason"), j.filter("RejectReason IS NOT NULL")
 
 
+class Lookup(NamedTuple):
+    """One business key to resolve: the source column, the dimension with its two key columns, the name of the result."""
+    column: str
+    dim: DataFrame
+    business_key: str
+    surrogate_key: str
+    out: str
+
+
+def resolve_keys(df: DataFrame, lookups: list[Lookup], current_only: bool = True) -> DataFrame:
+    """P05 for all business keys of a record: every row once, with its surrogate keys and RejectReasons.
+
+    RejectReasons names each key that is absent (``missing_<column>``) or that
+    no dimension row has (``unknown_<column>``), in the order of ``lookups``;
+    null where all are found. A dimension is reduced to one row per business
+    key, the current version with the highest surrogate key, so no lookup can
+    multiply rows. Lookups that share a dimension share its reduced form.
+    """
+    reasons, cols = [], [F.col(c) for c in df.columns]
+    for n, lookup in enumerate(lookups):
+        dim = lookup.dim
+        if current_only and "IsCurrent" in dim.columns:
+            dim = dim.filter(F.col("IsCurrent"))
+        found, business = f"__key{n}", f"__bk{n}"
+        one = dim.groupBy(F.col(lookup.business_key).alias(business)).agg(F.max(lookup.surrogate_key).alias(found))
+        df = df.join(one, F.col(lookup.column) == F.col(business), "left")
+        reasons.append(F.when(F.col(lookup.column).isNull(), f"missing_{lookup.column}")
+                       .when(F.col(found).isNull(), f"unknown_{lookup.column}"))
+        cols.append(F.col(found).alias(lookup.out))
+    missed = F.array_compact(F.array(*reasons))
+    return df.select(*cols, F.when(F.size(missed) > 0, missed).alias("RejectReasons"))
+
+
+def split_resolved(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``resolve_keys`` whose keys were all found, and the rejects with their reasons."""
+    return df.filter("RejectReasons IS NULL").drop("RejectReasons"), df.filter("RejectReasons IS NOT NULL")
+
+
 def aggregate_children(parent: DataFrame, children: DataFrame, key: str,
                        measures: dict[str, Column]) -> DataFrame:
     """Child rows summed per parent key (pre-aggregated), then joined.

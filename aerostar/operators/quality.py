@@ -68,20 +68,21 @@ def _report(one_row: DataFrame, names: list[str]) -> DataFrame:
 def dq_report(wh: Warehouse, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     """Q04: the three flight checks of the ETL as one (CheckName, Failures, Passed) frame.
 
-    Orphans are counted from per-FlightKey counts (see ``orphan_count``);
-    future dates by a semi join with the broadcast calendar rows after
-    ``as_of``; invalid load factors by a filtered count -- each over a
-    column-pruned scan of the fact.
+    The fact is read once: the calendar rows after ``as_of`` (broadcast,
+    bounded by the calendar) flag each row, all three counts are kept per
+    FlightKey (a partial aggregation, one row per task and key), and only
+    those counts meet the flight keys. A row without FlightKey is an orphan.
     """
-    ff = wh.fact_flight
-    future = F.broadcast(wh.date.filter(F.col("Date") > F.lit(as_of)).select("DateKey"))
-    counts = ff.select("LoadFactor").agg(
-        count_if(out_of_range(F.col("LoadFactor"), 0, 100)).alias("invalid_load_factors"))
-    n_future = ff.select("DateKey").join(future, "DateKey", "left_semi").select(
-        rows().alias("n")).scalar()
-    counts = counts.select(
-        orphan_count(ff, "FlightKey", wh.flight.select("FlightKey")).alias("orphaned_flights"),
-        "invalid_load_factors", n_future.alias("future_dates"))
+    future = F.broadcast(wh.date.filter(F.col("Date") > F.lit(as_of)).select(F.col("DateKey").alias("__day")))
+    flagged = wh.fact_flight.join(future, F.col("DateKey") == F.col("__day"), "left")
+    per_key = flagged.groupBy("FlightKey").agg(
+        rows().alias("n"), count_if(out_of_range(F.col("LoadFactor"), 0, 100)).alias("bad_loads"),
+        count_if(F.col("__day").isNotNull()).alias("late"))
+    known = wh.flight.select(F.col("FlightKey").alias("__known")).distinct()
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    counts = per_key.join(known, F.col("FlightKey") == F.col("__known"), "left").agg(
+        total(F.when(F.col("__known").isNull(), F.col("n"))).alias("orphaned_flights"),
+        total(F.col("bad_loads")).alias("invalid_load_factors"), total(F.col("late")).alias("future_dates"))
     return _report(counts, ["orphaned_flights", "invalid_load_factors", "future_dates"])
 
 

@@ -190,6 +190,63 @@ SELECT b.booking_id, b.customer_id, c.CustomerKey,
 FROM bsrc b LEFT JOIN DimCustomer c ON b.customer_id = c.CustomerID AND c.IsCurrent
 """, _BOOKING_SOURCE)
 
+def _lookups(source: str, columns: str, keys: list[tuple[str, str, str, str, str]]) -> str:
+    """Each key (column, dimension, its business key, its key, result) by a subquery; reasons in order."""
+    found = ", ".join(f"(SELECT MAX({key}) FROM {dim} d WHERE d.{name} = s.{col}) AS {out}" for col, dim, name, key, out in keys)
+    reasons = ", ".join(f"CASE WHEN {col} IS NULL THEN 'missing_{col}' WHEN {out} IS NULL THEN 'unknown_{col}' END"
+                        for col, _, _, _, out in keys)
+    return (f"SELECT *, NULLIF(concat_ws(',', {reasons}), '') AS RejectReasons\n"
+            f"FROM (SELECT {columns}, {found} FROM {source} s) t")
+
+
+_CURRENT = """
+airport_now AS (SELECT * FROM DimAirport WHERE IsCurrent),
+aircraft_now AS (SELECT * FROM DimAircraft WHERE IsCurrent),
+customer_now AS (SELECT * FROM DimCustomer WHERE IsCurrent),
+mtype AS (SELECT CAST(1 + r_regionkey AS INTEGER) AS MaintenanceTypeKey, 'MT' || r_regionkey AS MaintenanceCode
+          FROM region WHERE r_regionkey < 4),
+flight_src AS (
+  SELECT CASE WHEN l_orderkey % 50 = 0 THEN -(l_orderkey * 8 + l_linenumber) ELSE l_orderkey * 8 + l_linenumber END AS FlightFactKey,
+         CASE WHEN l_orderkey % 499 <> 3 THEN 'FL' || (1000 + l_partkey) END AS flight_number,
+         'A' || lpad(CAST(l_partkey % 25 AS VARCHAR), 2, '0') AS departure_airport,
+         'A' || lpad(CAST((l_partkey + 1 + l_partkey % 4) % 25 AS VARCHAR), 2, '0') AS arrival_airport,
+         CASE WHEN l_orderkey % 503 <> 5 THEN 'N' || (1000 + l_suppkey) END AS tail_number
+  FROM lineitem
+),
+booking_src AS (
+  SELECT o_orderkey AS booking_id, 'CUST' || (10000 + o_custkey) AS customer_id, 'FL' || (1000 + o_orderkey % 200) AS flight_number,
+         'R' || (o_orderkey % 6) AS fare_code FROM orders
+),
+maintenance_src AS (
+  SELECT event_id, 'N' || (1000 + user_id % 10) AS tail_number, 'MT' || (event_id % 5) AS maintenance_type
+  FROM events WHERE event_type = 'error'
+)"""
+
+ETL_TEXTS["flight_keys"] = with_prelude(_lookups(
+    "flight_src", "FlightFactKey, flight_number, departure_airport, arrival_airport, tail_number", [
+        ("flight_number", "DimFlight", "FlightNumber", "FlightKey", "FlightKey"),
+        ("departure_airport", "airport_now", "IATA", "AirportKey", "DepartureAirportKey"),
+        ("arrival_airport", "airport_now", "IATA", "AirportKey", "ArrivalAirportKey"),
+        ("tail_number", "aircraft_now", "TailNumber", "AircraftKey", "AircraftKey")]), _CURRENT)
+
+ETL_TEXTS["booking_keys"] = with_prelude(_lookups("booking_src", "booking_id, customer_id, flight_number, fare_code", [
+    ("customer_id", "customer_now", "CustomerID", "CustomerKey", "CustomerKey"),
+    ("flight_number", "DimFlight", "FlightNumber", "FlightKey", "FlightKey"),
+    ("fare_code", "DimFareClass", "FareCode", "FareClassKey", "FareClassKey")]), _CURRENT)
+
+ETL_TEXTS["maintenance_keys"] = with_prelude(_lookups("maintenance_src", "event_id, tail_number, maintenance_type", [
+    ("tail_number", "aircraft_now", "TailNumber", "AircraftKey", "AircraftKey"),
+    ("maintenance_type", "mtype", "MaintenanceCode", "MaintenanceTypeKey", "MaintenanceTypeKey")]), _CURRENT)
+
+ETL_TEXTS["maintenance_costs"] = """
+SELECT event_id, CAST(labor AS DOUBLE) AS LaborCost, CAST(parts AS DOUBLE) AS PartsCost, n AS CostLines,
+       CAST(labor + parts AS DOUBLE) AS TotalCost
+FROM (SELECT event_id, NULLIF(event_id % 4, 0) AS n, CASE WHEN event_id % 4 > 0 THEN
+               (event_id % 4) * CAST(value AS DECIMAL(10,2)) + (event_id % 4) * (event_id % 4 + 1) // 2 END AS labor,
+             CASE event_id % 4 WHEN 1 THEN 25 WHEN 0 THEN NULL ELSE 75 END AS parts
+      FROM events WHERE event_type = 'error')
+"""
+
 ETL_TEXTS["dq_duplicates"] = with_prelude("""
 SELECT FlightFactKey, COUNT(*) AS Occurrences FROM fbatch
 GROUP BY FlightFactKey HAVING COUNT(*) > 1
@@ -288,6 +345,12 @@ SELECT CheckName, Failures, Failures = 0 AS Passed FROM (
 ) t
 """, _E08_CTES)
 
+# The load as a table: as the upsert, with the week's records only.
+ETL_TEXTS["etl_load"] = ETL_TEXTS["flight_upsert"].replace(
+    "WHERE FlightKey IS NOT NULL AND DateKey IS NOT NULL",
+    f"WHERE DateKey BETWEEN {_E08_LO} AND {_E08_HI} AND FlightKey IS NOT NULL")
+assert "BETWEEN" in ETL_TEXTS["etl_load"]
+
 ETL_TEXTS["dq_current_versions"] = with_prelude("""
 SELECT CustomerID, COUNT(*) AS CurrentVersions FROM DimCustomer
 WHERE IsCurrent GROUP BY CustomerID HAVING COUNT(*) > 1

@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostar.functions.dates import DEFAULT_AS_OF, days_before, key_of
 from aerostar.operators import quality as Q
-from aerostar.operators.etl import (aggregate_children, as_report, derive_booking_totals,
+from aerostar.operators.etl import (Lookup, aggregate_children, as_report, derive_booking_totals,
                                     derive_delays, derive_maintenance,
-                                    reject_load_factor_range, transform_flights,
+                                    reject_load_factor_range, resolve_keys, transform_flights,
                                     validate_flights, weather_match, with_key)
 from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, point_in_time,
                                      scd2_apply)
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
 from aerostar.registry import raw_job
 from aerostar.session import checkpoint_dir
-from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, arrivals, booking_source,
-                                      customer_batch, flight_batch, flight_departures,
-                                      flight_events, maintenance_events, weather_observations)
+from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, arrivals, booking_codes, booking_source,
+                                      customer_batch, flight_batch, flight_departures, flight_events,
+                                      flight_source, maintenance_codes, maintenance_costs,
+                                      maintenance_events, weather_observations)
 from aerostar.sources.extract import extract_window
 from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, read_table
 from aerostar.streaming.incremental import stream_increments
@@ -48,6 +52,62 @@ def run_etl(wh: Warehouse, batch: DataFrame, as_of: dt.date = DEFAULT_AS_OF,
     return out
 
 
+LOADS_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()), T.StructField("folder", T.StringType()), T.StructField("status", T.StringType()),
+    T.StructField("rows_loaded", T.LongType()), T.StructField("failed_checks", T.StringType()),
+])
+
+
+def loads(spark: SparkSession, table: str) -> DataFrame:
+    """The append-only list of loads: version, folder, status (published or withheld), rows and failed checks."""
+    path = f"{table.rstrip('/')}/loads"
+    try:
+        return spark.read.schema(LOADS_SCHEMA).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":  # anything but "no load yet"
+            raise
+        return spark.createDataFrame([], LOADS_SCHEMA)
+
+
+def read_load(spark: SparkSession, table: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The facts of the last published load, or of ``version``; a load that was withheld is never read."""
+    found = loads(spark, table).filter(F.col("status") == "published")
+    if version is not None:
+        found = found.filter(F.col("version") == version)
+    folder = found.agg(F.max_by("folder", "version")).first()[0]
+    if folder is None:
+        raise ValueError(f"no published load in {table}")
+    return spark.read.schema(schema).parquet(f"{table.rstrip('/')}/{folder}")
+
+
+def load_flights(wh: Warehouse, batch: DataFrame, table: str, as_of: dt.date = DEFAULT_AS_OF, window_days: int = 7,
+                 allowed: dict[str, float] | None = None) -> dict:
+    """E08 with a stored result: the loaded facts are written once, the written rows checked in one scan, then
+    published or withheld.
+
+    Every load has a folder of its own, which readers see only once its row in
+    ``loads`` says published. ``allowed`` gives for each check the share of the
+    rows that may fail it (default: any number, as the original only warns); a
+    load over a limit is listed as withheld, so the load before stays the
+    current one. A failure on the way leaves a folder that nothing lists.
+    One writer at a time.
+    """
+    spark = batch.sparkSession
+    loaded = run_etl(wh, batch, as_of, window_days)["fact_flight"]
+    version = (loads(spark, table).agg(F.max("version")).first()[0] or 0) + 1
+    folder = f"data/{version}-{uuid.uuid4().hex}"
+    seen = Observation(f"load-{folder}")
+    loaded.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{table.rstrip('/')}/{folder}")
+    written = spark.read.schema(loaded.schema).parquet(f"{table.rstrip('/')}/{folder}")
+    checks = {r.CheckName: r.Failures for r in Q.dq_report(wh.with_tables(fact_flight=written), as_of).collect()}
+    rows = seen.get["n"]
+    over = sorted(c for c, share in (allowed or {}).items() if checks[c] > share * rows)
+    entry = (version, folder, "withheld" if over else "published", rows, ",".join(over))
+    (spark.createDataFrame([entry], LOADS_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(f"{table.rstrip('/')}/loads"))
+    return dict(zip(LOADS_SCHEMA.names, entry, strict=True)) | {"checks": checks}
+
+
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flight_batch(read_table(spark, sf_dir, "lineitem"))
 
@@ -119,6 +179,22 @@ def etl_run(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> Da
     return run_etl(wh, _batch(spark, sf_dir))["dq"]
 
 
+@raw_job("etl_load")
+def etl_load(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """All facts after loading the last week of the batch, read back from the published load.
+
+    A second load, which may not hold a single orphaned flight, is withheld
+    wherever there are some, so the first one stays the current one.
+    """
+    wh = wh or derive_star(spark, sf_dir)
+    table = f"{checkpoint_dir(spark).rstrip('/')}/loads/{uuid.uuid4().hex}"
+    batch, schema = _batch(spark, sf_dir), wh.fact_flight.drop(MONTH_PART).schema
+    plain = wh.with_tables(fact_flight=wh.fact_flight.drop(MONTH_PART))
+    load_flights(plain, batch, table)
+    load_flights(plain, batch, table, allowed={"orphaned_flights": 0.0})
+    return as_report(read_load(spark, table, schema))
+
+
 @raw_job("booking_totals")
 def booking_totals(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Reservation records with TotalAmount and CancellationFlag."""
@@ -133,6 +209,51 @@ def booking_key_lookup(spark: SparkSession, sf_dir: str, wh: Warehouse | None =
     return with_key(src, wh.customer, "customer_id", "CustomerID", "CustomerKey")
 
 
+def _resolved(df: DataFrame) -> DataFrame:
+    """The reasons as one text, for registered output."""
+    return df.withColumn("RejectReasons", F.when(F.col("RejectReasons").isNotNull(), F.concat_ws(",", "RejectReasons")))
+
+
+@raw_job("flight_keys")
+def flight_keys(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Flight records with their flight, airport and aircraft keys, every miss of a record in one list."""
+    wh = wh or derive_star(spark, sf_dir)
+    return _resolved(resolve_keys(flight_source(read_table(spark, sf_dir, "lineitem")), [
+        Lookup("flight_number", wh.flight, "FlightNumber", "FlightKey", "FlightKey"),
+        Lookup("departure_airport", wh.airport, "IATA", "AirportKey", "DepartureAirportKey"),
+        Lookup("arrival_airport", wh.airport, "IATA", "AirportKey", "ArrivalAirportKey"),
+        Lookup("tail_number", wh.aircraft, "TailNumber", "AircraftKey", "AircraftKey")]))
+
+
+@raw_job("booking_keys")
+def booking_keys(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Reservations with their customer, flight and fare class keys, every miss in one list."""
+    wh = wh or derive_star(spark, sf_dir)
+    return _resolved(resolve_keys(booking_codes(read_table(spark, sf_dir, "orders")), [
+        Lookup("customer_id", wh.customer, "CustomerID", "CustomerKey", "CustomerKey"),
+        Lookup("flight_number", wh.flight, "FlightNumber", "FlightKey", "FlightKey"),
+        Lookup("fare_code", wh.fare_class, "FareCode", "FareClassKey", "FareClassKey")]))
+
+
+@raw_job("maintenance_keys")
+def maintenance_keys(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Maintenance events with their aircraft and type keys, every miss in one list."""
+    wh = wh or derive_star(spark, sf_dir)
+    return _resolved(resolve_keys(maintenance_codes(read_table(spark, sf_dir, "events")), [
+        Lookup("tail_number", wh.aircraft, "TailNumber", "AircraftKey", "AircraftKey"),
+        Lookup("maintenance_type", wh.maintenance_type, "MaintenanceCode", "MaintenanceTypeKey", "MaintenanceTypeKey")]))
+
+
+@raw_job("maintenance_costs")
+def maintenance_cost_totals(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """Labor and parts summed per maintenance event; an event without cost lines has none, without parts 0 of them."""
+    log = read_table(spark, sf_dir, "events")
+    totals = aggregate_children(maintenance_codes(log).select("event_id"), maintenance_costs(log), "event_id", {
+        "LaborCost": F.sum("labor_cost"), "PartsCost": F.coalesce(F.sum("parts_cost"), F.lit(0).cast("decimal(20,2)")),
+        "CostLines": F.count(F.lit(1))})
+    return as_report(totals.withColumn("TotalCost", (F.col("LaborCost") + F.col("PartsCost")).cast("decimal(20,2)")))
+
+
 @raw_job("dq_duplicates")
 def dq_duplicate_flights(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """FlightFactKeys that occur more than once in the flight batch."""

@@ -122,6 +122,44 @@ def booking_source(orders: DataFrame) -> DataFrame:
     )
 
 
+def flight_source(lineitem: DataFrame) -> DataFrame:
+    """Flight records with business keys (P05): number, airports and tail number, some of them absent (BAD_RECORDS)."""
+    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
+    departure, arrival = _airport_keys(pk)
+    return lineitem.select(
+        flight_key().alias("FlightFactKey"),
+        _unless("no_flight", _text("FL", 1000 + pk)).alias("flight_number"),
+        airport_code(departure).alias("departure_airport"),
+        airport_code(arrival).alias("arrival_airport"),
+        _unless("no_aircraft", _text("N", 1000 + sk)).alias("tail_number"))
+
+
+def booking_codes(orders: DataFrame) -> DataFrame:
+    """Reservations with their three business keys (P05); one fare code in six is not known."""
+    ok = F.col("o_orderkey")
+    return orders.select(
+        ok.alias("booking_id"), _text("CUST", 10000 + F.col("o_custkey")).alias("customer_id"),
+        _text("FL", 1000 + ok % 200).alias("flight_number"), _text("R", ok % 6).alias("fare_code"))
+
+
+def maintenance_codes(events: DataFrame) -> DataFrame:
+    """Maintenance events with their business keys (P05); one type in five is not known."""
+    eid = F.col("event_id")
+    return events.filter(F.col("event_type") == "error").select(
+        eid.alias("event_id"), _text("N", 1000 + F.col("user_id") % 10).alias("tail_number"),
+        _text("MT", eid % 5).alias("maintenance_type"))
+
+
+def maintenance_costs(events: DataFrame) -> DataFrame:
+    """Cost lines of the maintenance events (P07), none to three an event: hours of labor and parts."""
+    eid, n = F.col("event_id"), F.col("line")
+    value = F.col("value").cast("decimal(10,2)")
+    lines = events.filter((F.col("event_type") == "error") & (eid % 4 > 0)).withColumn(
+        "line", F.explode(F.sequence(F.lit(1), (eid % 4).cast("int"))))
+    return lines.select(eid.alias("event_id"), (value + n).cast("decimal(10,2)").alias("labor_cost"),
+                        F.when(n < 3, n * 25).cast("decimal(10,2)").alias("parts_cost"))
+
+
 # Window of the extract example: the last 7 days of the event log.
 EXTRACT_START = dt.datetime(2024, 1, 24, 0, 0, 0)
 EXTRACT_END = dt.datetime(2024, 1, 31, 0, 0, 0)

@@ -81,3 +81,33 @@ def test_dq_required_defaults_counts(spark):
     got = {r.CheckName: r.Failures for r in dq_required_defaults(df).collect()}
     assert got == {"missing_required_keys": 1, "defaulted_DepartureDelayMin": 1,
                    "defaulted_ArrivalDelayMin": 1, "defaulted_CancellationFlag": 1}
+
+
+def test_all_keys_of_a_record(spark):
+    from aerostar.operators.etl import Lookup, resolve_keys, split_resolved
+    planes = spark.createDataFrame([("N1", 1, True), ("N1", 2, True), ("N2", 3, False)], "TailNumber string, AircraftKey int, IsCurrent boolean")
+    airports = spark.createDataFrame([("A01", 1), ("A02", 2)], "IATA string, AirportKey int")
+    src = spark.createDataFrame([(1, "N1", "A01", "A02"), (2, "N2", "A09", "A01"), (3, None, None, "A08"), (3, None, None, "A08"),
+                                 (4, "N9", "A02", "A02")], "id int, tail string, origin string, target string")
+    lookups = [Lookup("tail", planes, "TailNumber", "AircraftKey", "AircraftKey"),
+               Lookup("origin", airports, "IATA", "AirportKey", "FromKey"), Lookup("target", airports, "IATA", "AirportKey", "ToKey")]
+    done = resolve_keys(src, lookups)
+    assert done.columns == ["id", "tail", "origin", "target", "AircraftKey", "FromKey", "ToKey", "RejectReasons"]
+    hits, misses = split_resolved(done)
+    # The highest of two current versions; no row is doubled.
+    assert [(r.id, r.AircraftKey, r.FromKey, r.ToKey) for r in hits.collect()] == [(1, 2, 1, 2)]
+    three = ["missing_tail", "missing_origin", "unknown_target"]
+    assert sorted((r.id, r.RejectReasons) for r in misses.collect()) == [
+        (2, ["unknown_tail", "unknown_origin"]), (3, three), (3, three), (4, ["unknown_tail"])]
+    assert split_resolved(resolve_keys(src.limit(0), lookups))[1].count() == 0
+
+
+def test_children_without_parts(spark):
+    from pyspark.sql import functions as F
+
+    from aerostar.sources.batches import maintenance_costs
+    log = spark.createDataFrame([(4, "error", 10.5), (5, "error", 10.5), (7, "error", 1.25), (6, "view", 1.0)],
+                                "event_id long, event_type string, value double")
+    lines = sorted(tuple(r) for r in maintenance_costs(log).select(
+        "event_id", F.col("labor_cost").cast("double"), F.col("parts_cost").cast("double")).collect())
+    assert lines[0] == (5, 11.5, 25.0) and lines[1:] == [(7, 2.25, 25.0), (7, 3.25, 50.0), (7, 4.25, None)]
