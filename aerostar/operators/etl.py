@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from aerostar.functions.measures import ON_TIME_MINUTES
+from aerostar.sources.catalog import FLIGHT_RECORD, fill_defaults
 
-# Fixed values of the original: the keys a flight record must carry.
-REQUIRED_FLIGHT_KEYS = ("FlightKey", "DateKey", "AircraftKey", "DepartureAirportKey",
-                        "ArrivalAirportKey")
+#: The keys a flight record must carry.
+REQUIRED_FLIGHT_KEYS = tuple(c for c, rule in FLIGHT_RECORD.items() if rule.required)
 
 
 def load_factor(filled: Column, available: Column) -> Column:
@@ -64,10 +64,7 @@ def transform_flights(batch: DataFrame, late: int = ON_TIME_MINUTES) -> tuple[Da
 
 def apply_defaults(batch: DataFrame) -> DataFrame:
     """Documented defaults (delays 0, cancellation FALSE); WeatherKey optional."""
-    defaults = {"DepartureDelayMin": F.lit(0), "ArrivalDelayMin": F.lit(0),
-                "CancellationFlag": F.lit(False)}
-    return batch.withColumns({c: F.coalesce(F.col(c), v) for c, v in defaults.items()
-                              if c in batch.columns})
+    return fill_defaults(batch, FLIGHT_RECORD)
 
 
 def derive_delays(src: DataFrame) -> DataFrame:

@@ -238,6 +238,37 @@ ETL_TEXTS["maintenance_keys"] = with_prelude(_lookups("maintenance_src", "event_
     ("tail_number", "aircraft_now", "TailNumber", "AircraftKey", "AircraftKey"),
     ("maintenance_type", "mtype", "MaintenanceCode", "MaintenanceTypeKey", "MaintenanceTypeKey")]), _CURRENT)
 
+ETL_TEXTS["maintenance_aircraft_version"] = with_prelude("""
+SELECT m.event_id, 'N' || (1000 + user_id % 10) AS tail_number, md AS MaintenanceDate, v.AircraftKey, v.OwnershipType, v.Manufacturer
+FROM maintenance_base m
+LEFT JOIN versions v ON v.TailNumber = 'N' || (1000 + user_id % 10) AND v.since <= md AND (v.until IS NULL OR md < v.until)
+""", """
+now AS (SELECT * FROM DimAircraft WHERE IsCurrent),
+moved AS (
+  SELECT r.TailNumber, r.Owner, now.Manufacturer
+  FROM (SELECT 'N' || (1000 + s_suppkey) AS TailNumber, CASE WHEN s_acctbal < 0 THEN 'Leased' ELSE 'Owned' END AS Owner
+        FROM supplier WHERE s_suppkey % 10 <> 9) r
+  LEFT JOIN now ON now.TailNumber = r.TailNumber
+  WHERE now.OwnershipType IS DISTINCT FROM r.Owner
+),
+versions AS (
+  SELECT AircraftKey, TailNumber, OwnershipType, Manufacturer, DATE '2020-01-01' AS since,
+         CASE WHEN IsCurrent AND TailNumber IN (SELECT TailNumber FROM moved) THEN DATE '2024-07-01' END AS until
+  FROM DimAircraft
+  UNION ALL
+  SELECT (SELECT MAX(AircraftKey) FROM DimAircraft) + ROW_NUMBER() OVER (ORDER BY TailNumber), TailNumber, Owner, Manufacturer,
+         DATE '2024-07-01', NULL
+  FROM moved
+)""")
+
+_RULES = [("FlightKey", "required"), ("DateKey", "required"), ("AircraftKey", "required"), ("DepartureAirportKey", "required"),
+          ("ArrivalAirportKey", "required"), ("WeatherKey", "optional"), ("DepartureDelayMin", "default"),
+          ("ArrivalDelayMin", "default"), ("CancellationFlag", "default")]
+ETL_TEXTS["load_rules"] = with_prelude("\nUNION ALL\n".join(
+    f"SELECT '{label}' AS TableName, '{c}' AS ColumnName, '{rule}' AS Rule, COUNT(*) - COUNT({c}) AS Nulls FROM {table}"
+    for label, table in (("FlightBatch", "fbatch"), ("FactFlight", "FactFlight")) for c, rule in _RULES
+    if (label, c) != ("FlightBatch", "WeatherKey")), _FLIGHT_BATCH)
+
 ETL_TEXTS["maintenance_costs"] = """
 SELECT event_id, CAST(labor AS DOUBLE) AS LaborCost, CAST(parts AS DOUBLE) AS PartsCost, n AS CostLines,
        CAST(labor + parts AS DOUBLE) AS TotalCost

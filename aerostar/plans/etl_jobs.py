@@ -22,10 +22,11 @@ from aerostar.operators.scd2 import (CUSTOMER_TRACKED, CUSTOMER_VERSION_COLS, po
 from aerostar.operators.upsert import insert_if_absent, upsert_facts
 from aerostar.registry import raw_job
 from aerostar.session import checkpoint_dir
-from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, arrivals, booking_codes, booking_source,
+from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, aircraft_register, arrivals, booking_codes, booking_source,
                                       customer_batch, flight_batch, flight_departures, flight_events,
                                       flight_source, maintenance_codes, maintenance_costs,
                                       maintenance_events, weather_observations)
+from aerostar.sources.catalog import FLIGHT_RECORD, rule_counts
 from aerostar.sources.extract import extract_window
 from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, read_table
 from aerostar.streaming.incremental import stream_increments
@@ -275,6 +276,33 @@ def booking_customer_version(spark: SparkSession, sf_dir: str, wh: Warehouse | N
                          ["CustomerKey", "LoyaltyTier"])
 
 
+#: The day of the aircraft register.
+REGISTER_DAY = dt.date(2024, 7, 1)
+
+
+@raw_job("maintenance_aircraft_version")
+def maintenance_aircraft_version(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """P06 for aircraft: each maintenance event with the version of its aircraft that was valid on its day.
+
+    The history is the aircraft dimension after the register (E04 on the tail
+    number); events from its day on see the new owner.
+    """
+    wh = wh or derive_star(spark, sf_dir)
+    history = scd2_apply(wh.aircraft, aircraft_register(read_table(spark, sf_dir, "supplier")), "TailNumber", ["OwnershipType"],
+                         REGISTER_DAY, "AircraftKey", version_cols=["TailNumber", "OwnershipType"], carry_forward=True)
+    log, day = read_table(spark, sf_dir, "events"), F.date_add(F.to_date("ts"), ((F.col("event_id") % 12) * 30).cast("int"))
+    jobs = maintenance_codes(log.withColumn("day", day), "day").withColumnRenamed("day", "MaintenanceDate").drop("maintenance_type")
+    return point_in_time(jobs, history, "tail_number", "TailNumber", "MaintenanceDate", ["AircraftKey", "OwnershipType", "Manufacturer"])
+
+
+@raw_job("load_rules")
+def load_rules(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
+    """How many records of the batch and of the stored facts each rule of a flight record rejects, fills or lets pass."""
+    wh = wh or derive_star(spark, sf_dir)
+    return rule_counts(_batch(spark, sf_dir), "FlightBatch", FLIGHT_RECORD).unionByName(
+        rule_counts(wh.fact_flight, "FactFlight", FLIGHT_RECORD))
+
+
 @raw_job("booking_points")
 def booking_points(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Loyalty points summed per booking from its transactions.

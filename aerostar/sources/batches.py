@@ -142,12 +142,20 @@ def booking_codes(orders: DataFrame) -> DataFrame:
         _text("FL", 1000 + ok % 200).alias("flight_number"), _text("R", ok % 6).alias("fare_code"))
 
 
-def maintenance_codes(events: DataFrame) -> DataFrame:
-    """Maintenance events with their business keys (P05); one type in five is not known."""
+def maintenance_codes(events: DataFrame, *carried: str) -> DataFrame:
+    """Maintenance events with their business keys (P05); one type in five is not known; ``carried`` columns go along."""
     eid = F.col("event_id")
     return events.filter(F.col("event_type") == "error").select(
         eid.alias("event_id"), _text("N", 1000 + F.col("user_id") % 10).alias("tail_number"),
-        _text("MT", eid % 5).alias("maintenance_type"))
+        _text("MT", eid % 5).alias("maintenance_type"), *carried)
+
+
+def aircraft_register(supplier: DataFrame) -> DataFrame:
+    """The register of the aircraft in service (P06): ownership follows the lessor's balance, so some have changed hands."""
+    sk = F.col("s_suppkey")
+    return supplier.filter(sk % 10 != 9).select(
+        F.lit(1).cast("long").alias("seq"), _text("N", 1000 + sk).alias("TailNumber"),
+        F.when(F.col("s_acctbal") < 0, "Leased").otherwise("Owned").alias("OwnershipType"))
 
 
 def maintenance_costs(events: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerostar.functions.dates import date_dimension, date_key
+from aerostar.sources.catalog import SOURCES, conform
 
 # Every order/ship date is moved by this many days (1995-01-01 -> 2020-01-01)
 # so the facts fall inside the date dimension.
@@ -54,7 +55,8 @@ class Warehouse:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A source table, held to its declaration (``catalog.SOURCES``)."""
+    return conform(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), name, SOURCES.get(name, {}))
 
 
 def _shifted(ts: Column) -> Column:
