@@ -24,11 +24,11 @@ from aerostar.registry import raw_job
 from aerostar.session import checkpoint_dir
 from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP, aircraft_register, arrivals, booking_codes, booking_source,
                                       customer_batch, flight_batch, flight_departures, flight_events,
-                                      flight_source, maintenance_codes, maintenance_costs,
+                                      flight_key, flight_source, maintenance_codes, maintenance_costs,
                                       maintenance_events, weather_observations)
 from aerostar.sources.catalog import FLIGHT_RECORD, rule_counts
 from aerostar.sources.extract import extract_window
-from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, read_table
+from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, flight_base, read_table
 from aerostar.streaming.incremental import stream_increments
 
 
@@ -113,6 +113,17 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flight_batch(read_table(spark, sf_dir, "lineitem"))
 
 
+def _keyed_batch(lines: DataFrame) -> DataFrame:
+    """The flight batch dealt by its key while a record is still a line: a third of the columns of a record with
+    its ``seq``. What groups or joins the records by their key moves them no more."""
+    return flight_batch(lines.repartition(flight_key()))
+
+
+def _keyed_star(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse, its flights dealt by their key before their many columns are derived."""
+    return derive_star(spark, sf_dir, flight_base(read_table(spark, sf_dir, "lineitem")).repartition("k"))
+
+
 @raw_job("flight_transform")
 def flight_transform(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
     """Valid flight records with LoadFactor and OnTimeFlag."""
@@ -129,9 +140,9 @@ def flight_validate(spark: SparkSession, sf_dir: str, wh: Warehouse | None = Non
 
 @raw_job("flight_upsert")
 def flight_upsert(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) -> DataFrame:
-    """All stored facts, upserted with the full batch."""
-    wh = wh or derive_star(spark, sf_dir)
-    valid, _ = transform_flights(_batch(spark, sf_dir))
+    """All stored facts, upserted with the full batch; both are dealt by the key once."""
+    wh = wh or _keyed_star(spark, sf_dir)
+    valid, _ = transform_flights(_keyed_batch(read_table(spark, sf_dir, "lineitem")))
     return as_report(upsert_facts(wh.fact_flight, valid, seq="seq"))
 
 
