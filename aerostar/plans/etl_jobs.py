@@ -433,9 +433,10 @@ def etl_audit(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) ->
     from aerostar.operators.audit import audited_upsert
     from aerostar.operators.upsert import FLIGHT_INSERT_COLS, FLIGHT_UPDATE_COLS
 
-    wh = wh or derive_star(spark, sf_dir)
+    wh = wh or _keyed_star(spark, sf_dir)
     work = f"{checkpoint_dir(spark).rstrip('/')}/audit/{uuid.uuid4().hex}"
-    valid, rejected = transform_flights(_batch(spark, sf_dir))
+    valid, _ = transform_flights(_keyed_batch(read_table(spark, sf_dir, "lineitem")))
+    _, rejected = transform_flights(_batch(spark, sf_dir))
     audited_upsert(spark, "flight_load", wh.fact_flight.select("FlightFactKey"), valid, rejected, f"{work}/load", f"{work}/logs",
                    "FlightFactKey", FLIGHT_UPDATE_COLS, FLIGHT_INSERT_COLS, "seq", "DateKey")
     return spark.read.parquet(f"{work}/logs/etl_audit_log").select(

@@ -38,3 +38,17 @@ def test_the_upsert_moves_no_record_by_its_key_again(spark, lines):
     moved = 1 << 40  # the second line of a key is a fact of its own
     # Known keys take the last record's seats, the new key too; stored facts without a record keep theirs.
     assert got == sorted([(9, 147), (17, 132), (17 + moved, 132), (401, 127), (401 + moved, 122), (-401, 122)])
+
+
+def test_the_audited_load_deals_the_batch_by_its_key_once(spark, lines, monkeypatch):
+    from aerostar.operators import audit
+    plans, classify = [], audit.classified
+
+    def seen(*args):
+        plans.append(classify(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(audit, "classified", seen)
+    got = etl_jobs.etl_audit(spark, lines).first()
+    assert exchanges(plans[0]) and not [x for x in exchanges(plans[0]) if x.startswith(("FlightFactKey", "_known"))]
+    assert (got.rows_processed, got.rows_inserted, got.rows_updated, got.rows_rejected) == (5, 1, 4, 0)
