@@ -28,7 +28,7 @@ from aerostar.sources.batches import (EXTRACT_END, EXTRACT_START, SEVERITY_MAP,
                                       maintenance_events, weather_observations)
 from aerostar.sources.catalog import FLIGHT_RECORD, rule_counts
 from aerostar.sources.extract import extract_window
-from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, flight_base, read_table
+from aerostar.sources.star import MONTH_PART, Warehouse, _airport_keys, derive_star, flight_base, read_table, stage_star
 from aerostar.streaming.incremental import stream_increments
 
 
@@ -402,8 +402,8 @@ def mart_refresh(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None)
 
     from aerostar.plans.marts import current_mart, refresh_marts
 
-    wh = wh or derive_star(spark, sf_dir)
     out = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
+    wh = wh or stage_star(spark, sf_dir, out)  # the marts read the flights many times
     refresh_marts(wh, out, DEFAULT_AS_OF.strftime("%Y%m%d"))
     return current_mart(spark, out, "mv_monthly_flight_summary")
 
@@ -415,8 +415,8 @@ def mart_rows(spark: SparkSession, sf_dir: str, wh: Warehouse | None = None) ->
 
     from aerostar.plans.marts import MARTS, current_mart, mart_versions, refresh_marts
 
-    wh = wh or derive_star(spark, sf_dir)
     out = f"{checkpoint_dir(spark).rstrip('/')}/marts/{uuid.uuid4().hex}"
+    wh = wh or stage_star(spark, sf_dir, out)  # the marts read the flights many times
     label = DEFAULT_AS_OF.strftime("%Y%m%d")
     refresh_marts(wh, out, label)
     pinned = mart_versions(spark, out)[-1]

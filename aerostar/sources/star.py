@@ -409,10 +409,15 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str,
     both facts are derived from that written table, instead of aggregating
     the source twice.
     """
+    write_star(stage_star(spark, sf_dir, out_dir), out_dir, partitions)
+    return load_star(spark, out_dir)
+
+
+def stage_star(spark: SparkSession, sf_dir: str, out_dir: str) -> Warehouse:
+    """The lazy warehouse over a written ``flight_base``, for jobs that read the facts several times."""
     stage = f"{out_dir.rstrip('/')}/_stage/flight_base"
     flight_base(read_table(spark, sf_dir, "lineitem")).write.mode("overwrite").parquet(stage)
-    write_star(derive_star(spark, sf_dir, base=spark.read.parquet(stage)), out_dir, partitions)
-    return load_star(spark, out_dir)
+    return derive_star(spark, sf_dir, base=spark.read.parquet(stage))
 
 
 def load_star(spark: SparkSession, star_dir: str) -> Warehouse:

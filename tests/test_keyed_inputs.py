@@ -52,3 +52,18 @@ def test_the_audited_load_deals_the_batch_by_its_key_once(spark, lines, monkeypa
     got = etl_jobs.etl_audit(spark, lines).first()
     assert exchanges(plans[0]) and not [x for x in exchanges(plans[0]) if x.startswith(("FlightFactKey", "_known"))]
     assert (got.rows_processed, got.rows_inserted, got.rows_updated, got.rows_rejected) == (5, 1, 4, 0)
+
+
+def test_the_marts_read_a_flight_base_that_is_computed_once(spark, lines, monkeypatch):
+    from aerostar.plans import marts
+    stars, refresh = [], marts.refresh_marts
+
+    def seen(wh, *args):
+        stars.append(wh)
+        return refresh(wh, *args)
+
+    monkeypatch.setattr(marts, "refresh_marts", seen)
+    assert {r.Mart: r.Rows for r in etl_jobs.mart_rows(spark, lines).collect()}["mv_monthly_flight_summary"] == 1
+    assert len(stars) == 2 and etl_jobs.mart_refresh(spark, lines).count() == 1
+    for wh in stars:
+        assert "Window" not in wh.fact_flight._jdf.queryExecution().executedPlan().toString()
