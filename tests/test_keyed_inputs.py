@@ -67,3 +67,17 @@ def test_the_marts_read_a_flight_base_that_is_computed_once(spark, lines, monkey
     assert len(stars) == 2 and etl_jobs.mart_refresh(spark, lines).count() == 1
     for wh in stars:
         assert "Window" not in wh.fact_flight._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_stream_deals_each_arrival_by_its_key_once(spark, lines, monkeypatch):
+    from aerostar.streaming import months
+    seen, upsert = [], months.upsert_months
+
+    def note(table, batch, *args):
+        seen.append(exchanges(batch.groupBy("FlightFactKey").count()))
+        return upsert(table, batch, *args)
+
+    monkeypatch.setattr(months, "upsert_months", note)
+    got = sorted((r.FlightFactKey, r.SeatsFilled) for r in etl_jobs.flight_upsert_stream(spark, lines).collect())
+    assert len(seen) == 2 and all(seen) and not [x for xs in seen for x in xs if x.startswith("FlightFactKey")]
+    assert got == sorted((r.FlightFactKey, r.SeatsFilled) for r in etl_jobs.flight_upsert(spark, lines).collect())
