@@ -32,6 +32,8 @@ DELETION_SEGMENTS = 1
 #: Share of docs that share a token by chance, for the cost of a segment.
 COMMON = 0.05
 SKETCH_BITS = 256
+#: The sketch of sets that are still open after the first checks: there a narrow one is full of large differences.
+FINE_BITS = 2048
 
 
 def most_apart(total: int, rule: Rule = OP9) -> int:
@@ -131,6 +133,18 @@ def signatures(tokens: np.ndarray, rule: Rule = OP9) -> tuple[np.ndarray, int]:
     return keys, n_probe
 
 
+def parities(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """Parity sketch of a set as longs: bit i tells whether an odd number of tokens are i modulo ``bits``."""
+    odd = np.bincount((tokens % np.uint64(bits)).astype(np.uint16), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _tokens(text, shingle: int) -> np.ndarray:
+    """Hashes of the distinct shingles of a text, in order."""
+    tokens = np.sort(gram_hashes(direct_hashes(words(text)), shingle))
+    return tokens[np.diff(tokens, prepend=~tokens[:1]) != 0]
+
+
 SET_SCHEMA = ("doc_id long, print long, n long, s1 long, s2 long, k0 long, k1 long, k2 long, k3 long, "
               "n_probe int, keys array<long>")
 
@@ -139,12 +153,10 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
     for batch in batches:
         rows, keys = [], []
         for text in batch.column(1):
-            tokens = np.sort(gram_hashes(direct_hashes(words(text.as_py())), rule.shingle))
-            tokens = tokens[np.diff(tokens, prepend=~tokens[:1]) != 0]
+            tokens = _tokens(text.as_py(), rule.shingle)
             with np.errstate(over="ignore"):
                 sums = [int(x.sum(dtype=np.uint64)) for x in (tokens, mix(tokens, 22))]
-            odd = np.bincount((tokens % np.uint64(SKETCH_BITS)).astype(np.uint8), minlength=SKETCH_BITS) & 1
-            sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
+            sketch = parities(tokens, SKETCH_BITS)
             got, n_probe = signatures(tokens, rule)
             rows.append((len(tokens), *np.array(sums, dtype=np.uint64).view(np.int64).tolist(), *sketch.tolist(), n_probe))
             keys.append(got.view(np.int64))
@@ -156,6 +168,18 @@ def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "print", "n", "s1", "s2", "k0", "k1", "k2", "k3", "n_probe", "keys"])
 
 
+FINE_SCHEMA = ", ".join(["node long", "n long", *[f"k{i} long" for i in range(FINE_BITS // 64)]])
+
+
+def _fine(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Size and fine sketch of the sets of texts (node, text)."""
+    for batch in batches:
+        sets = [_tokens(text.as_py(), rule.shingle) for text in batch.column(1)]
+        sketches = np.array([parities(x, FINE_BITS) for x in sets], dtype=np.int64).reshape(len(sets), FINE_BITS // 64)
+        columns = [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), *[pa.array(k) for k in sketches.T.copy()]]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "n", *[f"k{i}" for i in range(FINE_BITS // 64)]])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Links among pairs of texts, by the shingles themselves; a pair of texts at a time."""
     def grams(text) -> frozenset:
@@ -181,15 +205,18 @@ PIVOT_ROUNDS = 5
 
 def _side(df: DataFrame, info: DataFrame, side: str) -> DataFrame:
     """Add to ``df`` the set size and parity sketch of its column ``side`` (a or b)."""
-    return df.join(info.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
-                               *[F.col(f"k{i}").alias(f"k{i}_{side}") for i in range(4)]), side)
+    return df.join(info.select(F.col("node").alias(side),
+                               *[F.col(c).alias(f"{c}_{side}") for c in ("n", *_sketch(info))]), side)
+
 
+def _sketch(info: DataFrame) -> list[str]:
+    """The columns k0, k1, ... of a sketch."""
+    return [c for c in info.columns if c[0] == "k"]
 
-def _fit(rule: Rule):
+
+def _fit(rule: Rule, sketch: list[str]):
     """Whether sets of these sizes and sketches can link: a differing token flips one bit at most."""
-    flips = F.bit_count(F.col("k0_a").bitwiseXOR(F.col("k0_b")))
-    for i in range(1, 4):
-        flips = flips + F.bit_count(F.col(f"k{i}_a").bitwiseXOR(F.col(f"k{i}_b")))
+    flips = sum(F.bit_count(F.col(f"{k}_a").bitwiseXOR(F.col(f"{k}_b"))) for k in sketch)
     return ((rule.den * F.least("n_a", "n_b") >= rule.num * F.greatest("n_a", "n_b"))
             & (flips <= F.floor((F.col("n_a") + F.col("n_b")) * (rule.den - rule.num) / F.lit(rule.den + rule.num))))
 
@@ -212,7 +239,7 @@ def _voted(stars: DataFrame, info: DataFrame, rule: Rule, fit_first: bool) -> Da
     which spares two joins of all stars.
     """
     def fitting(pairs: DataFrame) -> DataFrame:
-        return _side(_side(pairs, info, "a"), info, "b").filter(_fit(rule))
+        return _side(_side(pairs, info, "a"), info, "b").filter(_fit(rule, _sketch(info)))
 
     votes = stars.groupBy("a", "b").count()
     best = ((fitting(votes) if fit_first else votes).groupBy("b")
@@ -222,12 +249,17 @@ def _voted(stars: DataFrame, info: DataFrame, rule: Rule, fit_first: bool) -> Da
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of keys that still bring unconnected sets together, with their ``root``."""
+    """The members of keys that still bring unconnected sets together, with their ``root``.
+
+    Of keys with the same members, which bring the same pairs together, one stays: they are told by
+    the count and two sums of 64-bit hashes of their members.
+    """
     tagged = (members.select("key", "node", "probe").join(labels.select("node", "root"), "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
-    keys = stage(tagged.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .filter("lo < hi").select("key"), "ngram-open-keys")
-    return stage(tagged.join(keys, "key"), "ngram-open")
+    sums = [F.sum(F.xxhash64("node", "probe", F.lit(i)).cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
+    keys = (tagged.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("held"), *sums)
+            .filter("lo < hi").groupBy("held", "s0", "s1").agg(F.min("key").alias("key")))
+    return stage(tagged.join(stage(keys.select("key"), "ngram-open-keys"), "key"), "ngram-open")
 
 
 def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
@@ -243,7 +275,9 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     which it shares most, then, where a key still holds unconnected sets,
     against other pivots. In the end every pair of candidates that isn't
     connected yet is checked, so no link between components is lost, and a
-    dense group costs a few checks per member, not one per pair.
+    dense group costs a few checks per member, not one per pair. The sets that
+    are still open get a finer sketch first, which rules out nearly all pairs
+    that don't link.
 
     Cases: null or empty texts have 0 shingles and are components of their
     own; a null doc_id gets a null component and links nothing; rows that
@@ -287,13 +321,16 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
     links = _links(_voted(stars, info, rule, False), texts, rule).unionByName(twins)
     labels = components(links)
     left = _open(members, labels)
+    unstage(members)
+    fine = stage(texts.join(left.select("node").distinct(), "node", "left_semi").select("node", "text")
+                 .mapInArrow(lambda batches: _fine(batches, rule), FINE_SCHEMA), "ngram-fine")
     for turn in range(PIVOT_ROUNDS):
         # Another pivot of each key: the least by a hash of the round.
         by = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")
         pivots = stage(left.groupBy("key").agg(F.min(by).alias("p")).select(
             "key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")), "ngram-pivots")
         stars = left.join(pivots, "key").filter("ra <> root").select("a", F.col("node").alias("b"))
-        found = _links(_voted(stars, info, rule, True), texts, rule)
+        found = _links(_voted(stars, fine, rule, True), texts, rule)
         if found.isEmpty():
             break
         links = links.unionByName(found)
@@ -301,10 +338,10 @@ def near_components(docs: DataFrame, rule: Rule = OP9) -> DataFrame:
         left = _open(left, labels)
     # What is left is checked pair by pair, except what sizes and sketches rule out.
     side = lambda name: _side(left.select("key", F.col("node").alias(name), F.col("probe").alias(f"p_{name}"),
-                                          F.col("root").alias(f"r_{name}")), info, name)
+                                          F.col("root").alias(f"r_{name}")), fine, name)
     x, y = side("a"), side("b")
     cross = x.join(y, (x["key"] == y["key"]) & (x["a"] < y["b"]) & (x["r_a"] != y["r_b"])
-                   & (x["p_a"] | y["p_b"]) & _fit(rule))
+                   & (x["p_a"] | y["p_b"]) & _fit(rule, _sketch(fine)))
     found = _links(cross.select("a", "b"), texts, rule)
     if not found.isEmpty():
         labels = components(links.unionByName(found))

@@ -324,6 +324,34 @@ def test_ngram_join_links_every_text_of_a_repeated_id(spark):
     assert {r.doc_id for r in ngram_join.one_of_each(frame(spark, rows)).collect()} == {i for i, c in want.items() if i == c}
 
 
+def test_ngram_join_makes_few_rows_of_pairs_that_do_not_link(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    base = [f"t{x}" for x in rng.integers(0, 10**9, 1200)]
+    rows = []
+    for i in range(24):
+        w = list(base)
+        for j in rng.choice(1200, 30, replace=False):
+            w[j] = f"z{i}x{j}"
+        rows.append((i, " ".join(w)))
+    w = rows[5][1].split()
+    rows.append((99, " ".join(w[:300] + ["changed"] + w[301:])))
+    made, links = [], ngram_join._links
+    monkeypatch.setattr(ngram_join, "_links", lambda pairs, *rest: made.append(pairs.count()) or links(pairs, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_components(frame(spark, rows)).collect()}
+    assert got == _components_by_hand(rows) and got[99][1] == 5
+    assert sum(made) < 100
+
+
+def test_ngram_join_keeps_one_of_the_keys_with_the_same_members(spark):
+    members = spark.createDataFrame(
+        [(k, n, n == 1) for k in (10, 11, 12) for n in (1, 2, 3)] + [(13, 1, True), (13, 2, False), (14, 1, True), (14, 2, True),
+                                                                     (15, 5, True), (15, 6, True)], "key long, node long, probe boolean")
+    labels = spark.createDataFrame([(5, 5), (6, 5)], "node long, root long")
+    left = ngram_join._open(members, labels)
+    assert {(r.key, r.node, r.probe, r.root) for r in left.collect()} == {
+        (10, 1, True, 1), (10, 2, False, 2), (10, 3, False, 3), (13, 1, True, 1), (13, 2, False, 2), (14, 1, True, 1), (14, 2, True, 2)}
+
+
 def test_pipeline_near_duplicates_by_five_words_at_080(spark):
     rng = np.random.default_rng(11)
     rows = []
