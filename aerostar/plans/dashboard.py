@@ -60,17 +60,16 @@ def delay_causes(wh: Warehouse, late: int = ON_TIME_MINUTES) -> DataFrame:
 def aircraft_utilization(wh: Warehouse) -> DataFrame:
     """Days operated, flights and hours per tail number and model.
 
-    Flights are reduced to one row per aircraft and day before the join with
-    the (unbounded) aircraft dimension; distinct days are then counted from
-    those rows.
+    Flights are reduced once, to one row per tail number, model and day, from
+    which distinct days are then counted. A day rarely has many flights of an
+    aircraft, so a reduction by its key before the join would only hold every
+    row in a second table of the same task.
     """
-    per_day = wh.fact_flight.groupBy("AircraftKey", "DateKey").agg(
+    ac = dim_cols(wh, "aircraft", "AircraftKey", "TailNumber", "Model", current_only=True)
+    flown = wh.fact_flight.select("AircraftKey", "DateKey", "AirTimeMin", "LoadFactor")
+    by_day = flown.join(ac, "AircraftKey").groupBy("TailNumber", "Model", "DateKey").agg(
         rows().alias("n"), F.sum("AirTimeMin").alias("air"),
         F.sum("LoadFactor").alias("lf"), F.count("LoadFactor").alias("lf_n"))
-    ac = dim_cols(wh, "aircraft", "AircraftKey", "TailNumber", "Model", current_only=True)
-    by_day = per_day.join(ac, "AircraftKey").groupBy("TailNumber", "Model", "DateKey").agg(
-        F.sum("n").alias("n"), F.sum("air").alias("air"),
-        F.sum("lf").alias("lf"), F.sum("lf_n").alias("lf_n"))
     return (by_day.groupBy("TailNumber", "Model").agg(
                 F.count("DateKey").alias("DaysOperated"),
                 int_sum("n").alias("TotalFlights"),

@@ -81,3 +81,24 @@ def test_the_stream_deals_each_arrival_by_its_key_once(spark, lines, monkeypatch
     got = sorted((r.FlightFactKey, r.SeatsFilled) for r in etl_jobs.flight_upsert_stream(spark, lines).collect())
     assert len(seen) == 2 and all(seen) and not [x for xs in seen for x in xs if x.startswith("FlightFactKey")]
     assert got == sorted((r.FlightFactKey, r.SeatsFilled) for r in etl_jobs.flight_upsert(spark, lines).collect())
+
+
+def test_aircraft_days_are_dealt_and_grouped_once(spark, lines):
+    import decimal
+
+    from aerostar.plans import dashboard
+    from aerostar.sources.star import derive_star
+    flights = spark.createDataFrame(
+        [(1, 20200101, 60, decimal.Decimal("50.00")), (1, 20200101, 30, None), (2, 20200101, None, decimal.Decimal("80.00")),
+         (2, 20200102, 30, decimal.Decimal("20.00")), (3, None, 15, decimal.Decimal("10.00")), (None, 20200101, 5, None),
+         (4, 20200103, 5, None)],
+        "AircraftKey long, DateKey int, AirTimeMin int, LoadFactor decimal(5,2)")
+    # Keys 1 and 2 are one tail number; key 3 comes twice; key 4 isn't current.
+    aircraft = spark.createDataFrame(
+        [(1, "N1", "M", True), (2, "N1", "M", True), (3, None, "M", True), (3, None, "M", True), (4, "N4", "M", False)],
+        "AircraftKey long, TailNumber string, Model string, IsCurrent boolean")
+    df = dashboard.aircraft_utilization(derive_star(spark, lines).with_tables(fact_flight=flights, aircraft=aircraft))
+    assert len([x for x in exchanges(df) if "DateKey" in x]) == 1
+    got = {(r.TailNumber, r.Model): (r.DaysOperated, r.TotalFlights, r.TotalFlightHours, round(float(r.AvgLoadFactor), 6))
+           for r in df.collect()}
+    assert got == {("N1", "M"): (2, 4, 2.0, 50.0), (None, "M"): (0, 2, 0.5, 10.0)}
