@@ -14,11 +14,13 @@ from aerostar.llm.common import pick, stage
 TOP, EVERY = 5, 50
 #: Buckets of like length, and the most vectors that one block of a bucket holds.
 BUCKETS, BLOCK, QUERY_BUCKETS, QUERY_BLOCK = 64, 2048, 8, 256
+#: Blocks of a bucket that queries meet together: a long bucket has more such groups, not larger ones.
+GROUP = 16
 #: Cosine threshold from which coordinates prune; below it the length does.
 COORDINATES_FROM = 0.55
 FOCUS = 3
 EXACT = float(2**53)
-BLOCK_SCHEMA = "no int, ids binary, dim int, data binary, norms binary"
+BLOCK_SCHEMA = "no int, ids binary, dim int, data binary, norms binary, top double"
 VECTOR_SCHEMA = "vec_id long, norm double, data binary"
 
 
@@ -48,7 +50,7 @@ def _packer(limit: int):
         for row, d in zip(flat, data, strict=True):
             row[: len(d) // 8] = np.frombuffer(d)
         return {"no": no, "ids": np.array(ids, dtype=np.int64).tobytes(), "dim": dim, "data": flat.tobytes(),
-                "norms": np.array(norms, dtype=np.float64).tobytes()}
+                "norms": np.array(norms, dtype=np.float64).tobytes(), "top": norms[0]}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, norms, data, no = [], [], [], 0
@@ -148,8 +150,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
 
     ``rows`` has vec_id and embedding. Vectors are put into BUCKETS ranges of
     length and packed into blocks. The block of the longest vectors gives each
-    query a first k-th score; a bucket is skipped for queries whose length
-    times its own can't reach that score. In the others the local cosine
+    query a first k-th score; GROUP blocks of a bucket are skipped for queries
+    whose length times theirs can't reach that score. In the others the local cosine
     threshold chooses: high, and the query's FOCUS largest coordinates bound
     the coordinates of what can qualify; low, and the shorter end is cut off.
     What is left is multiplied out.
@@ -166,9 +168,12 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
     blocks = _blocks(vectors, BUCKETS, BLOCK, "topk-blocks")
     queries = _blocks(vectors.filter(is_query), QUERY_BUCKETS, QUERY_BLOCK, "topk-queries")
     as_query = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "dim", "data", "norms")])
-    first = blocks.filter("no = 0").agg(F.min("bucket").alias("bucket"))
-    longest = blocks.filter("no = 0").join(first, "bucket", "left_semi").select(
-        "ids", "dim", "data", "norms", F.lit(0).alias("one"))
+    # Three numbers for each GROUP * BLOCK vectors: bucket, group and its largest length.
+    tops = [(r.bucket, r.no // GROUP, r.top) for r in
+            blocks.filter(F.col("no") % GROUP == 0).select("bucket", "no", "top").collect()]
+    # One block, of the longest vectors: all that is ever sent to every task.
+    longest = blocks.filter((F.col("no") == 0) & (F.col("bucket") == min((b for b, _, _ in tops), default=-1))).select(
+        "ids", "dim", "data", "norms")
 
     def seed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,18 +189,14 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
             yield batch[keep].assign(floors=floors)
 
     parts = "q_ids binary, q_dim int, q_data binary, q_norms binary, floors binary"
-    seeded = stage(as_query.withColumn("one", F.lit(0)).join(longest, "one").drop("one")
-                   .mapInPandas(seed, parts), "topk-seeded")
-    # One row per bucket: its largest length.
-    reach = blocks.filter("no = 0").select("bucket", "norms").toPandas()
-    tops = {int(b): float(np.frombuffer(n)[0]) for b, n in zip(reach["bucket"], reach["norms"], strict=True)}
+    seeded = stage(as_query.crossJoin(F.broadcast(longest)).mapInPandas(seed, parts), "topk-seeded")
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             to = []
             for row in batch.to_dict("records"):
                 norms, floors = np.frombuffer(row["q_norms"]), np.frombuffer(row["floors"])
-                to.append([b for b, top in tops.items() if not (norms * top < floors * (1.0 - 1e-9)).all()])
+                to.append([b << 32 | g for b, g, top in tops if not (norms * top < floors * (1.0 - 1e-9)).all()])
             yield batch.assign(to=to)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,9 +208,11 @@ def top_k(rows: DataFrame, is_query: Column, k: int = TOP) -> DataFrame:
                     out += [(int(qs[0][i]), int(v), _long(x)) for v, x in zip(ids, scores, strict=True)]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    pairs = (seeded.mapInPandas(route, parts + ", to array<int>")
-             .withColumn("bucket", F.explode("to")).drop("to")
-             .join(blocks.select("bucket", "ids", "dim", "data", "norms"), "bucket"))
+    # Both sides grow with the table, and a query's row is there once for each group that it meets: neither
+    # may be broadcast, however small their files look.
+    meets = seeded.mapInPandas(route, parts + ", to array<long>").withColumn("to", F.explode("to"))
+    place = F.shiftleft(F.col("bucket").cast("long"), 32) + F.floor(F.col("no") / GROUP)
+    pairs = meets.join(blocks.select(place.alias("to"), "ids", "dim", "data", "norms").hint("merge"), "to").drop("to")
     found = pairs.mapInPandas(verify, "query_id long, vec_id long, score long")
     # At most k rows per query and block come here; the k best of a query stay.
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score").cast("decimal(20,0)")).alias("s"),
